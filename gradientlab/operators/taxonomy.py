@@ -269,7 +269,7 @@ def match_hierarchy(
     key_cols = ["gni_uuid", "matched_name", "submitted_name", "original_name"]
     distinct = cleaned.select(*key_cols).distinct()
     probes = [
-        F.struct(F.lit(p).alias("priority"), F.lit(right).alias("kind"), F.col(left).alias("key"))
+        F.struct(F.lit(p).alias("priority"), F.lit(right).alias("kind"), F.col(left).cast("string").alias("key"))
         for p, (left, right) in enumerate(SPECIES_KEYS)
     ] + [
         F.struct(F.lit(100 + p).alias("priority"), F.lit("genus").alias("kind"), genus(left).alias("key"))
@@ -280,7 +280,7 @@ def match_hierarchy(
     offered = (
         species.select(
             row,
-            F.inline(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("key")) for k in kinds])),
+            F.inline(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).cast("string").alias("key")) for k in kinds])),
         )
         .groupBy("kind", "key").agg(F.min(row).alias(row))
     )

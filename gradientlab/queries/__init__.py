@@ -1,2 +1,2 @@
 from .registry import REGISTRY, SQL
-from . import community_queries
+from . import correction_queries, taxonomy_queries
