@@ -191,9 +191,6 @@ def resolve_names(names: DataFrame, backbone: DataFrame, edits: int = 2, col: st
     distinct = names.select(F.col(col).alias("name")).filter(F.col(col).isNotNull()).distinct()
     known = backbone.groupBy("matched_name").agg(F.min("gni_uuid").alias("gni_uuid"))
     exact = distinct.join(known, distinct["name"] == known["matched_name"], "left")
-    hit = exact.filter(F.col("matched_name").isNotNull()).select(
-        "name", "gni_uuid", F.lit(1.0).alias("score"), "matched_name"
-    )
     miss = exact.filter(F.col("matched_name").isNull()).select("name")
 
     def keyed(df: DataFrame, text: str, key: str) -> DataFrame:
@@ -209,13 +206,16 @@ def resolve_names(names: DataFrame, backbone: DataFrame, edits: int = 2, col: st
     length = F.greatest(F.length("name"), F.length("b.matched_name"))
     fuzzy = best.select(
         "name",
-        F.col("b.gni_uuid").alias("gni_uuid"),
-        (F.lit(1.0) - F.col("b.distance") / length).alias("score"),
-        F.col("b.matched_name").alias("matched_name"),
+        F.col("b.gni_uuid").alias("near_id"),
+        (F.lit(1.0) - F.col("b.distance") / length).alias("near_score"),
+        F.col("b.matched_name").alias("near_name"),
     )
-    found = hit.unionByName(fuzzy)
-    return distinct.join(found, "name", "left").select(
-        F.col("name").alias("user_supplied_name"), "gni_uuid", "score", "matched_name"
+    score = F.when(F.col("matched_name").isNotNull(), F.lit(1.0)).otherwise(F.col("near_score"))
+    return exact.join(fuzzy, "name", "left").select(
+        F.col("name").alias("user_supplied_name"),
+        F.coalesce("gni_uuid", "near_id").alias("gni_uuid"),
+        score.alias("score"),
+        F.coalesce("matched_name", "near_name").alias("matched_name"),
     )
 
 

@@ -4,8 +4,9 @@ from pyspark.sql import functions as F
 
 from ..functions.semantics import null_safe_join
 from ..operators import corrections as K
+from ..operators.community import assign_treatment
 from ..sources.relational import run_sql
-from .mapping import OBS_SQL, VISITS_SQL, obs, table, visits
+from .mapping import OBS_SQL, RULES, VISITS_SQL, obs, table, visits
 from .registry import query
 
 # Line items as turf records: recorder, usable sub-plots and raw cover.
@@ -307,17 +308,11 @@ def stem_relative(spark, folder):
 SELECT o_orderkey, Treatment FROM visits
 """)
 def rule_table_join(spark, folder):
-    """Treatments looked up in a rule table derived from the site table."""
-    nation = table(spark, folder, "nation")
-    a = nation.select(F.col("n_regionkey").alias("origin_rank")).distinct()
-    b = nation.select(F.col("n_regionkey").alias("dest_rank")).distinct()
-    pairs = a.crossJoin(b)  # 5 x 5 region ranks
-    labels = F.array(*[F.lit(v) for v in ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")])
-    rules = pairs.withColumn("destBlockID", F.explode(labels)).withColumn(
-        "Treatment",
-        F.when(F.col("destBlockID") == "4-NOT SPECIFIED", "Control")
-        .when(F.col("origin_rank") == F.col("dest_rank"), "LocalControl")
-        .when(F.col("origin_rank") > F.col("dest_rank"), "Warm").otherwise("Cold"),
+    """Treatments looked up in a rule table with one row per (label, origin, destination)."""
+    keys = ["origin_rank", "dest_rank", "destBlockID"]
+    plots = visits(spark, folder)
+    rules = assign_treatment(
+        plots.select(*keys).distinct(), RULES, label="destBlockID", origin=F.lit(None), dest=F.lit(None),
+        origin_rank="origin_rank", dest_rank="dest_rank",
     )
-    joined = null_safe_join(visits(spark, folder), rules, ["origin_rank", "dest_rank", "destBlockID"])
-    return joined.select("o_orderkey", "Treatment")
+    return null_safe_join(plots, rules, keys).select("o_orderkey", "Treatment")

@@ -170,11 +170,6 @@ def number_unresolved(spark, folder):
 
 # -- trait list -------------------------------------------------------------
 
-TRAIT_LIST_SQL = """
-species AS (
-  SELECT row_number() OVER (ORDER BY gni_uuid) AS species_row, * FROM (
-    SELECT gni_uuid, matched_name AS accepted_name, matched_name || 'x' AS submitted_name,
-           split_part(matched_name, ' ', 1) AS genus FROM backbone WHERE matched_name NOT LIKE '%ring'))"""
 MATCH_SQL = CLEANED_SQL + "," + """
 species AS (
   SELECT gni_uuid AS species_row, gni_uuid, matched_name AS accepted_name, matched_name || 's' AS submitted_name,
