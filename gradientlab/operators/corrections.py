@@ -160,7 +160,7 @@ def pin_counts_rows(
     """Pin hits per sample and species from sheets with one row per species and one column per pin."""
     species = F.when(F.col(name) == blank, F.lit("Other")).otherwise(F.col(name))
     return (
-        df.filter(~F.col(name).contains(focal))
+        df.filter(F.coalesce(~F.col(name).contains(focal), F.lit(True)))
         .select(*ids, species.alias("SpeciesName"), row_sum(*[F.col(f"`{p}`") for p in pins]).alias("cover"))
         .groupBy(*ids, "SpeciesName").agg(F.sum("cover").alias("cover"))
     )
