@@ -64,7 +64,7 @@ def zero_pad2(c: ColumnLike) -> Column:
 
 def squish(c: ColumnLike) -> Column:
     """Trim and collapse every kind of blank, no-break spaces included."""
-    return F.trim(F.regexp_replace(as_col(c), r"[\s   ]+", " "))
+    return F.trim(F.regexp_replace(as_col(c), r"[\s\u00a0\u2007\u202f]+", " "))
 
 
 def numeric_chars(c: ColumnLike) -> Column:

@@ -116,13 +116,16 @@ def stations_within(
 
 
 def seasonal_stats(
-    grid: DataFrame, keys: Sequence[str], seasons: Mapping[str, tuple[str, str, tuple[int, ...]]] = SEASONS
+    grid: DataFrame,
+    keys: Sequence[str],
+    seasons: Mapping[str, tuple[str, str, tuple[int, ...]]] = SEASONS,
+    extra: Sequence[Column] = (),
 ) -> DataFrame:
     """Annual, summer and winter value of each variable per site, in one aggregate.
 
-    ``grid`` is long with month, var, value.
+    ``grid`` is long with month, var, value; ``extra`` aggregates are added.
     """
-    aggs = []
+    aggs = list(extra)
     for var, (prefix, how, summer) in seasons.items():
         f = F.avg if how == "avg" else F.sum
         mine = F.col("var") == var

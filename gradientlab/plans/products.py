@@ -11,6 +11,7 @@ from ..operators import climate as Cl
 from ..operators import community as C
 from ..operators import taxonomy as T
 from ..operators import traits as Tr
+from ..operators.reshape import union_all
 from ..sources.readers import write_table
 from .profile import SiteBundle, Tables, build_bundle
 from .regions import PROFILES
@@ -21,9 +22,9 @@ META_TYPES = {
 }
 
 
-def build_bundles(raw: Mapping[str, Tables], compat: bool = False) -> dict[str, SiteBundle]:
+def build_bundles(raw: Mapping[str, Tables], compat: bool = False, stage: bool = False) -> dict[str, SiteBundle]:
     """Bundles of the regions whose raw tables are given, as lazy plans."""
-    return {region: build_bundle(PROFILES[region], tables, compat) for region, tables in raw.items()}
+    return {region: build_bundle(PROFILES[region], tables, compat, stage) for region, tables in raw.items()}
 
 
 def all_communities(bundles: Mapping[str, SiteBundle]) -> DataFrame:
@@ -34,9 +35,30 @@ def all_meta(bundles: Mapping[str, SiteBundle]) -> DataFrame:
     return C.union_tagged({r: b.meta for r, b in bundles.items()}, types=META_TYPES)
 
 
+def site_elevations(bundles: Mapping[str, SiteBundle]) -> DataFrame:
+    """Elevation per region and site.
+
+    Regions with published site constants give literal rows, whose size the
+    optimizer knows, so the community is not shuffled to look them up; the
+    others give their metadata table.
+    """
+    spark = next(iter(bundles.values())).community.sparkSession
+    known = [
+        (region, site, float(place[0])) for region in bundles for site, place in PROFILES[region].sites.items()
+    ]
+    parts = []
+    if known:
+        parts.append(spark.createDataFrame(known, "Region string, destSiteID string, Elevation double"))
+    parts += [
+        b.meta.select(F.lit(r).alias("Region"), "destSiteID", F.col("Elevation").cast("double").alias("Elevation"))
+        for r, b in bundles.items() if not PROFILES[r].sites
+    ]
+    return union_all(parts)
+
+
 def dat(bundles: Mapping[str, SiteBundle]) -> DataFrame:
     """Community of all regions with site elevation."""
-    return C.merge_community(all_communities(bundles), all_meta(bundles))
+    return C.merge_community(all_communities(bundles), site_elevations(bundles))
 
 
 def cleaned_species(
@@ -85,11 +107,8 @@ def site_climate(meta: DataFrame, grid: DataFrame, x0: float, y0: float, res: fl
     """
     sites = meta.select(*C.META_COLUMNS)
     sampled = Cl.sample_grid(sites, grid, x0, y0, res)
-    stats = Cl.seasonal_stats(sampled, C.META_COLUMNS)
-    elev = sampled.filter(F.col("var") == "elevation").groupBy("Gradient", "destSiteID").agg(
-        F.max("value").alias("Elevation_st")
-    )
-    return Cl.lapse_correct(stats.join(elev, ["Gradient", "destSiteID"], "left"))
+    elevation = F.max(F.when(F.col("var") == "elevation", F.col("value"))).alias("Elevation_st")
+    return Cl.lapse_correct(Cl.seasonal_stats(sampled, C.META_COLUMNS, extra=[elevation]))
 
 
 def save(df: DataFrame, path: str, partition: Sequence[str] = ("Region",)) -> str:

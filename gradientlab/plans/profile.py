@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators import community as C
 from ..operators import corrections as K
+from ..session import stage_table
 
 Tables = Mapping[str, DataFrame]
 
@@ -86,9 +87,16 @@ def finish_community(
     return community, C.cover_summary(cover, grain)
 
 
-def build_bundle(profile: Profile, raw: Tables, compat: bool = False) -> SiteBundle:
-    """All cleaned tables of one region from its raw tables."""
+def build_bundle(profile: Profile, raw: Tables, compat: bool = False, stage: bool = False) -> SiteBundle:
+    """All cleaned tables of one region from its raw tables.
+
+    The prepared records feed both the sample totals and the rows they divide.
+    With ``stage`` they are written once to the shared folder and read back, so
+    that a costly preparation does not run twice.
+    """
     records = profile.prepare(raw)
+    if stage:
+        records = stage_table(records, f"records/{profile.region}")
     if "Individuals" in records.columns:
         keys = sample_keys(records)
         community = K.stem_relative(records, keys)

@@ -53,7 +53,7 @@ def scratch_root(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder")
     folder = tempfile.mkdtemp(prefix="gradientlab-")
-    spark.conf.set("spark.checkpoint.dir", folder)
+    spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
