@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import fields
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from ..operators import community as C
 from ..operators import taxonomy as T
 from ..operators import traits as Tr
 from ..operators.reshape import union_all
+from ..session import stage_table
 from ..sources.readers import write_table
 from .profile import SiteBundle, Tables, build_bundle
 from .regions import PROFILES
@@ -27,6 +29,18 @@ def build_bundles(raw: Mapping[str, Tables], compat: bool = False, stage: bool =
     return {region: build_bundle(PROFILES[region], tables, compat, stage) for region, tables in raw.items()}
 
 
+def stage_bundle(region: str, bundle: SiteBundle) -> SiteBundle:
+    """The bundle with every table written to the shared folder and read back.
+
+    The products below each read the cleaned tables of all regions; stage the
+    bundles first so that no region is cleaned more than once.
+    """
+    tables = {f.name: getattr(bundle, f.name) for f in fields(bundle)}
+    return SiteBundle(**{
+        name: df if df is None else stage_table(df, f"bundles/{region}/{name}") for name, df in tables.items()
+    })
+
+
 def all_communities(bundles: Mapping[str, SiteBundle]) -> DataFrame:
     return C.union_tagged({r: C.canonical_community(b.community).drop("Region") for r, b in bundles.items()})
 

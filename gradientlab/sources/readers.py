@@ -47,7 +47,8 @@ def with_file_tags(df: DataFrame, **patterns: str) -> DataFrame:
     Each keyword is a column name with a regex; its first group (or the whole
     match) is the value, NULL when it does not match.
     """
-    path = F.col("_metadata.file_path")
+    # file_path is percent-encoded; a literal plus sign must survive the decoding
+    path = F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B"))
     cols = {}
     for name, pattern in patterns.items():
         group = 1 if "(" in pattern.replace("(?:", "") else 0
@@ -61,19 +62,16 @@ def read_sheets(
     schema: StructType | str,
     tag: str = "turfID",
     prefix: str = "T",
-    sheet: str = r"/(\d[^/]*)\.csv$",
-    numbered: bool = True,
+    sheet: str = r"/(\d+)[^/]*\.csv$",
     **kw,
 ) -> DataFrame:
-    """Sheets exported to one file each; the number in the sheet name becomes the tag.
+    """Sheets exported to one file each; the number a sheet name starts with becomes the tag.
 
-    Only sheets whose name starts with a digit are read when ``numbered``.
+    Sheets without such a number (notes, species lists) are left out.
     """
     df = with_file_tags(read_delimited(spark, path, schema, **kw), __sheet=sheet)
-    if numbered:
-        df = df.filter(F.col("__sheet").isNotNull())
-    digits = F.regexp_replace("__sheet", r"[^0-9.\-]", "")
-    return df.withColumn(tag, F.concat(F.lit(prefix), digits)).drop("__sheet")
+    df = df.filter(F.col("__sheet").isNotNull())
+    return df.withColumn(tag, F.concat(F.lit(prefix), F.col("__sheet"))).drop("__sheet")
 
 
 def row_window(df: DataFrame, first: int, last: int, row_no: str = "row_no") -> DataFrame:

@@ -1,5 +1,7 @@
 """Every regional profile on its hand-made raw tables, and the merged products."""
 
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from helpers import approx, frame, one, rows
 from pyspark.sql import functions as F
@@ -16,7 +18,10 @@ from gradientlab.plans.regions import NORWAY_GRADIENTS, PROFILES
 @pytest.fixture(scope="module")
 def bundles(spark):
     raw = {region: make(spark) for region, make in fixtures.REGIONS.items()}
-    return P.build_bundles(raw)
+    built = P.build_bundles(raw)
+    with ThreadPoolExecutor(8) as pool:
+        staged = dict(zip(built, pool.map(lambda r: P.stage_bundle(r, built[r]), built)))
+    return staged
 
 
 # region -> {(UniqueID, SpeciesName): (Treatment, Rel_Cover)}; None = no row of that species
