@@ -90,7 +90,7 @@ def pmin(c: ColumnLike, high: float) -> Column:
 def to_number(c: ColumnLike) -> Column:
     """Double value of a text, NULL when it is not a number."""
     value = F.trim(as_col(c).cast("string")).try_cast("double")
-    return F.when(~F.isnan(value), value)
+    return F.nanvl(value, F.lit(None).cast("double"))
 
 
 def ratio(a: ColumnLike, b: ColumnLike) -> Column:

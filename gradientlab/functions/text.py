@@ -80,12 +80,12 @@ def clean_number(c: ColumnLike) -> Column:
 
 def comma_number(c: ColumnLike) -> Column:
     """Number out of a text with thousands commas and nothing else around it."""
-    return to_number(F.regexp_replace(as_col(c).cast("string"), ",", ""))
+    return to_number(F.translate(as_col(c).cast("string"), ",", ""))
 
 
 def decimal_comma(c: ColumnLike) -> Column:
     """Number out of a text with a decimal comma."""
-    return to_number(F.regexp_replace(as_col(c).cast("string"), ",", "."))
+    return to_number(F.translate(as_col(c).cast("string"), ",", "."))
 
 
 def mixed_date(c: ColumnLike) -> Column:

@@ -120,7 +120,7 @@ def pool_observers(
     Readings are texts with decimal commas or dashes and missing-value tokens.
     """
     cleaned = df.withColumns({
-        c: to_number(F.regexp_replace(na_if(F.col(c).cast("string"), *missing), "[,-]", ".")) for c in observers
+        c: to_number(F.translate(na_if(F.col(c).cast("string"), *missing), ",-", "..")) for c in observers
     })
     means = cleaned.groupBy(*group).agg(pooled_mean(*observers).alias(out)).filter(F.col(out).isNotNull())
     return null_safe_join(cleaned, means, list(group), "inner").select(*df.columns, out)
