@@ -50,6 +50,11 @@ def between(c: ColumnLike, start: int, stop: int) -> Column:
     return F.substring(as_col(c), start, stop - start + 1)
 
 
+def tail(c: ColumnLike, start: int) -> Column:
+    """Everything from character ``start`` (counted from 1) on."""
+    return F.substr(as_col(c), F.lit(start))
+
+
 def from_end(c: ColumnLike, back: int, n: int = 1) -> Column:
     """``n`` characters starting ``back`` places before the last one."""
     c = as_col(c)

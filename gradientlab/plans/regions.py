@@ -1,6 +1,8 @@
 """The surveyed regions: raw layouts, treatment rules, classes and site constants.
 
-Raw tables are DataFrames by name; ``community`` is always the main one.
+Raw tables are DataFrames by name; ``community`` is the main one of most regions.
+The rule, class, label and site tables below are fixed values: they define the
+surveys and are written as published.
 """
 
 from __future__ import annotations
@@ -180,7 +182,7 @@ def lavey_letters(df: DataFrame, first: str = "Vegetation %", last: str = "Biscu
     tall = tall.filter(~F.col("SpeciesName").contains("FOCAL"))
     padded = F.regexp_replace("id", "RIO_", "RIO_RIOturf_")
     return tall.select(
-        F.substring(padded, 1, 7).alias("siteID"), F.concat(F.lit("T"), F.substring(padded, 14, 1000)).alias("turfID"),
+        F.substring(padded, 1, 7).alias("siteID"), F.concat(F.lit("T"), X.tail(padded, 14)).alias("turfID"),
         F.regexp_replace("SpeciesName", r"\.\.\.\d+$", "").alias("SpeciesName"), "cover",
     )
 

@@ -189,12 +189,12 @@ def sum_strict(spark, folder):
 
 
 @query("slice_rows", """
-SELECT c_custkey, c_name, CASE WHEN c_custkey BETWEEN 1 AND 15 THEN 'LOW' ELSE 'HIGH' END AS block FROM customer
-WHERE c_custkey BETWEEN 1 AND 15 OR c_custkey BETWEEN 20 AND 36
+SELECT c_custkey, c_name, CASE WHEN c_custkey < 500 THEN 'LOW' WHEN c_custkey < 1000 THEN 'MID' ELSE 'HIGH' END AS block
+FROM customer
 """)
 def slice_rows(spark, folder):
     df = table(spark, folder, "customer").select("c_custkey", "c_name")
-    return R.slice_rows(df, {"LOW": (1, 15), "HIGH": (20, 36)}, "c_custkey")
+    return R.slice_rows(df, {"LOW": (0, 499), "MID": (500, 999), "HIGH": (1000, 2**62)}, "c_custkey")
 
 
 @query("select_columns", "SELECT l_orderkey, l_partkey, l_suppkey, l_quantity AS q, l_returnflag, l_linestatus FROM lineitem")
@@ -262,7 +262,7 @@ def text_numeric(spark, folder):
 
 @query("string_ops", """
 SELECT p_partkey, coalesce(CASE WHEN p_size > 25 THEN p_brand END, 'NA') || '_' || p_partkey AS pasted,
-       upper(p_name) AS up, substring(p_brand, 7) AS tail, substring(p_name, length(p_name) - 2, 2) AS near_end,
+       upper(p_name) AS up, substring(p_brand, 7) AS tail, substring(p_brand, 1, 5) AS head, substring(p_name, length(p_name) - 2, 2) AS near_end,
        regexp_replace(p_name, 'l', 'L') AS first_l, regexp_replace(p_name, 'l', 'L', 'g') AS all_l,
        CASE WHEN p_size < 10 THEN '0' || p_size ELSE p_size::VARCHAR END AS padded,
        nullif(regexp_extract(p_name, 'bolt|ring'), '') AS found
@@ -271,7 +271,7 @@ FROM part
 def string_ops(spark, folder):
     return table(spark, folder, "part").select(
         "p_partkey", S.paste(F.when(F.col("p_size") > 25, F.col("p_brand")), "p_partkey").alias("pasted"),
-        F.upper("p_name").alias("up"), X.between("p_brand", 7, 99).alias("tail"),
+        F.upper("p_name").alias("up"), X.tail("p_brand", 7).alias("tail"), X.between("p_brand", 1, 5).alias("head"),
         X.from_end("p_name", 2, 2).alias("near_end"), X.replace_first("p_name", "l", "L").alias("first_l"),
         F.regexp_replace("p_name", "l", "L").alias("all_l"), X.zero_pad2("p_size").alias("padded"),
         X.extract("p_name", "bolt|ring").alias("found"),

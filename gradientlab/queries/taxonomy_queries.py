@@ -8,7 +8,7 @@ changes; one in seven is unknown altogether.
 from pyspark.sql import functions as F
 
 from ..functions.semantics import recode
-from ..functions.text import genus, word
+from ..functions.text import genus, tail, word
 from ..operators import taxonomy as T
 from ..operators.community import site_species
 from ..operators.reshape import first_per_key
@@ -52,9 +52,9 @@ cleaned AS (
 def typed(spark, folder):
     part = table(spark, folder, "part")
     name, k = F.col("p_name"), F.col("p_partkey") % 7
-    swapped = F.concat(F.lit("x"), F.substring(name, 2, 100))
+    swapped = F.concat(F.lit("x"), tail(name, 2))
     submitted = (
-        F.when(k == 1, F.concat(F.substring(name, 1, 1), F.substring(name, 3, 100)))
+        F.when(k == 1, F.concat(F.substring(name, 1, 1), tail(name, 3)))
         .when(k == 2, F.concat(name, F.right(name, F.lit(1))))
         .when(k == 3, swapped)
         .when(k == 4, F.concat(swapped, F.lit("z")))

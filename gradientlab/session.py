@@ -34,6 +34,8 @@ def local_session(cores: int | str = "*", partitions: int = 8, app: str = "gradi
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(partitions))
+        # file sizes are compressed sizes; on one machine a shuffled join beats building a table of many MB
+        .config("spark.sql.autoBroadcastJoinThreshold", "2MB")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -33,11 +33,15 @@ TURF_RECORDS_NAMED = """
 SELECT os.siteID AS originSiteID, ob.blockID AS originBlockID, op.plotID AS originPlotID, t.turfID,
        dp.plotID AS destPlotID, db.blockID AS destBlockID, ds.siteID AS destSiteID, t.TTtreat,
        c.year, c.species, CAST(c.cover AS DOUBLE) AS cover, c.flag, x.speciesName
-FROM {blocks} ob, {sites} os, {plots} op, {turfs} t, {turfCommunity} c,
-     {plots} dp, {blocks} db, {sites} ds, {taxon} x
-WHERE ob.siteID = os.siteID AND op.blockID = ob.blockID AND t.originPlotID = op.plotID
-  AND c.turfID = t.turfID AND t.destinationPlotID = dp.plotID AND db.siteID = ds.siteID
-  AND dp.blockID = db.blockID AND c.species = x.species
+FROM {turfCommunity} c
+JOIN {turfs} t ON t.turfID = c.turfID
+JOIN {taxon} x ON x.species = c.species
+JOIN {plots} op ON op.plotID = t.originPlotID
+JOIN {blocks} ob ON ob.blockID = op.blockID
+JOIN {sites} os ON os.siteID = ob.siteID
+JOIN {plots} dp ON dp.plotID = t.destinationPlotID
+JOIN {blocks} db ON db.blockID = dp.blockID
+JOIN {sites} ds ON ds.siteID = db.siteID
 """
 
 
