@@ -277,7 +277,8 @@ ARIZONA_IDS = {
 
 
 def _arizona_keys(df: DataFrame) -> DataFrame:
-    df = df.drop("Teabag number", "TransplantNET Treatment").withColumnsRenamed(ARIZONA_KEYS)
+    unused = [c for c in df.columns if c == "Teabag number" or c.endswith(" Treatment")]
+    df = df.drop(*unused).withColumnsRenamed(ARIZONA_KEYS)
     df = df.withColumns({
         "destSiteID": X.extract("plotID", "^.{2}"), "Treatment": S.recode("Treatment", ARIZONA_TREATMENTS),
     })

@@ -153,7 +153,7 @@ def montana(s):
 def arizona(s):
     keys = (
         "Year int, `Date Collected` string, Ecosystem string, `Warming.Treat` string, Plot string, `Teabag number` int, "
-        "`TransplantNET Treatment` string"
+        "`Network Treatment` string"
     )
     return {
         "community": frame(
