@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,7 +26,9 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int | str = "*", partitions: int = 8, app: str = "gradientlab") -> SparkSession:
+def local_session(
+    cores: int | str = "*", partitions: int = 8, app: str = "gradientlab", checkpoint_dir: str = "/tmp/gradientlab-scratch"
+) -> SparkSession:
     """A single-machine session for tests and benchmarks."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -36,6 +38,7 @@ def local_session(cores: int | str = "*", partitions: int = 8, app: str = "gradi
         .config("spark.sql.shuffle.partitions", str(partitions))
         # file sizes are compressed sizes; on one machine a shuffled join beats building a table of many MB
         .config("spark.sql.autoBroadcastJoinThreshold", "2MB")
+        .config("spark.checkpoint.dir", checkpoint_dir)
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -43,30 +46,40 @@ def local_session(cores: int | str = "*", partitions: int = 8, app: str = "gradi
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Folder shared by driver and executors, taken from ``spark.checkpoint.dir``.
+    """Folder shared by driver and executors: ``spark.checkpoint.dir``.
 
-    Only a local-mode session without that setting falls back to a temporary
-    folder; on a cluster a missing setting is an error, because a machine-local
-    folder would not survive the loss of an executor.
+    Where that setting is absent, the warehouse folder serves, which driver and
+    executors of a session share too.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-    folder = tempfile.mkdtemp(prefix="gradientlab-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
+
+
+def run_folder(spark: SparkSession) -> str:
+    """Where everything that this application stages lies."""
+    return f"{scratch_root(spark)}/{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A per-application path below the shared folder (overwritten on re-use)."""
-    return f"{scratch_root(spark)}/{spark.sparkContext.applicationId}/{name}"
+    """A path below the shared folder that no other call gets."""
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def stage_table(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back (cuts lineage)."""
+    """Write ``df`` as Parquet in the shared folder and read it back (cuts lineage).
+
+    Every call has a path of its own, so frames staged earlier, also under the
+    same name, stay readable until ``clear_run``.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_run(spark: SparkSession) -> bool:
+    """Remove all that this application staged; frames read from there end with it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    return bool(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True))

@@ -6,10 +6,11 @@ import compare
 import pytest
 
 import __spark_entry__ as entry_module
+from gradientlab.queries import REGISTRY as QUERIES
+from gradientlab.queries import SQL
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="test tables not present")
-QUERIES, SQL = entry_module.queries(), entry_module.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +20,7 @@ def con():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_module.queries()) and set(SQL) <= set(entry_module.oracle_sql())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
