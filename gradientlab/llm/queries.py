@@ -4,8 +4,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, packing
-from .common import table
+from . import bpe, langid, nbsvm, packing
+from .common import held_out, table
 from .registry import query
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -30,3 +30,22 @@ def op10_token_files(spark, folder):
     files = scratch_path(spark, "token_files")
     packing.write_ids(table(spark, folder, "documents"), files, TOKENIZER)
     return packing.read_documents(spark, files)
+
+
+@query("op1_quality")
+def op1_quality(spark, folder):
+    """Score of every document by a model learnt outside the held-out fold."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    scored = nbsvm.score(docs, nbsvm.fit(docs, table(spark, folder, "labels")))
+    return scored.select(
+        "doc_id", held_out().alias("held_out"), "score",
+        (F.col("score") >= nbsvm.REJECT_BELOW).cast("int").alias("predicted"),
+    )
+
+
+@query("op7_language")
+def op7_language(spark, folder):
+    """Predicted language of every document by a model learnt outside the held-out fold."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    found = langid.identify(docs.select("doc_id", "text"), langid.fit(docs))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "accepted")
