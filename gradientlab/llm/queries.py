@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, langid, nbsvm, packing
+from . import bpe, langid, nbsvm, packing, sharding
 from .common import held_out, table
 from .registry import query
 
@@ -49,3 +49,13 @@ def op7_language(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
     found = langid.identify(docs.select("doc_id", "text"), langid.fit(docs))
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "accepted")
+
+
+@query("op2_sharding")
+def op2_sharding(spark, folder):
+    """All documents in 40 shards of near equal bytes."""
+    placed = sharding.shard_documents(table(spark, folder, "documents"), 40)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
