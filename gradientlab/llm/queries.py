@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, langid, nbsvm, packing, sharding
+from . import bpe, chat, langid, nbsvm, packing, sharding
 from .common import held_out, table
 from .registry import query
 
@@ -59,3 +59,14 @@ def op2_sharding(spark, folder):
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query("op5_chat")
+def op5_chat(spark, folder):
+    """All conversations, and one that consists of control strings, formatted and read back."""
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string")
+    files = scratch_path(spark, "chat")
+    chat.write_formatted(turns.unionByName(extra), files)
+    return chat.read_back(spark.read.parquet(files))
