@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, chat, langid, nbsvm, packing, sharding
+from . import bpe, chat, decontaminate, langid, nbsvm, packing, sharding
 from .common import held_out, table
 from .registry import query
 
@@ -70,3 +70,29 @@ def op5_chat(spark, folder):
     files = scratch_path(spark, "chat")
     chat.write_formatted(turns.unionByName(extra), files)
     return chat.read_back(spark.read.parquet(files))
+
+
+@query("op8_decontaminate", r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents
+), b AS (
+  SELECT min(item_id) AS item_id, w, len(w) AS n
+  FROM (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM benchmark) GROUP BY w HAVING len(w) >= 6
+), dw AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM d),
+bw AS (SELECT item_id, n, unnest(w) AS word, generate_subscripts(w, 1) AS ipos FROM b),
+same AS (
+  SELECT doc_id, item_id, n, pos - ipos AS shift, ipos,
+         lead(ipos, 9) OVER a - ipos AS span, count(*) OVER (PARTITION BY doc_id, item_id, pos - ipos) AS agreeing
+  FROM dw JOIN bw USING (word) WINDOW a AS (PARTITION BY doc_id, item_id, pos - ipos ORDER BY ipos)
+), hit AS (
+  SELECT doc_id, item_id, max(agreeing) AS agreeing FROM same
+  WHERE (n >= 12 AND span < 12) OR (n < 12 AND agreeing = n) GROUP BY ALL
+), per AS (
+  SELECT doc_id, count(*) AS n_items, min(item_id) AS first_item, max(agreeing) AS most_agreeing FROM hit GROUP BY 1
+)
+SELECT d.doc_id, n_items IS NOT NULL AS contaminated, coalesce(n_items, 0) AS n_items, first_item, most_agreeing
+FROM documents d LEFT JOIN per USING (doc_id)
+""")
+def op8_decontaminate(spark, folder):
+    """Every document, and whether it overlaps a benchmark item."""
+    return decontaminate.flag(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
