@@ -5,7 +5,8 @@ has a rank.  A segment tree over the byte positions of the piece holds, per
 live position, the rank of the pair that starts there joined with the position;
 its root is the leftmost minimum.  A merge changes three leaves (the pair at the
 merged position, the pair before it, and the position that dies), so a piece of
-n bytes takes O(n log n) steps, whatever it looks like.
+n bytes takes O(n log n) steps, whatever it looks like.  Pieces met before are
+not merged again.
 
 Null texts count as empty and get an empty id list.  Very long texts are
 encoded whole.  Rows are independent of each other: repeated rows give repeated
@@ -24,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from .common import add_columns, gather
-from .pieces import PATTERN, Memo, splitter
+from .pieces import Memo
 
 _NONE = 1 << 62
 
@@ -111,17 +112,16 @@ def _memo(path: str) -> Memo:
     return Memo(lambda pieces: [merge(p.encode()) for p in pieces])
 
 
-def encode_texts(texts: list[str | None], path: str, pattern: str = PATTERN) -> tuple[np.ndarray, np.ndarray]:
+def encode_texts(texts: list[str | None], path: str) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts, offsets of the texts in them)."""
-    split = splitter(pattern)
-    return _memo(path).lookup([split(t) if t else [] for t in texts])
+    return _memo(path).lookup(texts)
 
 
-def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", pattern: str = PATTERN) -> DataFrame:
+def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """Add ``ids`` (array<int>): the token ids of the whole text."""
 
     def run(column: pa.Array) -> list[pa.Array]:
-        values, offsets = encode_texts(column.to_pylist(), path, pattern)
+        values, offsets = encode_texts(column.to_pylist(), path)
         return [pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values))]
 
     return add_columns(df, text, f"`{ids}` array<int>", run)

@@ -35,8 +35,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
+from tokenizers import Tokenizer, pre_tokenizers
 
-from .pieces import Memo, splitter
+from ..session import stage_table
+from .pieces import Memo
 
 MAGIC = b"BPK1"
 _HEAD = struct.Struct("<4sB3xIQ")
@@ -110,8 +112,6 @@ def unpack(packed: bytes, start: int = 0, stop: int | None = None) -> np.ndarray
 @lru_cache(maxsize=2)
 def _tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    from tokenizers import Tokenizer
-
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True  # a special token's string inside a text is ordinary text
     return tokenizer
@@ -124,9 +124,15 @@ def vocabulary_size(path: str) -> int:
 @lru_cache(maxsize=2)
 def _memo(path: str) -> Memo:
     tokenizer = _tokenizer(path)
+    model = tokenizer.model
+    # what the library's byte-level step makes of each byte
+    step = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    letters: dict[int, str] = {}
+    for code in [*range(0x800), *range(0x800, 0xD800, 0x400), *range(0xE000, 0x110000, 0x4000)]:
+        letters.update(zip(chr(code).encode(), step.pre_tokenize_str(chr(code))[0][0]))
 
     def encode(pieces: list[str]) -> list[list[int]]:
-        return [e.ids for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        return [[t.id for t in model.tokenize(p.encode().decode("latin-1").translate(letters))] for p in pieces]
 
     return Memo(encode)
 
@@ -134,11 +140,11 @@ def _memo(path: str) -> Memo:
 def encode_texts(texts: list[str | None], path: str) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts, offsets of the texts in them), by the tokenizers library.
 
-    The library splits a text by the same pattern before it merges, so it is
-    asked once for each piece and the pieces' ids are joined.
+    The library splits a text by the same pattern before its model merges, so
+    the model is asked once for each new piece and the pieces' ids are joined.
+    The file must be one of byte-level BPE without a prefix blank.
     """
-    split = splitter()
-    return _memo(path).lookup([split(t) if t else [] for t in texts])
+    return _memo(path).lookup(texts)
 
 
 def write_ids(
@@ -200,7 +206,9 @@ def read_segments(spark: SparkSession, folder: str) -> DataFrame:
     bases = totals.select("part", F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("base"))
     inside = Window.partitionBy("part").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.withColumn("ahead", F.coalesce(F.sum("n_ids").over(inside), F.lit(0))).join(bases, "part")
-    return files.join(starts.select("part", "segment", (F.col("base") + F.col("ahead")).alias("start")), ["part", "segment"])
+    # staged, so that its size is known: a small table is sent to the files, not the files shuffled to it
+    starts = stage_table(starts.select("part", "segment", (F.col("base") + F.col("ahead")).alias("start")), "starts")
+    return files.join(starts, ["part", "segment"])
 
 
 def read_documents(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,11 +1,15 @@
-"""Splitting text into the pieces within which byte-level BPE merges."""
+"""Splitting texts into the pieces within which byte-level BPE merges, and a memory of pieces.
+
+Whole batches are split at once: characters are classed, and the borders between
+pieces follow from the classes of neighbours.  The borders are those of the
+matches of ``PATTERN``.
+"""
 
 from __future__ import annotations
 
 import re
 import sys
-import unicodedata
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -15,78 +19,204 @@ from .common import gather
 
 #: Fixed value: the pattern that the rank files presuppose.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-
-
-@lru_cache(maxsize=4)
-def splitter(pattern: str = PATTERN) -> Callable[[str], list[str]]:
-    """Function that lists the matches of ``pattern``.
-
-    For the usual pattern the standard ``re`` module does it, twice as fast as
-    ``regex``.  Its classes differ for numbers that aren't decimal digits and
-    for the separators U+001C to U+001F; texts with those go the plain way.
-    """
-    full = regex.compile(pattern).findall
-    if pattern != PATTERN:
-        return full
-    odd = [chr(i) for i in range(sys.maxunicode + 1) if unicodedata.category(chr(i)) in ("Nl", "No")]
-    other = re.compile("[\x1c-\x1f" + "".join(odd) + "]").search
-    ascii_other = re.compile("[\x1c-\x1f]").search
-    same = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+").findall
-
-    def split(text: str) -> list[str]:
-        unusual = ascii_other(text) if text.isascii() else other(text)
-        return full(text) if unusual else same(text)
-
-    return split
+_LETTER, _NUMBER, _OTHER, _BLANK = range(4)
+#: Texts are split in runs of about so many characters, which bounds the arrays.
+RUN = 1 << 18
+_BASE = 0x9E3779B97F4A7C15 | 1
+_CUT = re.compile(r"(?<=[a-z]) (?=[a-z])")
+
+
+@lru_cache(maxsize=1)
+def _classes() -> np.ndarray:
+    kinds = np.full(sys.maxunicode + 1, _OTHER, dtype=np.uint8)
+    everything = "".join(map(chr, [*range(0xD800), *range(0xE000, sys.maxunicode + 1)]))
+    for kind, pattern in ((_LETTER, r"\p{L}+"), (_NUMBER, r"\p{N}+"), (_BLANK, r"\s+")):
+        for found in regex.finditer(pattern, everything):
+            run = found.group()
+            # the characters of a match follow each other but for the gap of the surrogates
+            kinds[np.frombuffer(run.encode("utf-32-le"), dtype="<u4")] = kind
+    return kinds
+
+
+@lru_cache(maxsize=1)
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse mod 2**64."""
+    n = 2 * RUN
+    out = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        powers = np.full(n, base, dtype=np.uint64)
+        powers[0] = 1
+        out.append(np.cumprod(powers, dtype=np.uint64))
+    return out[0], out[1]
+
+
+def borders(codes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """For each character whether a piece begins there; ``first`` marks the first ones of texts."""
+    kind = _classes()[codes]
+    begins = first.copy()
+    begins[1:] |= kind[1:] != kind[:-1]
+    solid = kind != _BLANK
+    meets = np.zeros(len(codes), dtype=bool)  # of a blank whether a text goes on behind it with something else
+    meets[:-1] = ~solid[:-1] & solid[1:] & ~first[1:]
+    begins |= meets
+    taken = np.flatnonzero(meets & (codes == 32)) + 1  # these have a blank in front
+    begins[taken] = False
+    for i in np.flatnonzero((codes == 39) & begins).tolist():
+        rest = codes[i + 1 : i + 3].tolist()
+        stop = i + 1
+        while stop < len(first) and stop < i + 3 and not first[stop]:
+            stop += 1
+        rest = "".join(map(chr, rest[: stop - i - 1]))
+        length = 2 if rest[:1] in tuple("stmd") else 3 if rest in ("re", "ve", "ll") else 0
+        if length:
+            begins[i + 1 : i + length] = False
+            if i + length < len(begins):
+                begins[i + length] = True
+    return begins
+
+
+def _runs(texts: list[str]) -> Iterator[tuple[str, list[int], list[int]]]:
+    """(joined parts of texts, length of each part, number of its text)."""
+    parts: list[str] = []
+    numbers: list[int] = []
+    size = 0
+    for k, text in enumerate(texts):
+        at = 0
+        while at < len(text):
+            # a blank between small letters always begins a piece, so a text may be cut there
+            cut = _CUT.search(text, at + RUN) if len(text) - at > 2 * RUN else None
+            end = cut.start() if cut else len(text)
+            if parts and size + end - at > RUN:
+                yield "".join(parts), list(map(len, parts)), numbers
+                parts, numbers, size = [], [], 0
+            parts.append(text[at:end])
+            numbers.append(k)
+            size += end - at
+            at = end
+    if parts:
+        yield "".join(parts), list(map(len, parts)), numbers
+
+
+def _hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash, never 0, of each piece."""
+    up, down = _powers()
+    if len(codes) > len(up):  # one piece-rich text that has no place to be cut
+        up = np.concatenate([up, np.zeros(len(codes) - len(up), dtype=np.uint64)])
+        down = np.concatenate([down, np.zeros(len(codes) - len(down), dtype=np.uint64)])
+        half = 2 * RUN
+        for a in range(half, len(codes), half):
+            n = min(half, len(codes) - a)
+            up[a : a + n] = up[:n] * (up[a - 1] * np.uint64(_BASE))
+            down[a : a + n] = down[:n] * (down[a - 1] * down[1])
+    sums = np.zeros(len(codes) + 1, dtype=np.uint64)
+    np.cumsum((codes + np.uint64(1)) * up[: len(codes)], out=sums[1:])
+    h = (sums[ends] - sums[starts]) * down[starts]
+    h = (h + (ends - starts).astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    return h | np.uint64(1 << 63)
+
+
+def split(text: str) -> list[str]:
+    """The pieces of one text."""
+    if not text:
+        return []
+    codes = np.frombuffer(text.encode("utf-32-le"), dtype="<u4")
+    first = np.zeros(len(codes), dtype=bool)
+    first[0] = True
+    starts = np.flatnonzero(borders(codes, first)).tolist()
+    return [text[a:b] for a, b in zip(starts, [*starts[1:], len(text)])]
 
 
 class Memo:
-    """Ids of pieces seen before; emptied once it holds more than ``size`` pieces.
+    """Ids of pieces seen before, found by a 64-bit hash of the piece; emptied when full.
 
-    ``lookup`` gives the ids of a list of pieces as one array with offsets by
-    text; ``encode`` is asked only for pieces that are new.
+    ``encode`` is asked only for pieces that are new.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], size: int = 250_000):
-        self.encode, self.size = encode, size
-        self.young: dict[str, int] = {}
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], bits: int = 21):
+        self.encode, self.bits = encode, bits
         self._clear()
 
     def _clear(self) -> None:
-        self.young = {}
+        self.keys = np.zeros(1 << self.bits, dtype=np.uint64)
+        self.place = np.zeros(1 << self.bits, dtype=np.int32)
         self.values = np.zeros(1 << 16, dtype=np.int32)
-        self.starts = np.zeros(self.size * 2, dtype=np.int64)
-        self.lengths = np.zeros(self.size * 2, dtype=np.int64)
-        self.used = 0
-
-    def _add(self, new: list[str]) -> None:
-        ids = self.encode(new)
+        self.starts = np.zeros(1 << 16, dtype=np.int64)
+        self.lengths = np.zeros(1 << 16, dtype=np.int64)
+        self.count = self.used = 0
+
+    def _find(self, hashes: np.ndarray) -> np.ndarray:
+        """Number of each piece, or -1."""
+        out = np.full(len(hashes), -1, dtype=np.int64)
+        mask = (1 << self.bits) - 1
+        todo, at = np.arange(len(hashes)), (hashes & np.uint64(mask)).astype(np.int64)
+        while len(todo):
+            key = self.keys[at]
+            hit = key == hashes[todo]
+            out[todo[hit]] = self.place[at[hit]]
+            on = ~hit & (key != 0)
+            todo, at = todo[on], (at[on] + 1) & mask
+        return out
+
+    def _add(self, hashes: np.ndarray, pieces: list[str]) -> None:
+        ids = self.encode(pieces)
         flat = np.fromiter((i for x in ids for i in x), dtype=np.int32)
         lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-        n, end = len(self.young), self.used + len(flat)
-        if end > len(self.values):
-            self.values = np.concatenate([self.values, np.zeros(max(end, len(self.values)), dtype=np.int32)])
-        if n + len(new) > len(self.starts):
-            grow = max(len(new), len(self.starts))
-            self.starts = np.concatenate([self.starts, np.zeros(grow, dtype=np.int64)])
-            self.lengths = np.concatenate([self.lengths, np.zeros(grow, dtype=np.int64)])
-        self.values[self.used : end] = flat
-        self.lengths[n : n + len(new)] = lengths
-        self.starts[n : n + len(new)] = self.used + np.cumsum(lengths) - lengths
-        self.young.update(zip(new, range(n, n + len(new))))
-        self.used = end
-
-    def lookup(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """(all ids, offsets of the texts in them)."""
-        if len(self.young) > self.size:
-            self._clear()
-        known = self.young
-        new = {p for pieces in texts for p in pieces if p not in known}
-        if new:
-            self._add(list(new))
-        at = [np.fromiter(map(self.young.__getitem__, pieces), dtype=np.int64, count=len(pieces)) for pieces in texts]
-        index = np.concatenate([*at, np.zeros(0, dtype=np.int64)])
-        values, ends = gather(index, self.starts, self.lengths, self.values)
-        bounds = np.zeros(len(texts) + 1, dtype=np.int64)
-        np.cumsum([len(p) for p in texts], out=bounds[1:])
-        return values, ends[bounds]
+        while self.used + len(flat) > len(self.values):
+            self.values = np.concatenate([self.values, np.zeros_like(self.values)])
+        while self.count + len(ids) > len(self.starts):
+            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+            self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
+        self.values[self.used : self.used + len(flat)] = flat
+        new = slice(self.count, self.count + len(ids))
+        self.lengths[new] = lengths
+        self.starts[new] = self.used + np.cumsum(lengths) - lengths
+        keys, place, mask = self.keys, self.place, (1 << self.bits) - 1
+        for number, h in enumerate(hashes.tolist(), self.count):
+            at = h & mask
+            while keys[at]:
+                at = at + 1 & mask
+            keys[at] = h
+            place[at] = number
+        self.count += len(ids)
+        self.used += len(flat)
+
+    def _run(self, text: str, lengths: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids of each part)."""
+        codes = np.frombuffer(text.encode("utf-32-le"), dtype="<u4").astype(np.uint64)
+        first = np.zeros(len(codes), dtype=bool)
+        heads = np.cumsum([0, *lengths[:-1]])
+        first[heads] = True
+        begins = borders(codes, first)
+        starts = np.flatnonzero(begins)
+        ends = np.append(starts[1:], len(codes))
+        hashes = _hashes(codes, starts, ends)
+        numbers = self._find(hashes)
+        missing = np.flatnonzero(numbers < 0)
+        if len(missing):
+            new, index = np.unique(hashes[missing], return_index=True)
+            if self.count + len(new) > 1 << self.bits - 1:
+                self._clear()
+                new, index = np.unique(hashes, return_index=True)
+                missing = np.arange(len(hashes))
+            while len(new) > 1 << self.bits - 1:
+                self.bits += 1
+                self._clear()
+            at = missing[index]
+            self._add(new, [text[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())])
+            numbers[missing] = self._find(hashes[missing])
+        ids, offsets = gather(numbers, self.starts, self.lengths, self.values)
+        pieces_before = np.searchsorted(starts, np.append(heads, len(codes)))
+        return ids, np.diff(offsets[pieces_before])
+
+    def lookup(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, offsets of the texts in them)."""
+        counts, found = np.zeros(len(texts), dtype=np.int64), [np.zeros(0, dtype=np.int32)]
+        for joined, lengths, numbers in _runs([t or "" for t in texts]):
+            ids, sizes = self._run(joined, lengths)
+            found.append(ids)
+            np.add.at(counts, numbers, sizes)
+        offsets = np.zeros(len(texts) + 1, dtype=np.int64)
+        np.cumsum(counts, out=offsets[1:])
+        return np.concatenate(found), offsets
