@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, chat, decontaminate, langid, nbsvm, packing, sharding
+from . import bpe, chat, decontaminate, html_text, langid, nbsvm, packing, sharding
 from .common import held_out, table
 from .registry import query
 
@@ -96,3 +96,10 @@ FROM documents d LEFT JOIN per USING (doc_id)
 def op8_decontaminate(spark, folder):
     """Every document, and whether it overlaps a benchmark item."""
     return decontaminate.flag(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op6_html_text")
+def op6_html_text(spark, folder):
+    """Main text of every page."""
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    return html_text.extract(pages).select("page_id", "url", "text", "n_chars")
