@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, chat, decontaminate, html_text, langid, nbsvm, packing, sharding
+from . import bpe, chat, decontaminate, embedding_join, html_text, langid, nbsvm, packing, sharding
 from .common import held_out, table
 from .registry import query
 
@@ -103,3 +103,10 @@ def op6_html_text(spark, folder):
     """Main text of every page."""
     pages = table(spark, folder, "pages").select("page_id", "url", "html")
     return html_text.extract(pages).select("page_id", "url", "text", "n_chars")
+
+
+@query("op9_embedding_duplicates")
+def op9_embedding_duplicates(spark, folder):
+    """Links and component of every vector at cosine 0.95 or more."""
+    found = embedding_join.near_duplicates(table(spark, folder, "embeddings"), 0.95)
+    return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
