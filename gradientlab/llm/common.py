@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 from uuid import uuid4
 
 import numpy as np
@@ -17,8 +19,17 @@ from ..session import configure
 BATCH_ROWS = 512
 
 
+#: Folder that holds the package.
+HOME = str(Path(__file__).resolve().parents[2])
+
+
 def prepare(spark: SparkSession) -> SparkSession:
+    """Settings of this subpackage; Python workers look for the package where the driver found it, too."""
     configure(spark)
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "")
+    if HOME not in known.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join([HOME, known]) if known else HOME
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark
 

@@ -9,6 +9,8 @@ import numpy as np
 
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
+_BASE = 0x9E3779B97F4A7C15
+_POWERS = 1 << 19
 
 
 def code_points(text: str) -> np.ndarray:
@@ -61,3 +63,39 @@ def distinct(hashes: np.ndarray, scratch: np.ndarray) -> np.ndarray:
     place = np.arange(len(hashes), dtype=scratch.dtype)
     scratch[hashes] = place
     return hashes[scratch[hashes] == place]
+
+
+@lru_cache(maxsize=1)
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse mod 2**64."""
+    out = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        powers = np.full(_POWERS, base, dtype=np.uint64)
+        powers[0] = 1
+        out.append(np.cumprod(powers, dtype=np.uint64))
+    return out[0], out[1]
+
+
+def scrambled(values: np.ndarray) -> np.ndarray:
+    """A one-to-one mixing of 64-bit values."""
+    h = values ^ (values >> np.uint64(32))
+    h = h * _STEP
+    h ^= h >> np.uint64(32)
+    h *= _STEP
+    return h ^ (h >> np.uint64(32))
+
+
+def slice_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each slice of ``codes`` (uint64), the same wherever the slice stands."""
+    up, down = _powers()
+    if len(codes) > len(up):
+        n, whole = len(up), [[up], [down]]
+        for a in range(n, len(codes), n):
+            for powers, base in zip(whole, (up, down)):
+                step = powers[-1][-1] * base[1]
+                powers.append(base[: len(codes) - a] * step)
+        up, down = np.concatenate(whole[0]), np.concatenate(whole[1])
+    sums = np.zeros(len(codes) + 1, dtype=np.uint64)
+    np.cumsum((codes + np.uint64(1)) * up[: len(codes)], out=sums[1:])
+    h = (sums[ends] - sums[starts]) * down[starts] if len(starts) else np.zeros(0, dtype=np.uint64)
+    return scrambled(h + (ends - starts).astype(np.uint64) * _MULT)

@@ -16,13 +16,13 @@ import numpy as np
 import regex
 
 from .common import gather
+from .ngrams import slice_hashes
 
 #: Fixed value: the pattern that the rank files presuppose.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _LETTER, _NUMBER, _OTHER, _BLANK = range(4)
 #: Texts are split in runs of about so many characters, which bounds the arrays.
 RUN = 1 << 18
-_BASE = 0x9E3779B97F4A7C15 | 1
 _CUT = re.compile(r"(?<=[a-z]) (?=[a-z])")
 
 
@@ -38,18 +38,6 @@ def _classes() -> np.ndarray:
     return kinds
 
 
-@lru_cache(maxsize=1)
-def _powers() -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse mod 2**64."""
-    n = 2 * RUN
-    out = []
-    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
-        powers = np.full(n, base, dtype=np.uint64)
-        powers[0] = 1
-        out.append(np.cumprod(powers, dtype=np.uint64))
-    return out[0], out[1]
-
-
 def borders(codes: np.ndarray, first: np.ndarray) -> np.ndarray:
     """For each character whether a piece begins there; ``first`` marks the first ones of texts."""
     kind = _classes()[codes]
@@ -97,26 +85,6 @@ def _runs(texts: list[str]) -> Iterator[tuple[str, list[int], list[int]]]:
         yield "".join(parts), list(map(len, parts)), numbers
 
 
-def _hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash, never 0, of each piece."""
-    up, down = _powers()
-    if len(codes) > len(up):  # one piece-rich text that has no place to be cut
-        up = np.concatenate([up, np.zeros(len(codes) - len(up), dtype=np.uint64)])
-        down = np.concatenate([down, np.zeros(len(codes) - len(down), dtype=np.uint64)])
-        half = 2 * RUN
-        for a in range(half, len(codes), half):
-            n = min(half, len(codes) - a)
-            up[a : a + n] = up[:n] * (up[a - 1] * np.uint64(_BASE))
-            down[a : a + n] = down[:n] * (down[a - 1] * down[1])
-    sums = np.zeros(len(codes) + 1, dtype=np.uint64)
-    np.cumsum((codes + np.uint64(1)) * up[: len(codes)], out=sums[1:])
-    h = (sums[ends] - sums[starts]) * down[starts]
-    h = (h + (ends - starts).astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93)
-    h ^= h >> np.uint64(32)
-    h *= np.uint64(0xD6E8FEB86659FD93)
-    return h | np.uint64(1 << 63)
-
-
 def split(text: str) -> list[str]:
     """The pieces of one text."""
     if not text:
@@ -191,7 +159,7 @@ class Memo:
         begins = borders(codes, first)
         starts = np.flatnonzero(begins)
         ends = np.append(starts[1:], len(codes))
-        hashes = _hashes(codes, starts, ends)
+        hashes = slice_hashes(codes, starts, ends) | np.uint64(1 << 63)  # never 0
         numbers = self._find(hashes)
         missing = np.flatnonzero(numbers < 0)
         if len(missing):

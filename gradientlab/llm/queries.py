@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, chat, decontaminate, embedding_join, html_text, langid, nbsvm, packing, sharding
+from . import bpe, chat, decontaminate, embedding_join, html_text, langid, minhash, nbsvm, packing, sharding
 from .common import held_out, table
 from .registry import query
 
@@ -110,3 +110,10 @@ def op9_embedding_duplicates(spark, folder):
     """Links and component of every vector at cosine 0.95 or more."""
     found = embedding_join.near_duplicates(table(spark, folder, "embeddings"), 0.95)
     return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+
+
+@query("op3_minhash_duplicates")
+def op3_minhash_duplicates(spark, folder):
+    """Component of every document at a Jaccard similarity of 0.85 or more."""
+    found = minhash.near_duplicates(table(spark, folder, "documents"), 85)
+    return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
