@@ -76,20 +76,30 @@ def add_columns(df: DataFrame, source: str, schema: str, fn: Callable[[pa.Array]
     All other columns pass through unchanged; a column of ``df`` that is named
     like an added one is replaced, unless it is the source.
     """
-    (src,) = fresh(df, "__source")
-    work, out = replace_columns(df.withColumn(src, F.col(f"`{source}`")), schema)
-    fields = [f for f in out.fields if f.name != src]
+    replaced = {f.name.lower() for f in T.StructType.fromDDL(schema)}
+    src = source
+    if source.lower() in replaced:  # it is still needed as the source
+        (src,) = fresh(df, "__source")
+        df = df.withColumn(src, F.col(f"`{source}`"))
+    work, out = replace_columns(df, schema)
+    index = [c.lower() for c in work.columns].index(src.lower())
+    fields = [f for f in out.fields if src == source or f.name != src]
     names = [f.name for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.schema.get_field_index(src)
-            columns = [c for i, c in enumerate(batch.columns) if i != at]
-            yield pa.RecordBatch.from_arrays([*columns, *fn(batch.column(at))], names=names)
+            kept = [c for i, c in enumerate(batch.columns) if src == source or i != index]
+            yield pa.RecordBatch.from_arrays([*kept, *fn(batch.column(index))], names=names)
 
     return work.mapInArrow(run, T.StructType(fields))
 
 
+def keep_rows(df: DataFrame, source: str, fn: Callable[[pa.Array], pa.Array]) -> DataFrame:
+    """The rows for which ``fn`` of column ``source`` is true, with all columns as they are."""
+    (flag,) = fresh(df, "__keep")
+    return add_columns(df, source, f"`{flag}` boolean", lambda column: [fn(column)]).filter(F.col(flag)).drop(flag)
+
+
 def bounded_sample(df: DataFrame, key: Column, rows: int) -> DataFrame:
     """At most ``rows`` rows, picked by a hash of ``key``.
 

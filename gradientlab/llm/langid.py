@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import add_columns, bounded_sample, held_out
+from .common import add_columns, bounded_sample, held_out, keep_rows
 from .ngrams import code_points, letters, mixed, windows
 
 BITS = 16
@@ -136,19 +136,35 @@ def fit(docs: DataFrame, max_rows: int = 4000, max_chars: int = 20_000) -> Model
     return fit_rows(rows["text"].tolist(), rows["lang"].tolist())
 
 
+def identify_texts(texts: list[str | None], model: Model) -> list[tuple[str, float, bool]]:
+    """(language, probability, whether it is accepted) of each text."""
+    out = []
+    for t in texts:
+        p = model.probabilities(t) if t and model.languages else None
+        if p is None:
+            out.append((UNKNOWN, 0.0, False))
+        else:
+            k = int(p.argmax())
+            out.append((model.languages[k], float(p[k]), float(p[k]) >= model.threshold))
+    return out
+
+
 def identify(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """Add lang_pred, score (calibrated probability) and accepted."""
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def run(column: pa.Array) -> list[pa.Array]:
-        model = shared.value
-        langs, scores, accepted = [], [], []
-        for t in column.to_pylist():
-            p = model.probabilities(t) if t and model.languages else None
-            k = None if p is None else int(p.argmax())
-            langs.append(UNKNOWN if k is None else model.languages[k])
-            scores.append(0.0 if k is None else float(p[k]))
-            accepted.append(k is not None and scores[-1] >= model.threshold)
-        return [pa.array(langs, type=pa.string()), pa.array(scores, type=pa.float64()), pa.array(accepted, type=pa.bool_())]
+        found = identify_texts(column.to_pylist(), shared.value)
+        kinds = (pa.string(), pa.float64(), pa.bool_())
+        return [pa.array([row[k] for row in found], type=kind) for k, kind in enumerate(kinds)]
 
     return add_columns(df, text, "lang_pred string, score double, accepted boolean", run)
+
+
+def keep_accepted(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows whose language is accepted, columns unchanged; all of them if nothing could be learnt."""
+    if not model.languages:
+        return df
+    shared = df.sparkSession.sparkContext.broadcast(model)
+    return keep_rows(df, text, lambda column: pa.array(
+        [ok for _, _, ok in identify_texts(column.to_pylist(), shared.value)], type=pa.bool_()))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import add_columns, bounded_sample, held_out
+from .common import add_columns, bounded_sample, held_out, keep_rows
 from .ngrams import code_points, distinct, mixed, shapes, windows
 
 BITS = 18
@@ -160,12 +160,21 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 4000, max_chars: int
     return fit_rows(rows["text"].tolist(), rows["label"].to_numpy(dtype=np.int64))
 
 
+def score_texts(texts: list[str | None], model: Model) -> np.ndarray:
+    scratch = np.zeros(1 << BITS, dtype=np.int64)
+    return model.scores([features(t or "", scratch) for t in texts])
+
+
 def score(df: DataFrame, model: Model, text: str = "text", score: str = "score") -> DataFrame:
     """Add ``score`` (0 to 1, higher: label 1 likelier)."""
     shared = df.sparkSession.sparkContext.broadcast(model)
+    return add_columns(
+        df, text, f"`{score}` double", lambda column: [pa.array(score_texts(column.to_pylist(), shared.value))])
 
-    def run(column: pa.Array) -> list[pa.Array]:
-        scratch = np.zeros(1 << BITS, dtype=np.int64)
-        return [pa.array(shared.value.scores([features(t or "", scratch) for t in column.to_pylist()]))]
 
-    return add_columns(df, text, f"`{score}` double", run)
+def keep_good(df: DataFrame, model: Model, text: str = "text", least: float = REJECT_BELOW) -> DataFrame:
+    """The rows whose score is at least ``least``, columns unchanged; all of them if nothing could be learnt."""
+    if model.constant is not None:
+        return df
+    shared = df.sparkSession.sparkContext.broadcast(model)
+    return keep_rows(df, text, lambda column: pa.array(score_texts(column.to_pylist(), shared.value) >= least))
