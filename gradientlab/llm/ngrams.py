@@ -92,7 +92,7 @@ def slice_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
         n, whole = len(up), [[up], [down]]
         for a in range(n, len(codes), n):
             for powers, base in zip(whole, (up, down)):
-                step = powers[-1][-1] * base[1]
+                step = powers[-1][-1:] * base[1:2]
                 powers.append(base[: len(codes) - a] * step)
         up, down = np.concatenate(whole[0]), np.concatenate(whole[1])
     sums = np.zeros(len(codes) + 1, dtype=np.uint64)
