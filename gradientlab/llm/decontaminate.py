@@ -118,7 +118,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per contaminated id: doc_id, n_items, first_item, most_agreeing."""
     return overlaps(docs, benchmark).groupBy("doc_id").agg(
-        F.countDistinct("item_id").alias("n_items"), F.min("item_id").alias("first_item"),
+        F.countDistinct(F.struct("item_id")).alias("n_items"), F.min("item_id").alias("first_item"),
         F.max("agreeing").cast("bigint").alias("most_agreeing"),
     )
 

@@ -6,8 +6,8 @@ hashes; with fewer words the whole sequence is its only shingle, without words
 the set is empty and linked with nothing.
 
 Documents with equal sets are one item.  An item's sketch has ``REGISTERS``
-buckets; of the smallest hash in a bucket it keeps the number of leading zeros (6
-bits) and the 10 bits behind the first one.  An empty bucket borrows the register
+buckets; of the smallest hash in a bucket it keeps the number of leading zeros (5
+bits) and the 3 bits behind the first one.  An empty bucket borrows the register
 of a filled one, the first in an order of its own, so that registers agree
 independently of each other in small sets too.  The sketch is cut into bands of
 registers spread over it; items that share a band are candidates.  Bands are as
@@ -17,12 +17,12 @@ probability of at most 1e-5 (9 registers at 0.85: 4e-7; 8 at 0.8: 8e-6).
 Candidates are compared by the share of equal registers, corrected for the
 registers that agree by chance; what may reach the threshold is verified on the
 full sets.  The first round compares each item with one item, the hub, of every
-bucket that it is in; hubs follow one of four orders, so a group has few.  Links
+bucket that it is in; hubs are first in one of four orders, so a group has few.  Links
 give components; a bucket whose members are in one component is done.  In the
 others, later rounds compare what isn't in the bucket's largest component with
-the members of other components: each item with the most similar ones first,
-more in each round, until no pair is left that is in different components, may
-reach the threshold and has not been verified.  So no link between components is
+the members of other components (a pair in the first bucket that both share):
+each item with the most similar ones first, more in each round, until a round has
+left no pair out that is in different components and may reach the threshold.  So no link between components is
 lost, and a group of many copies doesn't produce all its pairs.  Large buckets are
 dealt into blocks, one task for each pair of blocks.
 
@@ -50,11 +50,13 @@ SHINGLE = 5
 REGISTER_BITS = 9
 REGISTERS = 1 << REGISTER_BITS
 MISS = 1e-5
-MANTISSA = 10
+MANTISSA = 3
 #: Bytes of text that are hashed at a time (or one text, if longer).
 RUN = 1 << 19
 #: Sketches say little about sets smaller than this; such pairs go straight to verification.
-SMALL_SET = 256
+SMALL_SET = 32
+#: Item ids are compared under one of these to find a bucket's hub.
+ORDERS = (0x0, 0x5555555555555555, 0x3333333333333333, 0x6A09E667F3BCC908)
 
 SIGNATURE = "doc_id bigint, n_shingles bigint, key1 bigint, key2 bigint, sketch binary"
 
@@ -117,10 +119,10 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
     filled, least = bucket[first], hashes[first] << np.uint64(REGISTER_BITS)
     # a double's exponent is exact for the position of the top bit once the low bits that could round up are gone
     top = np.frexp((least & ~(least >> np.uint64(1))).astype(np.float64))[1]  # bits in use
-    zeros = np.minimum(64 - top, 63)
-    mantissa = (least << (zeros + 1).clip(max=63).astype(np.uint64)) >> np.uint64(64 - MANTISSA)
+    zeros = np.minimum(64 - top, 31)
+    mantissa = (least << (zeros + 1).astype(np.uint64)) >> np.uint64(64 - MANTISSA)
     value = (zeros.astype(np.uint64) << np.uint64(MANTISSA) | mantissa).astype(np.int64)
-    out = np.zeros(REGISTERS, dtype=np.uint16)
+    out = np.zeros(REGISTERS, dtype=np.uint8)
     out[filled] = value
     if len(filled) < REGISTERS:
         empty = np.flatnonzero(np.bincount(filled, minlength=REGISTERS) == 0)
@@ -159,7 +161,7 @@ def band_hashes(sketches: np.ndarray, size: int) -> np.ndarray:
 
 def chance(n: np.ndarray, m: np.ndarray) -> np.ndarray:
     """Probability that registers of unrelated sets of n and m shingles agree."""
-    level = np.arange(48)
+    level = np.arange(32)
     load = lambda x: np.maximum(np.asarray(x, dtype=np.float64) / REGISTERS, 1)[..., None]
 
     def zeros(x: np.ndarray) -> np.ndarray:
@@ -176,9 +178,12 @@ def estimate(equal: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
 
 
 def may_link(equal: np.ndarray, n: np.ndarray, m: np.ndarray, least: float) -> np.ndarray:
-    """Whether a pair may reach the similarity: sizes allow it, and the estimate is not six deviations below."""
+    """Whether a pair may reach the similarity: sizes allow it, and the estimate is not five deviations below.
+
+    The deviation is that of independent registers, and a quarter more for those that are borrowed.
+    """
     small, large = np.minimum(n, m), np.maximum(n, m)
-    margin = 6 * np.sqrt(least * (1 - least) / np.minimum(REGISTERS, small))
+    margin = 5 * 1.25 * np.sqrt(least * (1 - least) / REGISTERS)
     return (small >= least * large - 1e-9) & ((small < SMALL_SET) | (estimate(equal, n, m) >= least - margin))
 
 
@@ -214,7 +219,7 @@ def _bands(items: DataFrame, size: int) -> DataFrame:
 
 
 def _sketch_rows(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint16).reshape(-1, REGISTERS)
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(-1, REGISTERS)
 
 
 def _estimated(pairs: DataFrame, items: DataFrame, least: float) -> DataFrame:
@@ -234,21 +239,23 @@ def _estimated(pairs: DataFrame, items: DataFrame, least: float) -> DataFrame:
     return rows.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(run, "a bigint, b bigint")
 
 
-def _verified(pairs: DataFrame, items: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """(a, b, linked) by the full sets of both texts."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("item")).distinct().join(
-        items.select("item", "first_id", "n_shingles", "key1", "key2"), "item")
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(
-        needed, F.col("doc_id").eqNullSafe(F.col("first_id")))
+def _texts(items: DataFrame, docs: DataFrame) -> DataFrame:
+    """(item, text) of each item."""
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(
+        items.select("item", "first_id", "key1", "key2"), F.col("doc_id").eqNullSafe(F.col("first_id")))
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # a repeated id has several texts; the item's is the one with its set
+        # a repeated id has several texts; the item's are those with its set
         for batch in batches:
             keys = zip(batch.column("key1").to_pylist(), batch.column("key2").to_pylist())
             keep = pa.array([set_key(s) == k for s, k in zip(shingle_sets(batch.column("text").to_pylist()), keys)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(k).filter(keep) for k in ("item", "text")], names=["item", "text"])
 
-    texts = stage_table(texts.select("item", "text", "key1", "key2").mapInArrow(own, "item bigint, text string"), "minhash/texts")
+    return rows.select("item", "text", "key1", "key2").mapInArrow(own, "item bigint, text string")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of the pairs that the full sets of both texts link."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -256,12 +263,12 @@ def _verified(pairs: DataFrame, items: DataFrame, docs: DataFrame, percent: int)
             for x, y in zip(shingle_sets(batch.column("text_a").to_pylist()), shingle_sets(batch.column("text_b").to_pylist())):
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 linked.append(100 * common >= percent * (len(x) + len(y) - common) and common > 0)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
+            keep = pa.array(linked, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(k).filter(keep) for k in ("a", "b")], names=["a", "b"])
 
     side = lambda k: texts.select(F.col("item").alias(k), F.col("text").alias(f"text_{k}"))
     rows = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b")
-    return rows.mapInArrow(compare, "a bigint, b bigint, linked boolean")
+    return rows.mapInArrow(compare, "a bigint, b bigint")
 
 
 def _across(members: DataFrame, labels: DataFrame, items: DataFrame, least: float, most: int, block: int = 4096) -> DataFrame:
@@ -269,7 +276,9 @@ def _across(members: DataFrame, labels: DataFrame, items: DataFrame, least: floa
 
     Each item that isn't in the largest component of a bucket is given with its
     ``most`` most similar ones (of each block); ``more`` says that there are others.
+    A pair is given in the first band that both share.
     """
+    size = band_size(least)
     held = members.join(labels, "item")
     sizes = held.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
     buckets = stage_table(
@@ -281,7 +290,7 @@ def _across(members: DataFrame, labels: DataFrame, items: DataFrame, least: floa
             F.ceil((F.col("n") - F.col("top.n")) / block).cast("int").alias("rest_blocks"),
         ), "minhash/open")
     open_rows = held.join(buckets, "band").join(items.select("item", "n_shingles", "sketch"), "item")
-    draw = lambda n: F.pmod(F.xxhash64("item", "band"), n)
+    draw = lambda n: F.pmod(F.xxhash64("item", "band"), n).cast("int")
     columns = ["band", "item", "component", "n_shingles", "sketch"]
     asks = open_rows.filter("component <> largest").select(
         *columns, draw(F.col("rest_blocks")).alias("row_block"),
@@ -289,34 +298,35 @@ def _across(members: DataFrame, labels: DataFrame, items: DataFrame, least: floa
     told = open_rows.select(
         *columns, F.explode(F.sequence(F.lit(0), F.col("rest_blocks") - 1)).alias("row_block"),
         draw(F.col("blocks")).alias("column_block"), F.lit(False).alias("asks"))
-    units = asks.select(*columns, F.col("row_block").cast("bigint"), F.col("column_block").cast("bigint"), "asks").unionByName(
-        told.select(*columns, F.col("row_block").cast("bigint"), F.col("column_block").cast("bigint"), "asks"))
 
     def run(unit: pa.Table) -> pa.Table:
         asks = unit.column("asks").to_numpy()
         item, component = unit.column("item").to_numpy(), unit.column("component").to_numpy()
         n, sketches = unit.column("n_shingles").to_numpy(), _sketch_rows(unit.column("sketch").combine_chunks())
+        band = int(np.flatnonzero(band_hashes(sketches[:1], size)[0] == unit.column("band")[0].as_py())[0])
+        earlier = _layout(size)[:band]
         theirs = np.flatnonzero(~asks)
         found: list[tuple[int, int, bool]] = []
         for i in np.flatnonzero(asks).tolist():
             others = theirs[component[theirs] != component[i]]
-            equal = np.empty(len(others), dtype=np.int64)
-            for k in range(0, len(others), 1024):
-                equal[k : k + 1024] = (sketches[others[k : k + 1024]] == sketches[i]).sum(1)
+            equal = np.concatenate([
+                (sketches[others[k : k + 1024]] == sketches[i]).sum(1) for k in range(0, len(others), 1024)] or [np.zeros(0, dtype=int)])
             may = np.flatnonzero(may_link(equal, n[others], np.full(len(others), n[i]), least))
             best = may[np.argsort(-equal[may], kind="stable")]
-            more = len(best) > most
-            found += [(int(item[i]), int(item[others[j]]), more) for j in best[:most]]
+            if band:
+                first = ~(sketches[others[best]] == sketches[i])[:, earlier].all(2).any(1)
+                best = best[first]
+            found += [(int(item[i]), int(item[others[j]]), len(best) > most) for j in best[:most]]
         return pa.table({
             "a": pa.array([min(x, y) for x, y, _ in found], pa.int64()), "b": pa.array([max(x, y) for x, y, _ in found], pa.int64()),
             "more": pa.array([m for _, _, m in found], pa.bool_()),
         })
 
-    return units.groupBy("band", "row_block", "column_block").applyInArrow(run, "a bigint, b bigint, more boolean").groupBy(
-        "a", "b").agg(F.max("more").alias("more"))
+    return asks.unionByName(told).groupBy("band", "row_block", "column_block").applyInArrow(
+        run, "a bigint, b bigint, more boolean").groupBy("a", "b").agg(F.max("more").alias("more"))
 
 
-def near_duplicates(docs: DataFrame, percent: int = 80, most: int = 16) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 80, most: int = 32) -> DataFrame:
     """doc_id, n_shingles and component_id of every row; ``percent`` is the least similarity of a link."""
     least = percent / 100
     size = band_size(least)
@@ -327,34 +337,33 @@ def near_duplicates(docs: DataFrame, percent: int = 80, most: int = 16) -> DataF
         rows.filter("n_shingles > 0").groupBy(*keys).agg(F.min("doc_id").alias("first_id"), F.min("sketch").alias("sketch"))
         .select(F.monotonically_increasing_id().alias("item"), "first_id", *keys, "sketch"), "minhash/items")
     bands = _bands(items, size)
+    order = F.get(F.array(*[F.lit(x) for x in ORDERS]), F.pmod("band", F.lit(len(ORDERS))).cast("int"))
     hubs = bands.groupBy("band").agg(
-        F.min(F.struct(F.xxhash64("item", F.pmod("band", F.lit(4))).alias("draw"), "item")).alias("hub"),
-        F.count(F.lit(1)).alias("n"),
-    ).filter("n > 1").select("band", F.col("hub.item").alias("hub"))
+        F.min(F.col("item").bitwiseXOR(order)).alias("low"), F.max(F.col("item").bitwiseXOR(order)).alias("high")
+    ).filter("low < high").select("band", F.col("low").bitwiseXOR(order).alias("hub"))
     members = stage_table(bands.join(hubs, "band"), "minhash/members")
+    # sketches and texts of what shares a bucket with something are fetched once
+    shared = stage_table(items.join(members.select("item").distinct(), "item"), "minhash/shared")
+    texts = stage_table(_texts(shared, docs), "minhash/texts")
     pairs = stage_table(_estimated(
         members.filter("item <> hub").select(F.least("item", "hub").alias("a"), F.greatest("item", "hub").alias("b")).distinct(),
-        items, least), "minhash/pairs")
+        shared, least), "minhash/pairs")
     members = members.select("band", "item")
-    compared = stage_table(_verified(pairs, items, docs, percent), "minhash/compared")
-    links = compared.filter("linked").select("a", "b")
+    parts = connected_components(_verified(pairs, texts, percent))
+    compared = pairs
     while True:
-        parts = connected_components(links)
         labels = stage_table(
-            members.select("item").distinct().join(parts.withColumnRenamed("node", "item"), "item", "left")
+            shared.select("item").join(parts.withColumnRenamed("node", "item"), "item", "left")
             .select("item", F.coalesce("component", "item").alias("component")), "minhash/labels")
-        near = stage_table(_across(members, labels, items, least, most), "minhash/near")
-        new = stage_table(near.join(compared.select("a", "b"), ["a", "b"], "left_anti"), "minhash/new")
-        if new.isEmpty():
-            if not near.filter("more").isEmpty():
-                most *= 8
-                continue
+        near = stage_table(_across(members, labels, shared, least, most), "minhash/near")
+        new = stage_table(near.select("a", "b").join(compared, ["a", "b"], "left_anti"), "minhash/new")
+        if not new.isEmpty():
+            parts = connected_components(_verified(new, texts, percent).unionByName(
+                parts.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+            compared = compared.unionByName(new)
+        if near.filter("more").isEmpty():
             break
-        checked = stage_table(_verified(new.select("a", "b"), items, docs, percent), "minhash/compared")
-        compared = compared.unionByName(checked)
-        links = parts.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(
-            checked.filter("linked").select("a", "b"))
-        most *= 8
+        most *= 128
     named = items.select("item", "first_id", *keys).join(parts.withColumnRenamed("node", "item"), "item", "left").select(
         "first_id", *keys, F.coalesce("component", "item").alias("component"))
     named = stage_table(named, "minhash/named")
