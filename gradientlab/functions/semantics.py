@@ -71,8 +71,12 @@ def paste(*cols: ColumnLike, sep: str = "_") -> Column:
 
 
 def number_text(c: ColumnLike) -> Column:
-    """Text of a number without a trailing ``.0``."""
-    return F.regexp_replace(as_col(c).cast("string"), r"\.0+$", "")
+    """Text of a number without a trailing ``.0`` and without an exponent."""
+    text = as_col(c).cast("string")
+    whole, exact = text.try_cast("double"), text.try_cast("decimal(38,18)")
+    bare = F.regexp_replace(F.regexp_replace(exact.cast("string"), r"(\.\d*?)0+$", "$1"), r"\.$", "")
+    plain = F.coalesce(F.when(F.abs(whole) < 1e19, bare), whole.try_cast("decimal(38,0)").cast("string"), text)
+    return F.when(text.rlike(r"[eE][+-]?\d+$") & whole.isNotNull(), plain).otherwise(F.regexp_replace(text, r"\.0+$", ""))
 
 
 def pmax(c: ColumnLike, low: float) -> Column:

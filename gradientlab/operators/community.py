@@ -109,13 +109,17 @@ def decode_cover(
 ) -> DataFrame:
     """Replace an ordinal class by its percent mid-point.
 
-    Classes outside the scale become NULL; with ``numeric_rest`` they are read
-    as numbers instead.
+    Numbered classes are looked up by their exact number.  What is outside the
+    scale stays as it is in a column of numbers and becomes NULL in a column of
+    texts; with ``numeric_rest`` such texts are read as numbers instead.
     """
-    key_type = "string" if isinstance(next(iter(scale)), str) else "int"
     source = F.col(f"`{col}`")
-    value = recode_to(source.try_cast(key_type), dict(scale))
-    if numeric_rest:
+    text = dict(df.select(source.alias("c")).dtypes)["c"] == "string"
+    if isinstance(next(iter(scale)), str):
+        value = recode_to(source.cast("string"), dict(scale))
+    else:
+        value = recode_to(to_number(source), {float(k): v for k, v in scale.items()})
+    if numeric_rest or not text:
         value = F.coalesce(value, to_number(source))
     return df.withColumn(out, value)
 
@@ -164,19 +168,18 @@ def relative_cover(
     value: str = "Cover",
     residual: bool = True,
     strict: bool = False,
-    nulls_match: bool = True,
 ) -> DataFrame:
     """Add ``Total_Cover`` and ``Rel_Cover`` = cover / sample total.
 
     The totals are a grouped aggregate (combined on the map side) joined back
     on the sample key, not a window: a window would pull every row of one
-    sample into one task, whatever the size of that sample.  Turn ``nulls_match``
-    off for keys that are never NULL: the join then keeps a partitioning that
-    later joins on the same key can use.
+    sample into one task, whatever the size of that sample.  The join matches
+    missing keys and so gets the totals through an exchange of their own, which
+    lets a hot sample be split.
     """
     keys = list(keys) if keys is not None else all_but(df, "SpeciesName", value)
     totals = sample_totals(df, keys, value, residual, strict).select(*keys, "Total_Cover")
-    joined = null_safe_join(df, totals, keys, nulls_match=nulls_match)
+    joined = null_safe_join(df, totals, keys)
     return joined.select(*df.columns, "Total_Cover", ratio(value, "Total_Cover").alias("Rel_Cover"))
 
 
@@ -215,6 +218,23 @@ def split_community(
     return community, cover
 
 
+def tag_community(
+    df: DataFrame,
+    classes: Iterable[str],
+    relabel: Mapping[str, str] | None = None,
+    abundance: str = "Cover",
+    tag: str = "part",
+) -> DataFrame:
+    """Both parts of ``split_community`` in one table and one pass, told apart by ``tag``."""
+    is_class = F.coalesce(F.col("SpeciesName").isin(list(classes)), F.lit(False))
+    kept = df.filter(is_class | (F.col(abundance) > 0))
+    return kept.select(
+        F.when(is_class, "cover").otherwise("community").alias(tag),
+        *[F.when(is_class, recode("SpeciesName", relabel or {})).otherwise(F.col(c)).alias(c) if c == "SpeciesName"
+          else F.col(f"`{c}`") for c in df.columns],
+    )
+
+
 def cover_summary(cover: DataFrame, grain: Sequence[str] = ("UniqueID",)) -> DataFrame:
     """Summed cover and relative cover per sample and cover class."""
     return (

@@ -27,17 +27,16 @@ def missing_members(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFram
 def merge_audit(dat: DataFrame, meta: DataFrame) -> DataFrame:
     """Four counts that should be 0: unknown sites both ways, missing treatment or relative cover."""
     keys = ["Region", "destSiteID"]
-    parts = [
-        missing_members(dat, meta, keys).agg(F.count(F.lit(1)).alias("n"))
-        .select(F.lit("sites_without_meta").alias("audit"), "n"),
-        missing_members(meta, dat, keys).agg(F.count(F.lit(1)).alias("n"))
-        .select(F.lit("meta_without_data").alias("audit"), "n"),
-        dat.agg(
-            F.count_if(F.col("Treatment").isNull()).alias("null_treatment"),
-            F.count_if(F.col("Rel_Cover").isNull()).alias("null_rel_cover"),
-        ).unpivot([], ["null_treatment", "null_rel_cover"], "audit", "n"),
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    by_site = dat.groupBy(*keys).agg(
+        F.count_if(F.col("Treatment").isNull()).alias("t"), F.count_if(F.col("Rel_Cover").isNull()).alias("r"),
+        F.lit(True).alias("in_data"),
+    )
+    both = null_safe_join(by_site, meta.select(*keys).distinct().withColumn("in_meta", F.lit(True)), keys, "full")
+    names = ["sites_without_meta", "meta_without_data", "null_treatment", "null_rel_cover"]
+    return both.agg(
+        F.count_if(F.col("in_meta").isNull()).alias(names[0]), F.count_if(F.col("in_data").isNull()).alias(names[1]),
+        F.coalesce(F.sum("t"), F.lit(0)).alias(names[2]), F.coalesce(F.sum("r"), F.lit(0)).alias(names[3]),
+    ).unpivot([], names, "audit", "n")
 
 
 def rows_per_treatment(dat: DataFrame) -> DataFrame:

@@ -61,8 +61,13 @@ def gather(
 
 
 def spread(df: DataFrame, ids: Sequence[str], key: str, value: str, names: Sequence[str]) -> DataFrame:
-    """Long to wide with the new column names given, so no extra job looks for them."""
-    return df.groupBy(*ids).pivot(key, list(names)).agg(F.first(value))
+    """Long to wide with the new column names given, so no extra job looks for them.
+
+    More than one row for a cell is an error.
+    """
+    single = F.when(F.count(F.lit(1)) > 1, F.raise_error(F.lit(f"several rows for one cell of {key}"))).otherwise(F.first(value))
+    cells = df.groupBy(*ids, key).agg(single.alias(value))
+    return cells.groupBy(*ids).pivot(key, list(names)).agg(F.first(value))
 
 
 def separate(df: DataFrame, col: str, into: Sequence[str], sep: str) -> DataFrame:
@@ -122,14 +127,19 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     return picked.select(*keys, *[F.col(f"__row.`{c}`").alias(c) for c in rest])
 
 
-def _sequence(df: DataFrame, group: Sequence[str], bucket: Column, order: Sequence[str], out: str) -> DataFrame:
+def _sequence(
+    df: DataFrame, group: Sequence[str], bucket: Column, order: Sequence[str], out: str, span: int = 10_000
+) -> DataFrame:
+    """Offsets are summed in two levels, buckets and runs of ``span`` buckets: no window has more rows than that."""
     marked = df.withColumn("__bucket", bucket)
-    earlier = Window.partitionBy(*group).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        marked.groupBy(*group, "__bucket").agg(F.count(F.lit(1)).alias("__n"))
-        .withColumn("__offset", F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
-        .drop("__n")
-    )
+    counts = marked.groupBy(*group, "__bucket").agg(F.count(F.lit(1)).alias("__n")).withColumn(
+        "__run", F.floor(F.col("__bucket") / F.lit(span)))
+    before = lambda by, order_by: F.coalesce(F.sum("__n").over(
+        Window.partitionBy(*by).orderBy(order_by).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    runs = counts.groupBy(*group, "__run").agg(F.sum("__n").alias("__n")).withColumn("__before", before(group, "__run")).drop("__n")
+    local = counts.withColumn("__within", before([*group, "__run"], "__bucket")).drop("__n")
+    offsets = null_safe_join(local, runs, [*group, "__run"]).select(
+        *group, "__bucket", (F.col("__before") + F.col("__within")).alias("__offset"))
     inside = Window.partitionBy(*group, "__bucket").orderBy(*order)
     numbered = marked.withColumn("__pos", F.row_number().over(inside))
     joined = null_safe_join(numbered, offsets, [*group, "__bucket"])
@@ -143,19 +153,21 @@ def sequence_in_group(
 
     ``row_no`` is a unique whole number.  Rows are numbered inside buckets of
     consecutive ``row_no`` values, and the counts of earlier buckets are added
-    on top; no task ever sees more than ``bucket_rows`` rows of a group at once.
+    on top; no window ever holds more than ``bucket_rows`` rows of a group.
     """
     return _sequence(df, group, F.floor(F.col(row_no) / F.lit(bucket_rows)), [row_no], out)
 
 
 def sequence_by_hash(
-    df: DataFrame, group: Sequence[str], order: Sequence[str], out: str, buckets: int = 4096
+    df: DataFrame, group: Sequence[str], order: Sequence[str], out: str, bucket_rows: int = 100_000
 ) -> DataFrame:
     """Number the rows of each group 1..n in a fixed but arbitrary order.
 
     For distinct rows without a row number: rows are spread evenly over hash
-    buckets of ``order`` and numbered bucket by bucket.
+    buckets of ``order`` and numbered bucket by bucket.  The rows are counted
+    first, for buckets of about ``bucket_rows`` rows of the largest group.
     """
+    buckets = max(1, -(-df.count() // bucket_rows))
     return _sequence(df, group, F.pmod(F.xxhash64(*order), F.lit(buckets)), list(order), out)
 
 
@@ -166,8 +178,14 @@ def count_by(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def crosstab(df: DataFrame, rows: Sequence[str], column: str, levels: Sequence[str]) -> DataFrame:
-    """Contingency table with the given column levels; absent combinations count 0."""
-    table = df.groupBy(*rows).pivot(column, list(levels)).agg(F.count(F.lit(1)))
+    """Contingency table with the given column levels; absent combinations count 0.
+
+    A value outside the levels is an error; missing values are not counted.
+    """
+    level = F.col(f"`{column}`")
+    known = F.when(level.isNull() | level.isin(list(levels)), level).otherwise(
+        F.raise_error(F.concat(F.lit(f"level of {column} not listed: "), level.cast("string"))))
+    table = df.withColumn(column, known).groupBy(*rows).pivot(column, list(levels)).agg(F.count(F.lit(1)))
     return table.na.fill(0, [str(v) for v in levels])
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.semantics import ColumnLike, as_col, not_in, null_safe_join, paste, recode
 from ..functions.text import genus, squish
+from ..session import stage_table
 from .reshape import sequence_by_hash, sequence_in_group
 
 # Names written by hand in the surveys and what they stand for.
@@ -153,30 +154,45 @@ def apply_synonyms(
 
 # -- resolution -------------------------------------------------------------
 
-def deletion_keys(text: ColumnLike, edits: int) -> Column:
-    """Every text obtained by deleting up to ``edits`` characters.
+def _segments(length: Column, number: int, edits: int) -> tuple[Column, Column]:
+    """Start (from 0) and length of a segment of a text cut into ``edits`` + 1 near equal ones."""
+    start = F.floor(length * number / (edits + 1)).cast("int")
+    return start, F.floor(length * (number + 1) / (edits + 1)).cast("int") - start
 
-    Two texts within Levenshtein distance k always share a text made by at most
-    k deletions from each, so these keys turn a distance search into an
-    equi-join whose candidates are near-matches only.
+
+def _key(length: Column, number: int, text: Column) -> Column:
+    return F.xxhash64(length, F.lit(number), text)
+
+
+def segment_keys(text: ColumnLike, edits: int) -> Column:
+    """One key per segment of a listed name.
+
+    With at most ``edits`` edits, one of ``edits`` + 1 segments stays untouched,
+    shifted by at most ``edits``; so these keys and ``probe_keys`` turn a distance
+    search into an equi-join.  Their number doesn't depend on the length.
     """
     text = as_col(text)
-    level = F.array(text)
-    levels = [level]
-    for _ in range(edits):
-        level = F.array_distinct(F.flatten(F.transform(level, _delete_one)))
-        levels.append(level)
-    return F.array_distinct(F.concat(*levels))
+    length = F.length(text)
+    keys = []
+    for k in range(edits + 1):
+        start, size = _segments(length, k, edits)
+        keys.append(_key(length, k, F.substring(text, start + 1, size)))
+    return F.array(*keys)
 
 
-def _delete_one(text: Column) -> Column:
-    positions = F.when(F.length(text) > 0, F.sequence(F.lit(1), F.length(text))).otherwise(
-        F.array().cast("array<int>")
-    )
-    return F.transform(
-        positions,
-        lambda i: F.concat(F.substring(text, F.lit(1), i - 1), F.substring(text, i + 1, F.length(text))),
-    )
+def probe_keys(text: ColumnLike, edits: int) -> Column:
+    """Keys of every segment that a listed name within ``edits`` edits may share with this one."""
+    text = as_col(text)
+    own, keys = F.length(text), []
+    for change in range(-edits, edits + 1):
+        length = own + F.lit(change)
+        for k in range(edits + 1):
+            start, size = _segments(length, k, edits)
+            for shift in range(-edits, edits + 1):
+                at = start + F.lit(shift)
+                fits = (length >= 0) & (at >= 0) & (at + size <= own)
+                keys.append(F.when(fits, _key(length, k, F.substring(text, at + 1, size))))
+    return F.array_distinct(F.array_compact(F.array(*keys)))
 
 
 def resolve_names(names: DataFrame, backbone: DataFrame, edits: int = 2, col: str = "submitted_name") -> DataFrame:
@@ -188,15 +204,15 @@ def resolve_names(names: DataFrame, backbone: DataFrame, edits: int = 2, col: st
     distinct names first, so the frequency of a name in the surveys plays no
     role, and only names without an exact match enter the fuzzy join.
     """
-    distinct = names.select(F.col(col).alias("name")).filter(F.col(col).isNotNull()).distinct()
-    known = backbone.groupBy("matched_name").agg(F.min("gni_uuid").alias("gni_uuid"))
+    # staged, as the list and the names are each used several times
+    distinct = stage_table(
+        names.select(F.col(col).alias("name")).filter(F.col(col).isNotNull()).distinct(), "names/asked")
+    known = stage_table(backbone.groupBy("matched_name").agg(F.min("gni_uuid").alias("gni_uuid")), "names/known")
     exact = distinct.join(known, distinct["name"] == known["matched_name"], "left")
     miss = exact.filter(F.col("matched_name").isNull()).select("name")
 
-    def keyed(df: DataFrame, text: str, key: str) -> DataFrame:
-        return df.withColumn(key, F.explode(F.transform(deletion_keys(text, edits), lambda v: F.xxhash64(v))))
-
-    left, right = keyed(miss, "name", "k"), keyed(known, "matched_name", "k2")
+    left = miss.withColumn("k", F.explode(probe_keys("name", edits)))
+    right = known.withColumn("k2", F.explode(segment_keys("matched_name", edits)))
     near = left.join(right, left["k"] == right["k2"]).withColumn(
         "distance", F.levenshtein("name", "matched_name", edits)
     ).filter(F.col("distance") >= 0)
@@ -211,12 +227,12 @@ def resolve_names(names: DataFrame, backbone: DataFrame, edits: int = 2, col: st
         F.col("b.matched_name").alias("near_name"),
     )
     score = F.when(F.col("matched_name").isNotNull(), F.lit(1.0)).otherwise(F.col("near_score"))
-    return exact.join(fuzzy, "name", "left").select(
+    return stage_table(exact.join(fuzzy, "name", "left").select(
         F.col("name").alias("user_supplied_name"),
         F.coalesce("gni_uuid", "near_id").alias("gni_uuid"),
         score.alias("score"),
         F.coalesce("matched_name", "near_name").alias("matched_name"),
-    )
+    ), "names/resolved")
 
 
 def attach_resolution(census: DataFrame, resolved: DataFrame, col: str = "submitted_name") -> DataFrame:
@@ -230,15 +246,18 @@ def number_unresolved(df: DataFrame, row_no: str | None = "row_no", append: bool
     k follows ``row_no``, or a fixed arbitrary order where no row number exists.
     With ``append`` the labelled rows are added and the originals kept as well.
     """
-    todo = df.filter(F.col("gni_uuid").isNull())
-    if row_no:
-        numbered = sequence_in_group(todo, ["Region"], row_no, "__k")
-    else:
-        numbered = sequence_by_hash(todo, ["Region"], ["destSiteID", "SpeciesName", "original_name"], "__k")
+    missing = F.col("gni_uuid").isNull()
+    order = ["destSiteID", "SpeciesName", "original_name"]
+    number = lambda rows, group: (
+        sequence_in_group(rows, group, row_no, "__k") if row_no else sequence_by_hash(rows, group, order, "__k"))
     label = paste("Region", F.lit("NID"), "__k")
-    labelled = numbered.withColumns({"submitted_name": label, "matched_name": label}).select(*df.columns)
-    rest = df if append else df.filter(F.col("gni_uuid").isNotNull())
-    return rest.unionByName(labelled).filter(F.col("submitted_name").isNotNull())
+    relabelled = {c: F.when(F.col("__k").isNotNull(), label).otherwise(F.col(c)) for c in ("submitted_name", "matched_name")}
+    if append:
+        out = df.unionByName(number(df.filter(missing), ["Region"]).withColumns(relabelled).select(*df.columns))
+    else:
+        numbered = number(df.withColumn("__missing", missing), ["Region", "__missing"])
+        out = numbered.withColumn("__k", F.when(F.col("__missing"), F.col("__k"))).withColumns(relabelled).select(*df.columns)
+    return out.filter(F.col("submitted_name").isNotNull())
 
 
 # -- matching to the trait list ---------------------------------------------
@@ -267,7 +286,7 @@ def match_hierarchy(
     per key pair; a missing key matches a missing key in the list.
     """
     key_cols = ["gni_uuid", "matched_name", "submitted_name", "original_name"]
-    distinct = cleaned.select(*key_cols).distinct()
+    distinct = stage_table(cleaned.select(*key_cols).distinct(), "names/keys")
     probes = [
         F.struct(F.lit(p).alias("priority"), F.lit(right).alias("kind"), F.col(left).cast("string").alias("key"))
         for p, (left, right) in enumerate(SPECIES_KEYS)
@@ -293,19 +312,27 @@ def match_hierarchy(
     return null_safe_join(cleaned, best, key_cols).select(*cleaned.columns, "species_match", "genus_match")
 
 
-def attach_trait_db(
+def attach_trait_rows(
     matched: DataFrame, species: DataFrame, categorical: DataFrame, numeric: DataFrame, row: str = "species_row"
-) -> tuple[DataFrame, DataFrame]:
-    """Trait values of the matched list rows: species matches only, and with genus matches.
+) -> DataFrame:
+    """Trait values of the matched list rows, ``part`` telling species matches from those with genus matches.
 
-    The three list tables are aligned by ``row``.
+    The three list tables are aligned by ``row``; the list is joined once.
     """
     names = species.withColumnRenamed("accepted_name", "try_name").drop("gni_uuid", "submitted_name")
     db = null_safe_join(null_safe_join(names, categorical, [row]), numeric, [row])
-    skeleton = ["Region", "destSiteID", "original_name", "submitted_name", F.col("matched_name").alias("accepted_name")]
-    out = []
-    for match in ("species_match", "genus_match"):
-        base = matched.select(*skeleton, F.col(match).alias("__row"))
-        joined = base.join(db, base["__row"] == db[row], "left")
-        out.append(joined.drop("__row", row))
-    return out[0], out[1]
+    parts = [F.struct(F.lit(p).alias("part"), F.col(f"{p}_match").alias("__row")) for p in ("species", "genus")]
+    asked = matched.select(
+        "Region", "destSiteID", "original_name", "submitted_name", F.col("matched_name").alias("accepted_name"),
+        F.inline(F.array(*parts)),
+    )
+    joined = asked.join(db, asked["__row"] == db[row], "left").drop("__row", row)
+    return joined.select("part", *[c for c in joined.columns if c != "part"])
+
+
+def attach_trait_db(
+    matched: DataFrame, species: DataFrame, categorical: DataFrame, numeric: DataFrame, row: str = "species_row"
+) -> tuple[DataFrame, DataFrame]:
+    """``attach_trait_rows`` as two tables: species matches only, and with genus matches."""
+    rows = attach_trait_rows(matched, species, categorical, numeric, row)
+    return tuple(rows.filter(F.col("part") == p).drop("part") for p in ("species", "genus"))

@@ -16,7 +16,7 @@ from ..operators.reshape import union_all
 from ..session import stage_table
 from ..sources.readers import write_table
 from .profile import SiteBundle, Tables, build_bundle
-from .regions import PROFILES
+from .regions import NORWAY_GRADIENTS, PROFILES, norway_records
 
 META_TYPES = {
     "Elevation": "double", "Longitude": "double", "Latitude": "double", "YearEstablished": "int", "YearMin": "int",
@@ -25,7 +25,18 @@ META_TYPES = {
 
 
 def build_bundles(raw: Mapping[str, Tables], compat: bool = False, stage: bool = False) -> dict[str, SiteBundle]:
-    """Bundles of the regions whose raw tables are given, as lazy plans."""
+    """Bundles of the regions whose raw tables are given, as lazy plans.
+
+    With ``stage``, the corrected records of Norway are written once for all
+    gradients that share their raw tables.
+    """
+    raw = dict(raw)
+    norway = [r for r in raw if r in NORWAY_GRADIENTS]
+    if stage and len(norway) > 1:
+        country = stage_table(norway_records(raw[norway[0]]), "records/norway")
+        for region in norway:
+            if raw[region]["turfs"] is raw[norway[0]]["turfs"]:
+                raw[region] = {**raw[region], "country_records": country}
     return {region: build_bundle(PROFILES[region], tables, compat, stage) for region, tables in raw.items()}
 
 

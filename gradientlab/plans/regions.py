@@ -7,6 +7,8 @@ surveys and are written as published.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -71,8 +73,11 @@ def norway_records(raw: Tables) -> DataFrame:
 
 
 def prepare_norway(sites: list[str]):
+    """One gradient.  ``country_records`` among the raw tables, if given, are the
+    corrected records of the country (``norway_records``, staged once for all gradients)."""
     def prepare(raw: Tables) -> DataFrame:
-        df = norway_records(raw).filter(F.col("destSiteID").isin(sites))
+        records = raw["country_records"] if "country_records" in raw else norway_records(raw)
+        df = records.filter(F.col("destSiteID").isin(sites))
         df = df.withColumnsRenamed({
             "siteID": "originSiteID", "blockID": "originBlockID", "cover": "Cover", "species": "SpeciesName",
             "year": "Year",
@@ -114,6 +119,7 @@ def norway_profile(region: str, sites: list[str]) -> Profile:
 # Switzerland
 # ---------------------------------------------------------------------------
 
+# Fixed values, as published: calanda rules.
 CALANDA_RULES = [
     Rule("Warm", label=("veg_away",), dest=("Cal", "Nes")),
     Rule("LocalControl", label=("veg_home",), dest=("Nes", "Pea", "Cal")),
@@ -157,7 +163,9 @@ def prepare_calanda2(raw: Tables) -> DataFrame:
     return C.build_ids(df.filter(F.col("Cover").isNotNull()), UNIQUE)
 
 
+# Fixed values, as published: lavey sites.
 LAVEY_SITES = ["CRE_CRE", "CRE_RIO", "MAR_MAR", "MAR_RIO", "PRA_PRA", "PRA_RIO", "RIO_RIO"]
+# Fixed values, as published: lavey rules.
 LAVEY_RULES = [
     Rule("LocalControl", label=("CRE_CRE", "RIO_RIO", "MAR_MAR", "PRA_PRA")),
     Rule("Warm", label=("CRE_RIO", "MAR_RIO", "PRA_RIO")),
@@ -167,6 +175,7 @@ LAVEY_CLASSES = [
     "Other", "Dead", "Bare ground", "bare ground", "Bryophyta", "Stone", "Fungi", "Vegetation %",
     "Bare ground %", "Litter %", "Rocks %",
 ]
+# Fixed values, as published: lavey labels.
 LAVEY_LABELS = {
     "Fungi": "Lichen", "bare ground": "Bareground", "Bare ground": "Bareground", "Bryophyta": "Moss",
     "Stone": "Rock", "Vegetation %": "Vegetation", "Bare ground %": "Bareground", "Litter %": "Litter",
@@ -220,9 +229,11 @@ COLORADO_TREATMENTS = {
     "c1": "Cold", "c2": "Cold", "w1": "Warm", "w2": "Warm", "nu": "NettedControl", "u_": "Control",
     "ws": "LocalControl",
 }
+# Fixed values, as published: colorado classes.
 COLORADO_CLASSES = [
     "Other", "Bare Soil", "Bare soil", "bare soil", "Litter", "LItter", "litter", "rock", "Rock", "moss",
 ]
+# Fixed values, as published: colorado labels.
 COLORADO_LABELS = {
     "Bare Soil": "Bareground", "Bare soil": "Bareground", "bare soil": "Bareground", "LItter": "Litter",
     "litter": "Litter", "moss": "Moss", "rock": "Rock",
@@ -243,12 +254,15 @@ def prepare_colorado(raw: Tables) -> DataFrame:
     return C.build_ids(df, {"UniqueID": ["Year", "originSiteID", "destSiteID", "destBlockID", "destPlotID"]})
 
 
+# Fixed values, as published: montana rules.
 MONTANA_RULES = [
     Rule("LocalControl", label=("lowland_community",), dest=("low",)),
     Rule("Warm", label=("Alpine_community",), dest=("low",)),
     Rule("LocalControl", label=("Alpine_community",), dest=("mid",)),
 ]
+# Fixed values, as published: montana classes.
 MONTANA_CLASSES = ["Other", "Bare", "Litter", "bareground", "rock", "litter", "moss", "Moss", "Rock"]
+# Fixed values, as published: montana labels.
 MONTANA_LABELS = {"litter": "Litter", "bareground": "Bareground", "bare": "Bareground", "moss": "Moss", "rock": "Rock"}
 
 
@@ -268,17 +282,20 @@ def prepare_montana(raw: Tables) -> DataFrame:
     return no_block(df)
 
 
+# Fixed values, as published: arizona keys.
 ARIZONA_KEYS = {"Date Collected": "Date", "Ecosystem": "originSiteID", "Warming.Treat": "Treatment", "Plot": "plotID"}
+# Fixed values, as published: arizona treatments.
 ARIZONA_TREATMENTS = {"Warming": "Warm", "Control": "LocalControl"}
+# Fixed values, as published: arizona ids.
 ARIZONA_IDS = {
     "destPlotID": ["originSiteID", "destSiteID", "plotID"],
     "UniqueID": ["Year", "originSiteID", "destSiteID", "plotID"],
 }
 
 
-def _arizona_keys(df: DataFrame) -> DataFrame:
-    unused = [c for c in df.columns if c == "Teabag number" or c.endswith(" Treatment")]
-    df = df.drop(*unused).withColumnsRenamed(ARIZONA_KEYS)
+def _arizona_keys(df: DataFrame, ignored: Sequence[str]) -> DataFrame:
+    """``ignored`` are the columns of the sheets that belong to other projects."""
+    df = df.drop("Teabag number", *ignored).withColumnsRenamed(ARIZONA_KEYS)
     df = df.withColumns({
         "destSiteID": X.extract("plotID", "^.{2}"), "Treatment": S.recode("Treatment", ARIZONA_TREATMENTS),
     })
@@ -286,13 +303,13 @@ def _arizona_keys(df: DataFrame) -> DataFrame:
 
 
 def prepare_arizona(raw: Tables) -> DataFrame:
-    df = _arizona_keys(raw["community"])
+    df = _arizona_keys(raw["community"], raw.get("ignored_columns", ()))
     ids = ["Year", "Date", "originSiteID", "destSiteID", "Treatment", "destPlotID", "UniqueID"]
     return no_block(R.gather(df, ids, "SpeciesName", "Individuals", dtype="double"))
 
 
-def greenness_table(df: DataFrame) -> DataFrame:
-    df = _arizona_keys(df).withColumnRenamed("% cover at peak biomass", "VascCover")
+def greenness_table(df: DataFrame, ignored: Sequence[str] = ()) -> DataFrame:
+    df = _arizona_keys(df, ignored).withColumnRenamed("% cover at peak biomass", "VascCover")
     ids = ["Year", "Date", "originSiteID", "destSiteID", "Treatment", "destPlotID", "UniqueID"]
     return K.greenness(df, ids)
 
@@ -305,6 +322,7 @@ def greenness_table(df: DataFrame) -> DataFrame:
 GONGGA_CODES = {
     "C": "control", "O": "local", "1": "warm1", "2": "cool1", "3": "warm3", "4": "cool3", "OTC": "OTC",
 }
+# Fixed values, as published: gongga treatments.
 GONGGA_TREATMENTS = {
     "control": "Control", "local": "LocalControl", "warm1": "Warm", "cool1": "Cold", "warm3": "Warm", "cool3": "Cold",
 }
@@ -323,12 +341,15 @@ def prepare_gongga(raw: Tables) -> DataFrame:
     return df.withColumns({"destPlotID": text("destPlotID"), "destBlockID": text("destBlockID")})
 
 
+# Fixed values, as published: turf rules.
 TURF_RULES = [
     Rule("LocalControl", label=("low_turf",), dest=("LOW",)),
     Rule("Warm", label=("high_turf",), dest=("LOW",)),
     Rule("LocalControl", label=("high_turf",), dest=("HIGH",)),
 ]
+# Fixed values, as published: damxung classes.
 DAMXUNG_CLASSES = ["Other", "Litter", "litter", "moss", "rock", "bareground", "Bare", "Moss", "Rock"]
+# Fixed values, as published: damxung labels.
 DAMXUNG_LABELS = {"litter": "Litter", "bareground": "Bareground", "Bare": "Bareground", "moss": "Moss", "rock": "Rock"}
 
 
@@ -347,7 +368,9 @@ def prepare_damxung(raw: Tables) -> DataFrame:
     return C.build_ids(df, UNIQUE)
 
 
+# Fixed values, as published: heibei ranks.
 HEIBEI_RANKS = {"3200": 3200, "3400": 3400, "3800": 3800}
+# Fixed values, as published: rank rules.
 RANK_RULES = [
     Rule("LocalControl", relation="same"), Rule("Warm", relation="down"), Rule("Cold", relation="up"),
 ]
@@ -405,21 +428,22 @@ def prepare_grainau(raw: Tables) -> DataFrame:
     return C.build_ids(df, UNIQUE)
 
 
-def pair_rules(**pairs: list[str]) -> list[Rule]:
-    """Rules from lists of ``origin>dest`` pairs per treatment."""
-    return [
-        Rule(treatment, origin=(p.split(">")[0],), dest=(p.split(">")[1],))
-        for treatment, group in pairs.items() for p in group
-    ]
+def pair_rules(**pairs: list[tuple[str, str]]) -> list[Rule]:
+    """Rules from lists of (origin, destination) pairs per treatment."""
+    return [Rule(treatment, origin=(a,), dest=(b,)) for treatment, group in pairs.items() for a, b in group]
 
 
+# Fixed values, as published: susalps rules.
 SUSALPS_RULES = pair_rules(
-    LocalControl=["BT>BT", "EB>EB", "FE>FE", "GW>GW"],
-    Warm=["EB>BT", "EB>FE", "EB>GW", "FE>BT", "GW>BT", "GW>FE"],
+    LocalControl=[("BT", "BT"), ("EB", "EB"), ("FE", "FE"), ("GW", "GW")],
+    Warm=[("EB", "BT"), ("EB", "FE"), ("EB", "GW"), ("FE", "BT"), ("GW", "BT"), ("GW", "FE")],
 )
+# Fixed values, as published: transalps rules.
 TRANSALPS_RULES = pair_rules(
-    LocalControl=["BT>BT", "FP>FP", "SP>SP"], Cold=["BT>FP", "BT>SP"], Warm=["FP>BT", "SP>BT"],
+    LocalControl=[("BT", "BT"), ("FP", "FP"), ("SP", "SP")], Cold=[("BT", "FP"), ("BT", "SP")],
+    Warm=[("FP", "BT"), ("SP", "BT")],
 )
+# Fixed values, as published: biomass classes.
 BIOMASS_CLASSES = ["Moss", "Dead biomass"]
 
 
@@ -440,6 +464,7 @@ def prepare_biomass(rules: list[Rule]):
 # France
 # ---------------------------------------------------------------------------
 
+# Fixed values, as published: huez rules.
 HUEZ_RULES = [
     Rule("LocalControl", label=("LOW_TURF",), dest=("LOW",)),
     Rule("Warm", label=("HIGH_TURF",), dest=("LOW",)),
@@ -460,10 +485,12 @@ def prepare_huez(raw: Tables) -> DataFrame:
     })
 
 
+# Fixed values, as published: lautaret names.
 LAUTARET_NAMES = {
     "Carex sempervirens subsp. sempervirens": "Carex sempervirens", "Pilosella officinarum": "Pilosella",
     "Patzkea paniculata subsp. paniculata": "Patzkea paniculata",
 }
+# Fixed values, as published: lautaret keep.
 LAUTARET_KEEP = ["Year", "destSiteID", "originSiteID", "plotID", "Treatment", "SpeciesName", "Cover"]
 
 
@@ -496,7 +523,9 @@ def prepare_lautaret(raw: Tables) -> DataFrame:
 # Sweden, Italy
 # ---------------------------------------------------------------------------
 
+# Fixed values, as published: abisko ranks.
 ABISKO_RANKS = {"Low": 1, "Mid": 2, "High": 3}
+# Fixed values, as published: abisko ids.
 ABISKO_IDS = ["originSiteID", "destSiteID", "destBlockID", "destPlotID", "Treatment", "Year"]
 
 
@@ -519,6 +548,7 @@ def abisko_taxa(raw: Tables) -> DataFrame:
     return listed.filter(~F.col("SpeciesName").isin("Lichen", "Litter", "Moss")).distinct()
 
 
+# Fixed values, as published: matsch treatments.
 MATSCH_TREATMENTS = {"destControl": "LocalControl", "originControls": "LocalControl", "warmed": "Warm"}
 MATSCH2_TREATMENTS = {"originControl": "LocalControl", "originControls": "LocalControl", "warmed": "Warm"}
 
@@ -593,7 +623,7 @@ PROFILES: dict[str, Profile] = {
         Profile(
             "US_Arizona", "USA", 2014, 0.09,
             {"MC": (2620, -111.73, 35.35), "PP": (2344, -111.67, 35.42)},
-            prepare_arizona, residual=False, cover=lambda raw: greenness_table(raw["greenness"]),
+            prepare_arizona, residual=False, cover=lambda raw: greenness_table(raw["greenness"], raw.get("ignored_columns", ())),
             taxa=lambda raw: raw["species_list"].select(S.paste("Genus", "Species", sep=" ").alias("SpeciesName")).distinct(),
         ),
         Profile(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.semantics import natural_left_join
 from ..operators import climate as Cl
-from .mapping import table
+from .mapping import SITES_SQL, site_table, table
 from .registry import query
 
 VARS = ["tavg", "vapr", "prec"]
@@ -138,38 +138,40 @@ def sample_grid(spark, folder):
     return Cl.sample_grid(sites, cells, -180.0, 90.0, 10.0).select("s_suppkey", "n", "top")
 
 
-SUPPLIER_SITES_SQL = """
-s AS (SELECT s_suppkey, (s_suppkey * 613 % 3600)::DOUBLE / 10 - 180 + 0.013 AS lon,
-             (s_suppkey * 977 % 1700)::DOUBLE / 10 - 85 + 0.017 AS lat FROM supplier)"""
 
 
-def supplier_sites(spark, folder):
-    k = F.col("s_suppkey")
-    return table(spark, folder, "supplier").select(
-        "s_suppkey", ((k * 613 % 3600).cast("double") / 10 - 180 + 0.013).alias("Longitude"),
-        ((k * 977 % 1700).cast("double") / 10 - 85 + 0.017).alias("Latitude"),
-    )
-
-
-@query("tolerance_match", "WITH" + POINT_SQL + "," + SUPPLIER_SITES_SQL + """
-SELECT s.s_suppkey, p.c_custkey FROM s JOIN pts p ON abs(p.lat - s.lat) < 5 AND abs(p.lon - s.lon) < 5
+@query("tolerance_match", "WITH" + POINT_SQL + "," + SITES_SQL + """
+SELECT s.destSiteID, p.c_custkey FROM sites s
+JOIN pts p ON abs(p.lat - s.Latitude) < 5.0013 AND abs(p.lon - s.Longitude) < 5.0013
 """)
 def tolerance_match(spark, folder):
-    out = Cl.tolerance_match(supplier_sites(spark, folder), points(spark, folder), 5.0)
-    return out.select("s_suppkey", "c_custkey")
+    """The grid points around each of the fixed sites."""
+    out = Cl.tolerance_match(site_table(spark, folder), points(spark, folder), 5.0013)
+    return out.select("destSiteID", "c_custkey")
 
 
-@query("stations_within", "WITH" + POINT_SQL + "," + SUPPLIER_SITES_SQL + """,
-d AS (SELECT s.s_suppkey, p.c_custkey, 2 * 6371.0088 * asin(sqrt(least(1,
-        pow(sin(radians(p.lat - s.lat) / 2), 2)
-        + cos(radians(s.lat)) * cos(radians(p.lat)) * pow(sin(radians(p.lon - s.lon) / 2), 2)))) AS km
-      FROM s, pts p)
-SELECT s_suppkey, c_custkey, round(km, 3) AS distance_km FROM d WHERE km <= 800
+@query("tolerance_summary", "WITH" + POINT_SQL + "," + SITES_SQL + """
+SELECT s.destSiteID, count(*) AS n, min(p.c_custkey) AS first_point, round(avg(p.lat), 6) AS mean_lat FROM sites s
+JOIN pts p ON abs(p.lat - s.Latitude) < 5.0013 AND abs(p.lon - s.Longitude) < 5.0013 GROUP BY 1
+""")
+def tolerance_summary(spark, folder):
+    """The matched points of a site as one aggregate."""
+    out = Cl.tolerance_match(site_table(spark, folder), points(spark, folder), 5.0013)
+    return out.groupBy("destSiteID").agg(
+        F.count(F.lit(1)).alias("n"), F.min("c_custkey").alias("first_point"), F.round(F.avg("lat"), 6).alias("mean_lat"))
+
+
+@query("stations_within", "WITH" + POINT_SQL + "," + SITES_SQL + """,
+d AS (SELECT s.destSiteID, p.c_custkey, 2 * 6371.0088 * asin(sqrt(least(1,
+        pow(sin(radians(p.lat - s.Latitude) / 2), 2) + cos(radians(s.Latitude)) * cos(radians(p.lat))
+        * pow(sin(radians(p.lon - s.Longitude) / 2), 2)))) AS km
+      FROM sites s, pts p)
+SELECT destSiteID, c_custkey, round(km, 3) AS distance_km FROM d WHERE km <= 800.0013
 """)
 def stations_within(spark, folder):
     stations = points(spark, folder).withColumnsRenamed({"lon": "st_lon", "lat": "st_lat"})
-    out = Cl.stations_within(supplier_sites(spark, folder), stations, 800.0)
-    return out.select("s_suppkey", "c_custkey", F.round("distance_km", 3).alias("distance_km"))
+    out = Cl.stations_within(site_table(spark, folder), stations, 800.0013)
+    return out.select("destSiteID", "c_custkey", F.round("distance_km", 3).alias("distance_km"))
 
 
 @query("site_coords", """

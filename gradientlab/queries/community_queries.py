@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..functions.semantics import null_safe_join
+from ..functions.semantics import null_safe_join, number_text
 from ..operators import community as C
 from .mapping import (
     OBS_SQL, RULES, SITES, SITES_SQL, VISITS_SQL, obs, site_table, table, treated_visits, visits,
@@ -23,7 +23,16 @@ rel AS (
 
 def _relative_lines(spark, folder, residual):
     lines = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", F.col("l_quantity").alias("Cover"))
-    return C.relative_cover(lines, ["l_orderkey"], residual=residual, nulls_match=False)
+    return C.relative_cover(lines, ["l_orderkey"], residual=residual)
+
+
+def _records(spark, folder):
+    """Records by sample, the sample key being found from the order alone."""
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", F.col("l_quantity").alias("Cover"))
+    plots = treated_visits(spark, folder).select("o_orderkey", "UniqueID")
+    part = table(spark, folder, "part").select("p_partkey", F.col("p_name").alias("SpeciesName"))
+    return lines.join(plots, lines["l_orderkey"] == plots["o_orderkey"]).join(
+        part, lines["l_partkey"] == part["p_partkey"]).select("UniqueID", "SpeciesName", "Cover")
 
 
 def _classed(spark, folder):
@@ -49,7 +58,7 @@ def merge_community(spark, folder):
     lines = table(spark, folder, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", F.col("l_quantity").alias("Cover")
     )
-    rel = C.relative_cover(lines, ["l_orderkey"], residual=True, nulls_match=False)
+    rel = C.relative_cover(lines, ["l_orderkey"], residual=True)
     plots = treated_visits(spark, folder)
     part = table(spark, folder, "part").select("p_partkey", F.col("p_name").alias("SpeciesName"))
     records = (
@@ -93,7 +102,7 @@ SELECT UniqueID, SpeciesName, Cover FROM obs
 UNION ALL SELECT UniqueID, 'Other', greatest(100 - sum(Cover), 0::DOUBLE) FROM obs GROUP BY UniqueID
 """)
 def residual_cover(spark, folder):
-    return C.residual_cover(obs(spark, folder).select("UniqueID", "SpeciesName", "Cover"), ["UniqueID"])
+    return C.residual_cover(_records(spark, folder), ["UniqueID"])
 
 
 @query("split_community", "WITH" + CLASSED_SQL + """
@@ -104,8 +113,7 @@ SELECT 'cover', UniqueID, CASE SpeciesName WHEN 'PROMO' THEN 'Litter' ELSE 'Moss
 WHERE SpeciesName IN ('PROMO', 'ECONOMY')
 """)
 def split_community(spark, folder):
-    community, cover = C.split_community(_classed(spark, folder), list(CLASS_LABELS), CLASS_LABELS)
-    return C.union_tagged({"community": community, "cover": cover}, "part")
+    return C.tag_community(_classed(spark, folder), list(CLASS_LABELS), CLASS_LABELS)
 
 
 @query("cover_summary", "WITH" + CLASSED_SQL + """
@@ -114,7 +122,12 @@ SELECT UniqueID, CASE SpeciesName WHEN 'PROMO' THEN 'Litter' ELSE 'Moss' END AS
 FROM rel WHERE SpeciesName IN ('PROMO', 'ECONOMY') GROUP BY 1, 2
 """)
 def cover_summary(spark, folder):
-    rel = C.relative_cover(_classed(spark, folder), ["UniqueID"], residual=False)
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", F.col("l_quantity").alias("Cover"))
+    rel = C.relative_cover(lines, ["l_orderkey"], residual=False)  # an order is a sample
+    classes = table(spark, folder, "part").filter(F.col("p_type").isin(list(CLASS_LABELS)))
+    classes = classes.select("p_partkey", F.col("p_type").alias("SpeciesName"))
+    plots = treated_visits(spark, folder).select("o_orderkey", "UniqueID")
+    rel = rel.join(classes, rel["l_partkey"] == classes["p_partkey"]).join(plots, rel["l_orderkey"] == plots["o_orderkey"])
     _, cover = C.split_community(rel, list(CLASS_LABELS), CLASS_LABELS)
     return C.cover_summary(cover).withColumn("Rel_OtherCover", F.round("Rel_OtherCover", 6))
 
@@ -134,13 +147,16 @@ def assign_treatment(spark, folder):
 def _decode_sql(scale):
     cases = " ".join(f"WHEN {k} THEN {v}::DOUBLE" for k, v in scale.items())
     return f"""
-SELECT class_no, CASE class_no {cases} END AS Cover, count(*) AS n
-FROM (SELECT CAST(l_quantity AS INTEGER) AS class_no FROM lineitem) GROUP BY 1, 2"""
+SELECT class_no, CASE class_no {cases} ELSE class_no END AS Cover, count(*) AS n
+FROM (SELECT CASE WHEN l_linenumber = 1 THEN l_quantity / 4 WHEN l_linenumber = 2 THEN NULL
+             ELSE l_quantity - 1 END AS class_no FROM lineitem) GROUP BY 1, 2"""
 
 
 def _decode(scale):
     def run(spark, folder):
-        df = table(spark, folder, "lineitem").select(F.col("l_quantity").cast("int").alias("class_no"))
+        line, quantity = F.col("l_linenumber"), F.col("l_quantity")  # fractions, 0, missing ones and numbers off the scale too
+        df = table(spark, folder, "lineitem").select(
+            F.when(line == 1, quantity / 4).when(line != 2, quantity - 1).alias("class_no"))
         return C.decode_cover(df, scale, "class_no", "Cover").groupBy("class_no", "Cover").agg(
             F.count(F.lit(1)).alias("n")
         )
@@ -237,3 +253,27 @@ def site_elevation_join(spark, folder):
     df = treated_visits(spark, folder).select("Region", "destSiteID", "UniqueID")
     meta = site_table(spark, folder).select("Region", "destSiteID", "Elevation").distinct()
     return null_safe_join(df, meta, ["Region", "destSiteID"])
+
+
+@query("relative_cover_by_exclusion", """
+SELECT l_orderkey, l_suppkey, l_partkey AS SpeciesName, l_quantity AS Cover,
+       sum(l_quantity) OVER (PARTITION BY l_orderkey, l_suppkey) AS Total_Cover,
+       l_quantity / sum(l_quantity) OVER (PARTITION BY l_orderkey, l_suppkey) AS Rel_Cover FROM lineitem
+""")
+def relative_cover_by_exclusion(spark, folder):
+    """The sample is every column but species and cover."""
+    lines = table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_suppkey", F.col("l_partkey").alias("SpeciesName"), F.col("l_quantity").alias("Cover"))
+    return C.relative_cover(lines, residual=False)
+
+
+@query("number_text", """
+SELECT l_orderkey, l_linenumber, CAST(l_orderkey * 100000 AS VARCHAR) AS large,
+       CASE l_linenumber % 2 WHEN 0 THEN '0.0001' ELSE CAST(l_linenumber AS VARCHAR) END AS small FROM lineitem
+""")
+def number_text_query(spark, folder):
+    """Numbers from 1e7 up and below 1e-3 print without an exponent."""
+    line = F.col("l_linenumber")
+    return table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", number_text((F.col("l_orderkey") * 100000).cast("double")).alias("large"),
+        number_text(F.when(line % 2 == 0, F.lit(0.0001)).otherwise(line.cast("double"))).alias("small"))

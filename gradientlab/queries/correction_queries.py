@@ -304,6 +304,9 @@ def stem_relative(spark, folder):
     return K.stem_relative(df, ["plot"])
 
 
+PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
+
 @query("rule_table_join", "WITH" + VISITS_SQL + """
 SELECT o_orderkey, Treatment FROM visits
 """)
@@ -311,8 +314,12 @@ def rule_table_join(spark, folder):
     """Treatments looked up in a rule table with one row per (label, origin, destination)."""
     keys = ["origin_rank", "dest_rank", "destBlockID"]
     plots = visits(spark, folder)
+    labels = spark.createDataFrame([(x,) for x in PRIORITIES], "destBlockID string")
+    grid = labels.select("destBlockID", F.explode(F.sequence(F.lit(0), F.lit(24))).alias("pair")).select(
+        "destBlockID", F.floor(F.col("pair") / 5).cast(plots.schema["origin_rank"].dataType).alias("origin_rank"),
+        (F.col("pair") % 5).cast(plots.schema["origin_rank"].dataType).alias("dest_rank"),
+    )
     rules = assign_treatment(
-        plots.select(*keys).distinct(), RULES, label="destBlockID", origin=F.lit(None), dest=F.lit(None),
-        origin_rank="origin_rank", dest_rank="dest_rank",
+        grid, RULES, label="destBlockID", origin=F.lit(None), dest=F.lit(None), origin_rank="origin_rank", dest_rank="dest_rank",
     )
     return null_safe_join(plots, rules, keys).select("o_orderkey", "Treatment")

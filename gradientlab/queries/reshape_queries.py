@@ -71,7 +71,7 @@ SELECT o_orderkey, o_orderpriority, row_number() OVER (PARTITION BY o_orderprior
 """)
 def sequence_in_group(spark, folder):
     df = table(spark, folder, "orders").select("o_orderkey", "o_orderpriority")
-    return R.sequence_in_group(df, ["o_orderpriority"], "o_orderkey", "k", bucket_rows=1000)
+    return R.sequence_in_group(df, ["o_orderpriority"], "o_orderkey", "k")
 
 
 @query("setdiff_species", """
@@ -133,27 +133,27 @@ def separate_extract(spark, folder):
 
 
 @query("nest_rows", "WITH" + OBS_SQL + """,
-agg AS (SELECT destSiteID, destPlotID, Year, SpeciesName, sum(Cover) AS Cover FROM obs GROUP BY ALL)
-SELECT destSiteID, destPlotID, Year, count(*)::INTEGER AS n_species, sum(Cover) AS total,
-       string_agg(SpeciesName, ';' ORDER BY SpeciesName) AS species FROM agg GROUP BY 1, 2, 3
+agg AS (SELECT destSiteID, Year, SpeciesName, sum(Cover) AS Cover FROM obs GROUP BY ALL)
+SELECT destSiteID, Year, count(*)::INTEGER AS n_species, round(sum(Cover), 6) AS total,
+       string_agg(SpeciesName, ';' ORDER BY SpeciesName) AS species FROM agg GROUP BY 1, 2
 """)
 def nest_rows(spark, folder):
-    """Species of one plot and year as an array (bounded by the number of species)."""
-    keys = ["destSiteID", "destPlotID", "Year"]
+    """Species of one site and year as an array; at most as many as the species list has."""
+    keys = ["destSiteID", "Year"]
     df = obs(spark, folder).groupBy(*keys, "SpeciesName").agg(F.sum("Cover").alias("Cover"))
     nested = R.nest_rows(df, keys, ["SpeciesName", "Cover"])
     return nested.select(
         *keys, F.size("data").alias("n_species"),
-        F.aggregate("data.Cover", F.lit(0.0), lambda a, b: a + b).alias("total"),
+        F.round(F.aggregate("data.Cover", F.lit(0.0), lambda a, b: a + b), 6).alias("total"),
         F.array_join("data.SpeciesName", ";").alias("species"),
     )
 
 
 @query("unnest_rows", "WITH" + OBS_SQL + """
-SELECT destSiteID, destPlotID, Year, SpeciesName, sum(Cover) AS Cover FROM obs GROUP BY ALL
+SELECT destSiteID, Year, SpeciesName, sum(Cover) AS Cover FROM obs GROUP BY ALL
 """)
 def unnest_rows(spark, folder):
-    keys = ["destSiteID", "destPlotID", "Year"]
+    keys = ["destSiteID", "Year"]
     df = obs(spark, folder).groupBy(*keys, "SpeciesName").agg(F.sum("Cover").alias("Cover"))
     return R.unnest_rows(R.nest_rows(df, keys, ["SpeciesName", "Cover"]), keys)
 

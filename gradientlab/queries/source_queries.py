@@ -64,7 +64,7 @@ def file_tagging(spark, folder):
     )
     df.write.mode("overwrite").option("header", True).partitionBy("site", "turf").csv(path)
     back = Rd.read_delimited(spark, path, "l_partkey bigint")
-    tagged = Rd.with_file_tags(back.select("l_partkey", "_metadata"), siteID="SITE_O|SITE_F", turf=r"turf=(\d+)/")
+    tagged = Rd.with_file_tags(back.select("l_partkey", "_metadata"), siteID="SITE_O|SITE_F", turf=(r"turf=(\d+)/", 1))
     return count_by(tagged.withColumn("turf", F.col("turf").cast("int")), "turf", "siteID")
 
 
@@ -76,3 +76,42 @@ def parquet_sink(spark, folder):
     df = _orders(spark, folder).withColumnRenamed("o_orderpriority", "Region")
     path = Rd.write_table(df, scratch_path(spark, "parquet_sink"))
     return spark.read.parquet(path)
+
+
+@query("sheet_scan", """
+SELECT 'T' || l_linenumber AS turfID, l_orderkey, l_quantity FROM lineitem WHERE l_linenumber <= 4
+""")
+def sheet_scan(spark, folder):
+    """One file per numbered sheet, named by its number; notes are left out."""
+    path = scratch_path(spark, "sheets")
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_quantity", "l_linenumber")
+    paths = []
+    for name in ("1 plot", "2.b", "3", "4 x", "notes"):
+        number = F.lit(int(name[0])) if name[0].isdigit() else F.lit(5)
+        sheet = lines.filter(F.col("l_linenumber") == number).drop("l_linenumber")
+        paths.append(Rd.write_csv(sheet, f"{path}/{name}.csv"))
+    return Rd.read_sheets(spark, paths, "l_orderkey bigint, l_quantity double", sheet=r"/(\d+)[^/]*\.csv/[^/]*$").select(
+        "turfID", "l_orderkey", "l_quantity")
+
+
+@query("named_files", """
+SELECT o_orderkey, o_totalprice, c_mktsegment FROM orders JOIN customer ON c_custkey = o_custkey
+""")
+def named_files(spark, folder):
+    """Two files by logical name, joined."""
+    path = scratch_path(spark, "named")
+    files = {
+        "orders": Rd.write_csv(table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), f"{path}/o"),
+        "customer": Rd.write_csv(table(spark, folder, "customer").select("c_custkey", "c_mktsegment"), f"{path}/c"),
+    }
+    read = Rd.read_named(spark, files, {
+        "orders": "o_orderkey bigint, o_custkey bigint, o_totalprice double", "customer": "c_custkey bigint, c_mktsegment string"})
+    orders, customer = read["orders"], read["customer"]
+    return orders.join(customer, orders["o_custkey"] == customer["c_custkey"]).select("o_orderkey", "o_totalprice", "c_mktsegment")
+
+
+@query("sheet_range", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 1000 BETWEEN 100 AND 499")
+def sheet_range(spark, folder):
+    """The same range of rows of every exported sheet of a thousand rows."""
+    sheets = table(spark, folder, "orders").select("o_orderkey", "o_totalprice", (F.col("o_orderkey") % 1000).alias("row_no"))
+    return Rd.row_window(sheets, 100, 499).drop("row_no")

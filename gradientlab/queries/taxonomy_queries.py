@@ -7,7 +7,7 @@ changes; one in seven is unknown altogether.
 
 from pyspark.sql import functions as F
 
-from ..functions.semantics import recode
+from ..functions.semantics import null_safe_join, recode
 from ..functions.text import genus, tail, word
 from ..operators import taxonomy as T
 from ..operators.community import site_species
@@ -224,10 +224,7 @@ def attach_trait_db(spark, folder):
     matched = T.match_hierarchy(cleaned(spark, folder), species)
     numeric = species.select("species_row", F.length("accepted_name").cast("double").alias("leaf_area"))
     categorical = species.select("species_row")
-    by_species, by_genus = T.attach_trait_db(matched, species, categorical, numeric)
-    return by_species.select(F.lit("species").alias("part"), "*").unionByName(
-        by_genus.select(F.lit("genus").alias("part"), "*")
-    )
+    return T.attach_trait_rows(matched, species, categorical, numeric)
 
 
 @query("first_match", """
@@ -240,7 +237,8 @@ def first_match(spark, folder):
     part = table(spark, folder, "part").select("p_partkey", "p_name")
     first = first_per_key(part.withColumnRenamed("p_partkey", "row_no"), ["p_name"], "row_no")
     lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    return lines.join(part, lines["l_partkey"] == part["p_partkey"]).join(first, "p_name").select(
+    named = lines.join(part, lines["l_partkey"] == part["p_partkey"])
+    return null_safe_join(named, first, ["p_name"], "inner").select(
         "l_orderkey", "l_linenumber", "l_partkey", F.col("row_no").alias("first_row")
     )
 
@@ -252,3 +250,52 @@ FROM part GROUP BY 1, 2
 def recode_names(spark, folder):
     df = table(spark, folder, "part").withColumn("kept", recode("p_type", {"PROMO": "P", "SMALL": "S"}))
     return df.groupBy("p_name", "kept").agg(F.count(F.lit(1)).alias("n"))
+
+
+# -- code books -------------------------------------------------------------
+
+def _taxa(spark, folder):
+    """Names with a marker in the epithet for some parts."""
+    k = F.col("p_partkey") % 5
+    marked = F.when(k == 1, F.concat(word("p_name", 1), F.lit(" sp."))).when(k == 2, F.concat("p_name", F.lit(" sp?")))
+    return table(spark, folder, "part").select("p_partkey", F.coalesce(marked, "p_name").alias("speciesName"))
+
+
+TAXA_SQL = """
+taxa AS (SELECT CASE p_partkey % 5 WHEN 1 THEN split_part(p_name, ' ', 1) || ' sp.' WHEN 2 THEN p_name || ' sp?'
+                ELSE p_name END AS taxa FROM part)"""
+
+
+@query("norway_codebook", "WITH" + TAXA_SQL + """,
+cores AS (SELECT DISTINCT taxa, CASE WHEN strpos(taxa, ' ') > 0 THEN substring(taxa, strpos(taxa, ' ') + 1) ELSE '' END AS rest
+          FROM taxa)
+SELECT substring(split_part(taxa, ' ', 1), 1, 3) || '.' || substring(regexp_replace(replace(replace(rest, 'sp.', 'sp'),
+  'sp?', 'sp'), '[[:punct:] ]+', '', 'g'), 1, 3) AS code, taxa FROM cores
+""")
+def norway_codebook(spark, folder):
+    return T.norway_codebook(_taxa(spark, folder))
+
+
+@query("sweden_codebook", """
+WITH listed AS (SELECT 'K' || p_partkey AS code, CASE WHEN p_size > 10 THEN p_name END AS taxa FROM part),
+later AS (SELECT split_part(p_name, ' ', 1) AS a, split_part(p_name, ' ', 2) AS b FROM part
+          WHERE split_part(p_name, ' ', 1) NOT IN ('moss', 'litter', 'lichen'))
+SELECT DISTINCT code, taxa FROM (
+  SELECT code, taxa FROM listed WHERE taxa IS NOT NULL
+  UNION ALL SELECT substring(a, 1, 3) || ' ' || substring(b, 1, 3), a || ' ' || b FROM later)
+""")
+def sweden_codebook(spark, folder):
+    part = table(spark, folder, "part")
+    listed = part.select(
+        F.concat(F.lit("K"), F.col("p_partkey").cast("string")).alias("code"), F.when(F.col("p_size") > 10, F.col("p_name")).alias("taxa"))
+    return T.sweden_codebook(listed, part.select(F.col("p_name").alias("species")))
+
+
+@query("arizona_codebook", """
+SELECT p_brand AS code, coalesce(nullif(split_part(p_name, ' ', 1), 'red'), 'NA') || ' ' || split_part(p_name, ' ', 2) AS taxa FROM part
+""")
+def arizona_codebook(spark, folder):
+    """A missing part of a name prints as NA."""
+    first = word("p_name", 1)
+    return T.arizona_codebook(table(spark, folder, "part").select(
+        F.col("p_brand").alias("Code"), F.when(first != "red", first).alias("Genus"), word("p_name", 2).alias("Species")))

@@ -41,17 +41,17 @@ def read_union(
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def with_file_tags(df: DataFrame, **patterns: str) -> DataFrame:
+def with_file_tags(df: DataFrame, **patterns: str | tuple[str, int]) -> DataFrame:
     """Columns taken from the path of the file a row was read from.
 
-    Each keyword is a column name with a regex; its first group (or the whole
-    match) is the value, NULL when it does not match.
+    Each keyword is a column name with a regex, whose whole match is the value, or
+    with (regex, group number); NULL when it does not match.
     """
     # file_path is percent-encoded; a literal plus sign must survive the decoding
     path = F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B"))
     cols = {}
     for name, pattern in patterns.items():
-        group = 1 if "(" in pattern.replace("(?:", "") else 0
+        pattern, group = (pattern, 0) if isinstance(pattern, str) else pattern
         cols[name] = extract(path, pattern, group)
     return df.withColumns(cols)
 
@@ -69,7 +69,7 @@ def read_sheets(
 
     Sheets without such a number (notes, species lists) are left out.
     """
-    df = with_file_tags(read_delimited(spark, path, schema, **kw), __sheet=sheet)
+    df = with_file_tags(read_delimited(spark, path, schema, **kw), __sheet=(sheet, 1))
     df = df.filter(F.col("__sheet").isNotNull())
     return df.withColumn(tag, F.concat(F.lit(prefix), F.col("__sheet"))).drop("__sheet")
 

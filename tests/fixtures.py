@@ -164,6 +164,7 @@ def arizona(s):
         "greenness": frame(
             s, keys + ", `% cover at peak biomass` double", (2014, "d", "MC", "Warming", "PP1", 1, "x", 35.0),
         ),
+        "ignored_columns": ["Network Treatment"],
         "species_list": frame(s, "Genus string, Species string, Code string",
                               ("Achillea", "millefolium", "ACMI"), ("Poa", "pratensis", "POPR"), (None, None, "XX")),
     }
@@ -209,7 +210,7 @@ def damxung(s):
     return {"community": frame(
         s, "SITE string, BLOCK int, PLOT int, `PLOT.ID` string, TREATMENT string, YEAR int, `Species name` string, `cover class` int",
         ("LOW", 1, 1, "a", "low_turf", 2014, "Kobresia", 10), ("LOW", 1, 1, "a", "low_turf", 2014, "litter", 4),
-        ("LOW", 1, 1, "b", "high_turf", 2014, "Kobresia", 3), ("LOW", 1, 1, "b", "high_turf", 2014, "Carex", 99),
+        ("LOW", 1, 1, "b", "high_turf", 2014, "Kobresia", 3), ("LOW", 1, 1, "b", "high_turf", 2014, "Carex", None),
         ("HIGH", 1, 1, "c", "high_turf", 2014, "Kobresia", 1), ("HIGH", 1, 1, "d", "low_turf", 2014, "Kobresia", 1),
     )}
 

@@ -32,6 +32,10 @@ def test_rules_first_match_and_relation(spark):
 def test_decode_cover(spark):
     df = frame(spark, "c string", ("1",), ("10",), ("11",), ("x",), (None,))
     assert [r.Cover for r in C.decode_cover(df, C.SCALE_10, "c").collect()] == [0.5, 80.0, None, None, None]
+    numbers = frame(spark, "c double", (1.0,), (2.5,), (0.0,), (11.0,), (10.0,), (None,))
+    assert [r.Cover for r in C.decode_cover(numbers, C.SCALE_10, "c").collect()] == [0.5, 2.5, 0.0, 11.0, 80.0, None]
+    texts = frame(spark, "c string", ("2.0",), ("2.5",), ("0",))
+    assert [r.Cover for r in C.decode_cover(texts, C.SCALE_10, "c").collect()] == [1.0, None, None]
     plus = C.decode_cover(frame(spark, "c string", ("+",), ("12.5",), ("bad",)), C.SCALE_PLUS, "c", numeric_rest=True)
     assert [r.Cover for r in plus.collect()] == [0.5, 12.5, None]
     assert len(C.SCALE_10) == 10 and len(C.SCALE_11) == 11 and len(C.SCALE_13) == 13

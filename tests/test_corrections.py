@@ -1,5 +1,7 @@
 """Corrections, roll-ups and reshaping."""
 
+import pytest
+
 from helpers import frame, rows
 from pyspark.sql import functions as F
 
@@ -75,7 +77,7 @@ def test_sequence_across_buckets(spark):
     bad = got.filter((F.col("g") == "hot") & (F.col("k") != F.col("row_no") / 3 + 1)).count()
     assert bad == 0
     assert got.groupBy("g").agg(F.max("k").alias("m"), F.count("k").alias("n"), F.countDistinct("k").alias("d")).filter("m <> n OR d <> n").count() == 0
-    hashed = R.sequence_by_hash(df, ["g"], ["row_no"], "k", 16)
+    hashed = R.sequence_by_hash(df, ["g"], ["row_no"], "k", 16)  # rows a bucket
     assert hashed.groupBy("g").agg(F.max("k").alias("m"), F.count("k").alias("n"), F.countDistinct("k").alias("d")).filter("m <> n OR d <> n").count() == 0
 
 
@@ -124,3 +126,18 @@ def test_audits(spark):
     assert dict(rows(Q.null_census(df), "column", "n_null")) == {"Region": 0, "destSiteID": 1, "Treatment": 1, "Rel_Cover": 1}
     assert rows(Q.row_growth([("a", df), ("b", meta.union(meta))]), "step", "n") == [(0, 2), (1, 4)]
     assert rows(Q.duplicate_keys(meta.union(meta.limit(1)), ["destSiteID"]), "n") == [(2,)]
+
+
+def test_tables_refuse_what_they_would_lose(spark):
+    df = frame(spark, "id int, k string, v double", (1, "a", 1.0), (1, "a", 2.0))
+    with pytest.raises(Exception, match="several rows for one cell"):
+        R.spread(df, ["id"], "k", "v", ["a", "b"]).collect()
+    with pytest.raises(Exception, match="level of k not listed"):
+        R.crosstab(df, ["id"], "k", ["b"]).collect()
+    assert rows(R.crosstab(frame(spark, "id int, k string", (1, "a"), (1, None)), ["id"], "k", ["a"]), "id", "a") == [(1, 1)]
+
+
+def test_two_level_offsets(spark):
+    df = spark.range(3000).selectExpr("id AS row_no", "id % 2 AS g")
+    got = R._sequence(df, ["g"], R.F.floor(R.F.col("row_no") / 10), ["row_no"], "k", span=7)
+    assert all(r.k == r.row_no // 2 + 1 for r in got.collect())

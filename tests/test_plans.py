@@ -102,6 +102,13 @@ def test_hot_sample_is_split_and_exact(spark):
         out = rel.select(F.sum("Rel_Cover"))
         out.collect()
         assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+        for residual in (False, True):  # as the queries call it: an order is the sample, then further joins on it
+            lines = df.select((F.when(F.col("UniqueID") == "hot", 0).otherwise(F.crc32("UniqueID"))).alias("l_orderkey"), "SpeciesName", "Cover")
+            out = C.relative_cover(lines, ["l_orderkey"], residual=residual)
+            plots = lines.select(F.col("l_orderkey").alias("o_orderkey")).distinct()
+            out = out.join(plots, out["l_orderkey"] == plots["o_orderkey"]).select(F.sum("Rel_Cover"), F.max("SpeciesName"))
+            out.collect()
+            assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
@@ -118,7 +125,7 @@ def test_sources(spark, tmp_path):
         (folder / f"{sheet}.csv").write_text(f"sp,n\nPoa,{v}\n")
     sheets = Rd.read_sheets(spark, str(folder), "sp string, n int")
     assert rows(sheets, "turfID", "n") == [("T1", 5), ("T2", 6)]
-    tagged = Rd.with_file_tags(Rd.read_delimited(spark, str(folder), "sp string, n int"), siteID="CRE_CRE|CRE_RIO", year=r"_(\d{4})/")
+    tagged = Rd.with_file_tags(Rd.read_delimited(spark, str(folder), "sp string, n int"), siteID="CRE_CRE|CRE_RIO", year=(r"_(\d{4})/", 1))
     assert rows(tagged.select("siteID", "year").distinct(), "siteID", "year") == [("CRE_RIO", "2018")]
     union = Rd.read_union(spark, [(str(folder / "notes.csv"), "sp string, n int"), (str(folder / "2.b.csv"), "sp string, m int")])
     assert union.columns == ["sp", "n", "m"] and union.count() == 2

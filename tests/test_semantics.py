@@ -61,7 +61,9 @@ def test_recode(spark):
 
 
 def test_number_text(spark):
-    assert values(spark, S.number_text("v"), "v double", (3200.0,), (0.5,)) == ["3200", "0.5"]
+    got = values(spark, S.number_text("v"), "v double", (3200.0,), (0.5,), (12345678.0,), (0.0001,), (-1.5e-7,), (1e15,), (1e22,), (123456789.25,))
+    assert got == ["3200", "0.5", "12345678", "0.0001", "-0.00000015", "1000000000000000", "10000000000000000000000", "123456789.25"]
+    assert values(spark, S.number_text("v"), "v string", ("7",), ("7.0",), ("1E2",), ("T1E",)) == ["7", "7", "100", "T1E"]
 
 
 def test_null_safe_join(spark):

@@ -56,10 +56,18 @@ def test_synonyms(spark):
     assert [r.submitted_name for r in T.apply_synonyms(df).collect()] == ["Neottia ovata", "Stellaria umbellata", None, "Poa"]
 
 
-def test_deletion_keys(spark):
-    df = frame(spark, "t string", ("abc",), ("",), ("aa",))
-    got = [set(r[0]) for r in df.select(T.deletion_keys("t", 2)).collect()]
-    assert got == [{"abc", "bc", "ac", "ab", "a", "b", "c"}, {""}, {"aa", "a", ""}]
+def test_segment_keys_do_not_grow_with_the_name(spark):
+    df = frame(spark, "t string", ("abc",), ("",), ("x" * 2000,))
+    sizes = df.select(F.size(T.segment_keys("t", 2)), F.size(T.probe_keys("t", 2))).collect()
+    assert all(r[0] == 3 and r[1] <= 75 for r in sizes)
+
+
+def test_very_long_names_resolve(spark):
+    long = "genus " + "y" * 2000
+    names = frame(spark, "submitted_name string", (long,), (long[:-1] + "q",), ("z" * 2000,))
+    known = frame(spark, "matched_name string, gni_uuid string", (long, "1"))
+    got = {r.user_supplied_name: r.matched_name for r in T.resolve_names(names, known).collect()}
+    assert got == {long: long, long[:-1] + "q": long, "z" * 2000: None}
 
 
 def test_resolution_equals_brute_force(spark):
