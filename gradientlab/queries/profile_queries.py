@@ -6,9 +6,11 @@ rules on the same sheets.
 
 from pyspark.sql import functions as F
 
+from ..operators.climate import LAPSE_RATE
 from ..plans import products as P
 from ..plans.profile import build_bundle
 from ..plans.regions import PROFILES
+from ..sources.relational import TURF_RECORDS, recorder_totals, run_sql
 from .mapping import table
 from .registry import query
 
@@ -213,3 +215,90 @@ def product_cleaned_species(spark, folder):
     backbone = table(spark, folder, "part").groupBy(F.col("p_name").alias("matched_name")).agg(F.min("p_partkey").alias("gni_uuid"))
     out = P.cleaned_species(_bundles(spark, folder), [], backbone)
     return out.select("Region", "destSiteID", "SpeciesName", F.regexp_replace("matched_name", r"_NID_\d+$", "_NID_").alias("matched_name"), "gni_uuid")
+
+
+# -- the normalised survey database -----------------------------------------
+
+TURF_TABLES_SQL = """
+turfs AS (
+  SELECT o_orderkey, 'T' || o_orderkey AS turfID, CASE o_orderstatus WHEN 'P' THEN '' ELSE o_orderstatus END AS TTtreat,
+         CAST(year(o_orderdate) AS INTEGER) AS year, CASE o_orderpriority WHEN '1-URGENT' THEN 'Siri' ELSE 'Ann' END AS recorder,
+         CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS "date", o_totalprice AS totalVascular,
+         og.n_name AS siteID, 'B' || og.n_nationkey AS blockID, dn.n_name AS destSiteID, 'B' || dn.n_nationkey AS destBlockID
+  FROM orders JOIN customer oc ON oc.c_custkey = o_custkey JOIN nation og ON og.n_nationkey = oc.c_nationkey
+  JOIN customer dc ON dc.c_custkey = o_custkey % 100 + 1 JOIN nation dn ON dn.n_nationkey = dc.c_nationkey
+)"""
+
+
+def survey_database(spark, folder):
+    """Sites, blocks, plots, turfs, their environment and community, from nations, customers, orders and line items."""
+    nation, customer = table(spark, folder, "nation"), table(spark, folder, "customer")
+    orders, lines = table(spark, folder, "orders"), table(spark, folder, "lineitem")
+    block = lambda c: F.concat(F.lit("B"), F.col(c).cast("string"))
+    turf = lambda c: F.concat(F.lit("T"), F.col(c).cast("string")).alias("turfID")
+    year = F.year("o_orderdate").alias("year")
+    records = lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
+    return {
+        "sites": nation.select(F.col("n_name").alias("siteID")),
+        "blocks": nation.select(block("n_nationkey").alias("blockID"), F.col("n_name").alias("siteID")),
+        "plots": customer.select(F.col("c_custkey").alias("plotID"), block("c_nationkey").alias("blockID")),
+        "turfs": orders.select(
+            turf("o_orderkey"), F.when(F.col("o_orderstatus") == "P", "").otherwise(F.col("o_orderstatus")).alias("TTtreat"),
+            F.col("o_custkey").alias("originPlotID"), (F.col("o_custkey") % 100 + 1).alias("destinationPlotID")),
+        "turfEnvironment": orders.select(
+            turf("o_orderkey"), year, F.when(F.col("o_orderpriority") == "1-URGENT", "Siri").otherwise("Ann").alias("recorder"),
+            F.col("o_orderdate").cast("date").cast("string").alias("date"), F.col("o_totalprice").alias("totalVascular")),
+        "turfCommunity": records.select(
+            turf("l_orderkey"), year, F.col("l_partkey").cast("string").alias("species"), F.col("l_quantity").alias("cover")),
+        "subTurfEnvironment": records.select(turf("l_orderkey"), year, F.when(F.col("l_returnflag") == "N", "").otherwise("x").alias("bad")),
+    }
+
+
+@query("turf_records", "WITH" + TURF_TABLES_SQL + """
+SELECT siteID, blockID, TTtreat, turfID, destBlockID,
+       (SELECT count(*) FROM lineitem n WHERE n.l_orderkey = o_orderkey AND n.l_returnflag = 'N') AS notbad,
+       year, CAST(l_partkey AS VARCHAR) AS species, l_quantity AS cover, recorder, destSiteID
+FROM turfs JOIN lineitem ON l_orderkey = o_orderkey WHERE TTtreat <> '' AND year <> 2010
+""")
+def turf_records(spark, folder):
+    """The shipped statement over eight tables."""
+    return run_sql(spark, TURF_RECORDS, survey_database(spark, folder))
+
+
+@query("recorder_totals", "WITH" + TURF_TABLES_SQL + """
+SELECT turfID, year, "date", totalVascular, TTtreat, sum(l_quantity) AS SumOfCover
+FROM turfs JOIN lineitem ON l_orderkey = o_orderkey WHERE recorder = 'Siri' GROUP BY 1, 2, 3, 4, 5
+""")
+def recorder_totals_query(spark, folder):
+    return recorder_totals(survey_database(spark, folder), "Siri")
+
+
+@query("product_site_climate", "WITH" + DAMXUNG_SQL + """,
+meta AS (
+  SELECT 'CN_Damxung' AS Gradient, destSiteID, CASE destSiteID WHEN 'HIGH' THEN 91.05491 ELSE 91.0646299 END::DOUBLE AS Longitude,
+         CASE destSiteID WHEN 'HIGH' THEN 30.53141 ELSE 30.4971 END::DOUBLE AS Latitude, CASE destSiteID WHEN 'HIGH' THEN 4800 ELSE 4313 END::DOUBLE AS Elevation
+  FROM damxung_community GROUP BY destSiteID
+),
+grid AS (
+  SELECT floor(((c_custkey * 7919 % 36000)::DOUBLE / 100 - 180 + 180) / 30) AS cx, floor((90 - ((c_custkey * 104729 % 17000)::DOUBLE / 100 - 85)) / 30) AS cy,
+         c_custkey % 12 + 1 AS month, c_acctbal AS value, CASE c_custkey % 3 WHEN 0 THEN 'tavg' WHEN 1 THEN 'prec' ELSE 'elevation' END AS var
+  FROM customer
+),
+st AS (
+  SELECT m.*, avg(value) FILTER (var = 'tavg') AS T_ann, avg(value) FILTER (var = 'tavg' AND month BETWEEN 5 AND 9) AS T_sum,
+         max(value) FILTER (var = 'elevation') AS Elevation_st, sum(value) FILTER (var = 'prec') AS P_ann,
+         sum(value) FILTER (var = 'prec' AND month BETWEEN 4 AND 9) AS P_sum
+  FROM meta m LEFT JOIN grid ON cx = floor((Longitude + 180) / 30) AND cy = floor((90 - Latitude) / 30) GROUP BY ALL
+)
+SELECT destSiteID, Elevation, Elevation_st, round(T_ann, 6) AS T_ann, round(T_sum, 6) AS T_sum, round(P_ann, 6) AS P_ann, round(P_sum, 6) AS P_sum,
+       round(T_ann + LAPSE * (Elevation_st - Elevation), 6) AS T_ann_cor, round(T_sum + LAPSE * (Elevation_st - Elevation), 6) AS T_sum_cor FROM st
+""".replace("LAPSE", f"{LAPSE_RATE}::DOUBLE"))
+def product_site_climate(spark, folder):
+    """Seasonal climate of the sites from a grid of 30 degrees, moved to their elevation."""
+    k = F.col("c_custkey")
+    grid = table(spark, folder, "customer").select(
+        ((k * 7919 % 36000).cast("double") / 100 - 180).alias("lon"), ((k * 104729 % 17000).cast("double") / 100 - 85).alias("lat"),
+        (k % 12 + 1).alias("month"), _pick(k % 3, "tavg", "prec", "elevation").alias("var"), F.col("c_acctbal").alias("value"))
+    out = P.site_climate(_damxung(spark, folder).meta, grid, -180.0, 90.0, 30.0)
+    rounded = ["T_ann", "T_sum", "P_ann", "P_sum", "T_ann_cor", "T_sum_cor"]
+    return out.select("destSiteID", "Elevation", "Elevation_st", *[F.round(c, 6).alias(c) for c in rounded])
