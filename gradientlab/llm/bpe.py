@@ -141,3 +141,18 @@ def decode(df: DataFrame, path: str, ids: str = "ids", data: str = "decoded") ->
         return [pa.array([whole[a:b] for a, b in zip(cut[:-1], cut[1:])], type=pa.binary())]
 
     return add_columns(df, ids, f"`{data}` binary", run)
+
+
+def encode_and_decode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", data: str = "decoded") -> DataFrame:
+    """``encode`` and ``decode`` of its ids in one pass, so that a task needs one Python worker."""
+
+    def run(column: pa.Array) -> list[pa.Array]:
+        values, offsets = encode_texts(column.to_pylist(), path)
+        out, ends = vocabulary(path).decode(values)
+        whole, cut = out.tobytes(), ends[offsets]
+        return [
+            pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values)),
+            pa.array([whole[a:b] for a, b in zip(cut[:-1], cut[1:])], type=pa.binary()),
+        ]
+
+    return add_columns(df, text, f"`{ids}` array<int>, `{data}` binary", run)

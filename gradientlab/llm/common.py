@@ -28,6 +28,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     configure(spark)
     environment = spark.sparkContext.environment
     known = environment.get("PYTHONPATH", "")
+    # glibc: arrays of 1 MB and more go back to the system when they are freed
+    environment.update({"MALLOC_MMAP_THRESHOLD_": "1048576", "MALLOC_TRIM_THRESHOLD_": "1048576"})
     if HOME not in known.split(os.pathsep):
         environment["PYTHONPATH"] = os.pathsep.join([HOME, known]) if known else HOME
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))

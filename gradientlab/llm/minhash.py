@@ -52,9 +52,11 @@ REGISTERS = 1 << REGISTER_BITS
 MISS = 1e-5
 MANTISSA = 3
 #: Bytes of text that are hashed at a time (or one text, if longer).
-RUN = 1 << 19
+RUN = 1 << 17
 #: Sketches say little about sets smaller than this; such pairs go straight to verification.
 SMALL_SET = 32
+#: As many ids at most are sent to all tasks to fetch their texts; more are joined by shuffle.
+BROADCAST_ROWS = 500_000
 #: Item ids are compared under one of these to find a bucket's hub.
 ORDERS = (0x0, 0x5555555555555555, 0x3333333333333333, 0x6A09E667F3BCC908)
 
@@ -241,8 +243,10 @@ def _estimated(pairs: DataFrame, items: DataFrame, least: float) -> DataFrame:
 
 def _texts(items: DataFrame, docs: DataFrame) -> DataFrame:
     """(item, text) of each item."""
+    wanted = items.select("item", "first_id", "key1", "key2")
+    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(
-        items.select("item", "first_id", "key1", "key2"), F.col("doc_id").eqNullSafe(F.col("first_id")))
+        wanted, F.col("doc_id").eqNullSafe(F.col("first_id")))
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # a repeated id has several texts; the item's are those with its set
@@ -271,8 +275,11 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(compare, "a bigint, b bigint")
 
 
-def _across(members: DataFrame, labels: DataFrame, items: DataFrame, least: float, most: int, block: int = 4096) -> DataFrame:
-    """(a, b, more) of items that share a bucket, are in different components and may be similar enough.
+def _across(
+    members: DataFrame, labels: DataFrame, items: DataFrame, least: float, most: int, block: int = 4096
+) -> tuple[DataFrame, DataFrame]:
+    """(a, b, more) of items that share a bucket, are in different components and may be similar enough; (band) of
+    the buckets that have members in different components.
 
     Each item that isn't in the largest component of a bucket is given with its
     ``most`` most similar ones (of each block); ``more`` says that there are others.
@@ -322,11 +329,12 @@ def _across(members: DataFrame, labels: DataFrame, items: DataFrame, least: floa
             "more": pa.array([m for _, _, m in found], pa.bool_()),
         })
 
-    return asks.unionByName(told).groupBy("band", "row_block", "column_block").applyInArrow(
-        run, "a bigint, b bigint, more boolean").groupBy("a", "b").agg(F.max("more").alias("more"))
+    found = asks.unionByName(told).groupBy("band", "row_block", "column_block").applyInArrow(
+        run, "a bigint, b bigint, more boolean")
+    return found.groupBy("a", "b").agg(F.max("more").alias("more")), buckets.select("band")
 
 
-def near_duplicates(docs: DataFrame, percent: int = 80, most: int = 32) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 80, most: int = 4) -> DataFrame:
     """doc_id, n_shingles and component_id of every row; ``percent`` is the least similarity of a link."""
     least = percent / 100
     size = band_size(least)
@@ -355,7 +363,9 @@ def near_duplicates(docs: DataFrame, percent: int = 80, most: int = 32) -> DataF
         labels = stage_table(
             shared.select("item").join(parts.withColumnRenamed("node", "item"), "item", "left")
             .select("item", F.coalesce("component", "item").alias("component")), "minhash/labels")
-        near = stage_table(_across(members, labels, shared, least, most), "minhash/near")
+        near, still_open = _across(members, labels, shared, least, most)
+        near = stage_table(near, "minhash/near")
+        members = members.join(still_open, "band", "left_semi")  # components only grow: the others are done
         new = stage_table(near.select("a", "b").join(compared, ["a", "b"], "left_anti"), "minhash/new")
         if not new.isEmpty():
             parts = connected_components(_verified(new, texts, percent).unionByName(
@@ -379,12 +389,12 @@ def keep_one(docs: DataFrame, percent: int = 80) -> DataFrame:
 
     Of rows that share an id and are kept, one stays if they share their text.
     """
-    key, tie = fresh(docs, "kept_id", "kept_text")
-    found = near_duplicates(docs, percent).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = stage_table(
-        found.groupBy(F.col("doc_id").alias(key)).agg(F.count(F.lit(1)).alias("rows")), "minhash/kept")
-    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept[key]), "left_semi")
-    many = stage_table(kept.filter("rows > 1").select(key), "minhash/repeated")
+    key, tie = fresh(docs, "other_id", "other_text")
+    found = near_duplicates(docs, percent).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    ids = stage_table(found.groupBy(F.col("doc_id").alias(key)).agg(
+        F.count_if("kept").alias("kept")).filter("kept <> 1"), "minhash/ids")  # fewer than the ids that one row keeps
+    dropped, many = ids.filter("kept = 0").select(key), ids.filter("kept > 1").select(key)
+    rows = docs.join(dropped, docs["doc_id"].eqNullSafe(dropped[key]), "left_anti")
     if many.isEmpty():
         return rows
     once = rows.join(many, rows["doc_id"].eqNullSafe(many[key]), "left_anti")

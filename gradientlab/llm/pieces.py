@@ -22,7 +22,7 @@ from .ngrams import slice_hashes
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _LETTER, _NUMBER, _OTHER, _BLANK = range(4)
 #: Texts are split in runs of about so many characters, which bounds the arrays.
-RUN = 1 << 18
+RUN = 1 << 16
 _CUT = re.compile(r"(?<=[a-z]) (?=[a-z])")
 
 

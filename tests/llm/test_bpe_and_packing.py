@@ -98,6 +98,13 @@ def test_encode_and_decode(spark, oracle):
         assert r.ids == oracle.encode_ordinary(r.text or "") and bytes(r.decoded) == (r.text or "").encode()
 
 
+def test_one_pass_gives_the_same(spark):
+    prepare(spark)
+    df = frame(spark, [(k, t) for k, t in enumerate(texts(100, 6))] + [(None, None)])
+    two = bpe.decode(bpe.encode(df, RANKS), RANKS)
+    assert sorted(map(str, bpe.encode_and_decode(df, RANKS).collect())) == sorted(map(str, two.collect()))
+
+
 def test_empty_tables(spark):
     prepare(spark)
     empty = frame(spark, [])

@@ -102,7 +102,7 @@ def test_components_against_all_pairs(spark, percent):
     texts += family(rng, 60, 40, 3, "big")  # many pairs on either side of the threshold
     docs = [(k, t) for k, t in enumerate(rng.sample(texts, len(texts)))]
     assert ours(spark, docs, percent) == brute(docs, percent)
-    assert ours(spark, docs, percent, most=1) == brute(docs, percent)  # many rounds
+    assert ours(spark, docs, percent, most=1) == brute(docs, percent)  # several rounds
 
 
 def test_chain_of_edits_is_one_component(spark):
@@ -143,3 +143,22 @@ def test_components_of_a_path_and_a_star(spark):
     assert {got[k] for k in range(100, 141)} == {100} and {got[k] for k in range(200, 260)} == {7}
     assert got[9] == got[8] == 8 and got[7] == 7 and 3 not in got
     assert connected_components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_texts_are_fetched_by_shuffle_beyond_the_bound(spark, monkeypatch):
+    prepare(spark)
+    rng = random.Random(4)
+    docs = [(k, t) for k, t in enumerate(family(rng, 40, 8, 3, "a") + family(rng, 30, 8, 3, "b"))]
+    wanted = brute(docs, 85)
+    monkeypatch.setattr(minhash, "BROADCAST_ROWS", 0)
+    assert ours(spark, docs, 85) == wanted
+
+
+def test_large_buckets_are_dealt_into_blocks(spark, monkeypatch):
+    """Blocks of three items give what one block gives."""
+    prepare(spark)
+    rng = random.Random(9)
+    docs = [(k, t) for k, t in enumerate(family(rng, 60, 25, 5, "c"))]
+    whole = minhash._across
+    monkeypatch.setattr(minhash, "_across", lambda *a: whole(*a, block=3))
+    assert ours(spark, docs, 85) == brute(docs, 85)
