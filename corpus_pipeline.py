@@ -45,7 +45,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, checked by decoding them."""
     prepare(spark)
-    decoded = bpe.decode(bpe.encode(docs.select("doc_id", "text"), RANKS), RANKS)
+    decoded = bpe.encode_and_decode(docs.select("doc_id", "text"), RANKS)
     return decoded.select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids",
         (F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")).alias("exact"),
