@@ -154,7 +154,7 @@ def apply_synonyms(
 
 # -- resolution -------------------------------------------------------------
 
-def _segments(length: Column, number: int, edits: int) -> tuple[Column, Column]:
+def _segments(length: Column, number: int | Column, edits: int) -> tuple[Column, Column]:
     """Start (from 0) and length of a segment of a text cut into ``edits`` + 1 near equal ones."""
     start = F.floor(length * number / (edits + 1)).cast("int")
     return start, F.floor(length * (number + 1) / (edits + 1)).cast("int") - start
@@ -183,16 +183,20 @@ def segment_keys(text: ColumnLike, edits: int) -> Column:
 def probe_keys(text: ColumnLike, edits: int) -> Column:
     """Keys of every segment that a listed name within ``edits`` edits may share with this one."""
     text = as_col(text)
-    own, keys = F.length(text), []
-    for change in range(-edits, edits + 1):
-        length = own + F.lit(change)
-        for k in range(edits + 1):
-            start, size = _segments(length, k, edits)
-            for shift in range(-edits, edits + 1):
-                at = start + F.lit(shift)
-                fits = (length >= 0) & (at >= 0) & (at + size <= own)
-                keys.append(F.when(fits, _key(length, k, F.substring(text, at + 1, size))))
-    return F.array_distinct(F.array_compact(F.array(*keys)))
+    own = F.length(text)
+    tried = F.array(*[
+        F.struct(F.lit(change).alias("change"), F.lit(k).alias("k"), F.lit(shift).alias("shift"))
+        for change in range(-edits, edits + 1) for k in range(edits + 1) for shift in range(-edits, edits + 1)
+    ])
+
+    def key(p: Column) -> Column:
+        length = own + p["change"]
+        start, size = _segments(length, p["k"], edits)
+        at = start + p["shift"]
+        fits = (length >= 0) & (at >= 0) & (at + size <= own)
+        return F.when(fits, F.xxhash64(length, p["k"], F.substring(text, at + 1, size)))
+
+    return F.array_distinct(F.array_compact(F.transform(tried, key)))
 
 
 def resolve_names(names: DataFrame, backbone: DataFrame, edits: int = 2, col: str = "submitted_name") -> DataFrame:
