@@ -2,9 +2,14 @@
 
 A page is cut into blocks at block-level tags.  What stands in scripts, styles,
 forms, menus, headers, footers, sidebars, notices, adverts and reader comments
-(by element, role, or a word of class or id) is no block.  The first pass decides
-each block by the share of its letters inside links, its length and the share of
-stop words among its words:
+(by element, role, or a name in class or id) is no block.  A name counts if it says
+nothing else: ``sidebar``, ``cookie-notice`` and ``site-footer-links`` do,
+``has-sidebar``, ``no-comments`` and ``legal-analysis`` don't.  An article or main
+element inside a form or a part marked by such a name starts afresh; only articles
+among reader comments and recommendations remain part of those.
+
+The first pass decides each block by the share of its letters inside links, its
+length and the share of stop words among its words:
 
     link density above 0.5, or above 0.2 in a block without many stop words   bad
     under 70 characters                                           short: bad with links, else open
@@ -54,7 +59,7 @@ BLOCKS = frozenset(
     "summary table tbody td tfoot th thead tr ul".split()
 )
 DROPPED = frozenset("head nav footer aside form dialog menu search select button object svg math canvas audio video datalist".split())
-#: Words of a class or an id that mark what isn't the main text.
+#: Words of a name in class or id that mark what isn't the main text.
 MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion cookie cookies "
     "consent gdpr notice notices alert popup modal overlay sidebar aside widget widgets menu nav navbar navigation breadcrumb "
@@ -63,6 +68,16 @@ MARKS = frozenset(
 )
 #: The same in an article, whose own words may name its parts otherwise.
 COMMENT_MARKS = frozenset("comment comments disqus reply replies respond".split())
+#: Marks of parts whose articles aren't the page's own.
+OTHERS_MARKS = COMMENT_MARKS | frozenset("related recommended recommendations".split())
+#: Words that may stand before and behind the marks of a name: where or in what the marked part is.
+BEFORE = frozenset("site main page primary secondary global top bottom left right post article entry mobile".split())
+BEHIND = frozenset(
+    "area bar block bottom box button buttons container form inner item items label left link links list panel posts right row "
+    "section slot top unit wrap wrapper".split()
+)
+#: How far an element is unwanted: not, but for an article or main element in it, but for a main element in it, wholly.
+WANTED, MARKED, OTHERS, UNWANTED = range(4)
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form".split())
 #: An element that ends one of the same kind left open, unless one of the second set stands between.
 CLOSES = {
@@ -78,21 +93,38 @@ def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape((m[2] or "").strip("\"'")) for m in _ATTRIBUTE.finditer(text)}
 
 
-def _unwanted(tag: str, attrs: str, in_article: bool) -> bool:
-    """Whether an element holds no main text."""
-    if tag in DROPPED or tag == "header" and not in_article:
-        return True
+def _marks(names: str) -> frozenset[str]:
+    """Words of MARKS in those names that consist of them, but for words before and behind."""
+    found: set[str] = set()
+    for name in names.lower().split():
+        words = [w for w in re.split(r"[^a-z0-9]+", name) if w and not w.isdigit()]
+        while words and words[0] in BEFORE:
+            del words[0]
+        while words and words[-1] in BEHIND:
+            del words[-1]
+        if all(w in MARKS for w in words):
+            found.update(words)
+    return frozenset(found)
+
+
+def _unwanted(tag: str, attrs: str, in_article: bool) -> int:
+    """Whether an element holds no main text, and how far."""
+    if tag in DROPPED and tag != "form" or tag == "header" and not in_article:
+        return UNWANTED
+    level = MARKED if tag == "form" else WANTED
     if not attrs or attrs.isspace():
-        return False
+        return level
     got = _attributes(attrs)
     if "hidden" in got or got.get("aria-hidden") == "true" or got.get("role", "").lower() in ROLES:
-        return True
+        return UNWANTED
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", got.get("style", "").lower()):
-        return True
+        return UNWANTED
     if tag in ("html", "body", "main"):
-        return False
-    words = set(re.split(r"[^a-z0-9]+", f"{got.get('class', '')} {got.get('id', '')}".lower()))
-    return bool(words & (COMMENT_MARKS if tag == "article" else MARKS))
+        return level
+    marks = _marks(f"{got.get('class', '')} {got.get('id', '')}")
+    if tag == "article":
+        marks &= COMMENT_MARKS
+    return OTHERS if marks & OTHERS_MARKS else MARKED if marks else level
 
 
 class Block:
@@ -105,7 +137,7 @@ class Block:
 def blocks(page: str) -> list[Block]:
     """Blocks in page order; ``article`` is the number of the article or main element around it, 0 for none."""
     found: list[Block] = []
-    stack: list[tuple[str, bool, int]] = []  # open elements: name, unwanted, article
+    stack: list[tuple[str, int, int]] = []  # open elements: name, unwanted, article
     parts: list[str] = []
     links: list[str] = []
     in_link, articles, at = False, 0, 0
@@ -180,13 +212,14 @@ def blocks(page: str) -> list[Block]:
                     break
         if tag in VOID or attrs.endswith("/") and tag not in BLOCKS:
             continue
-        inside = stack[-1] if stack else ("", False, 0)
-        bad = inside[1] or _unwanted(tag, attrs, inside[2] > 0)
+        inside = stack[-1] if stack else ("", WANTED, 0)
+        afresh = inside[1] < (UNWANTED if tag == "main" else OTHERS if tag == "article" else WANTED)
+        bad = max(WANTED if afresh else inside[1], _unwanted(tag, attrs, inside[2] > 0))
         article = inside[2]
         if tag in ("article", "main") and not bad:
             articles += 1
             article = article or articles
-        if tag in BLOCKS or bad and not inside[1]:
+        if tag in BLOCKS or bad > inside[1]:
             if tag not in BLOCKS:  # an unwanted part of a line
                 parts.append(" ")
             stack.append((tag, bad, article))

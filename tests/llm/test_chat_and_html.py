@@ -103,6 +103,28 @@ def test_page_without_article_uses_the_two_passes():
     assert got == f"{(LONG * 2).strip()}\nYes.\n{(LONG * 2).strip()}"
 
 
+@pytest.mark.parametrize("before,after", [
+    ("<div class='layout has-sidebar'>", "</div>"), ("<div id='page-with-nav'>", "</div>"), ("<div class='no-comments'>", "</div>"),
+    ("<form action='/' id='aspnetForm'><div>", "</div></form>"), ("<div class='widget'><div>", "</div></div>"),
+    ("<section class=sidebar>", "</section>"), ("<main><div class='promo'>", "</div></main>"),
+])
+@pytest.mark.parametrize("article", ["article", "main"])
+def test_an_article_in_a_marked_wrapper(before, after, article):
+    inner = f"<p>{LONG}</p><div class='legal-analysis'>Of the law.</div><p class='related-work'>Of others.</p><div class='ad-slot'>{LONG}</div>"
+    got = html_text.main_text(page(f"{before}<{article}>{inner}</{article}>{after}<div class='site-footer'>{LONG}</div>"))
+    assert got == LONG.strip() + "\nOf the law.\nOf others."
+
+
+def test_articles_of_others_and_unwanted_parents():
+    for before, after in [("<div id='comments'>", "</div>"), ("<div class='related-posts'>", "</div>"), ("<aside>", "</aside>"),
+                          ("<div class='promo' hidden>", "</div>"), ("<div class='promo'><span hidden>", "</span></div>"), ("<ol class='comment-list'><li>", "</ol>")]:
+        assert html_text.main_text(page(f"<article>x</article>{before}<article><p>{LONG}</p></article>{after}")) == "x"
+
+
+def test_wrappers_of_a_page_without_article():
+    assert html_text.main_text(page(f"<div class='has-sidebar'><div class='content no-comments'><p>{LONG}</p></div><div class='sidebar-left'>{LONG}</div></div>")) == LONG.strip()
+
+
 @pytest.mark.parametrize("text,wanted", [
     (None, ""), ("", ""), ("   ", ""), ("<", ""), ("<article>open <b>bold <p>next &lt;p&gt; &#233; &amp;amp;", "open bold\nnext <p> é &amp;"),
     ("<article><p>a<p>b</article></div></p>", "a\nb"), ("<article><p>a <!-- no --> b <unfinished", "a b"),
