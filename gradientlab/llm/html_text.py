@@ -11,8 +11,8 @@ among reader comments and recommendations remain part of those.
 The first pass decides each block by the share of its letters inside links, its
 length and the share of stop words among its words:
 
-    link density above 0.5, or above 0.2 in a block without many stop words   bad
-    under 70 characters                                           short: bad with links, else open
+    link density above 0.5, or above 0.2 in a block without many stop words   bad, in an article open
+    under 70 characters                               short: bad with links outside articles, else open
     stop words from 0.25 up                                              good
     stop words from 0.12 up                                              open (near good)
     fewer                                                                bad, in an article open
@@ -233,9 +233,9 @@ def first_pass(block: Block) -> str:
     stop = sum(w in ALL for w in words) / max(len(words), 1)
     density, size = block.linked / len(block.text), len(block.text)
     if density > LINKED or density > SOME_LINKED and stop < MANY:
-        return BAD
+        return SHORT_OPEN if block.article else BAD
     if size < SHORT:
-        return BAD if block.linked else SHORT_OPEN
+        return BAD if block.linked and not block.article else SHORT_OPEN
     if stop >= MANY:
         return GOOD
     if stop >= SOME:

@@ -125,6 +125,17 @@ def test_wrappers_of_a_page_without_article():
     assert html_text.main_text(page(f"<div class='has-sidebar'><div class='content no-comments'><p>{LONG}</p></div><div class='sidebar-left'>{LONG}</div></div>")) == LONG.strip()
 
 
+@pytest.mark.parametrize("article", ["article", "main"])
+def test_links_in_an_article(article):
+    lines = ["<h1><a href=/t>A linked title</a></h1>", f"<p>{LONG}</p>", "<p>See <a href=x>the report</a> for all figures.</p>",
+             "<ul><li><a href=a>Linked item</a></li><li><a href=b>Another</a> one</li></ul>", f"<p>{LONG}</p>",
+             "<h2>References</h2><ol><li>Miller, J. 1999. <a href=c>Alpine plants along gradients, volume 3, pages 117-154, Basel</a></li></ol>"]
+    outside = "<div><a href=/>Home</a> of all</div>" + f"<div><a href=y>{LONG}</a></div>"
+    got = html_text.main_text(page(outside, f"<{article}>", *lines, f"</{article}>", outside)).split("\n")
+    assert got == ["A linked title", LONG.strip(), "See the report for all figures.", "Linked item", "Another one", LONG.strip(), "References",
+                   "Miller, J. 1999. Alpine plants along gradients, volume 3, pages 117-154, Basel"]
+
+
 @pytest.mark.parametrize("text,wanted", [
     (None, ""), ("", ""), ("   ", ""), ("<", ""), ("<article>open <b>bold <p>next &lt;p&gt; &#233; &amp;amp;", "open bold\nnext <p> é &amp;"),
     ("<article><p>a<p>b</article></div></p>", "a\nb"), ("<article><p>a <!-- no --> b <unfinished", "a b"),
