@@ -17,6 +17,11 @@ length and the share of stop words among its words:
     stop words from 0.12 up                                              open (near good)
     fewer                                                                bad, in an article open
 
+Stop words are those of English, German, French and Spanish.  On a page without any
+article or main element and without a good block, whose words outside links are
+nearly never (under 12 %) stop words, blocks from 70 characters up with a link
+density of at most 0.2 are good: it is likely in another language.
+
 The second pass gives open blocks the label of the nearest decided neighbours:
 if both sides have the same, that; else the nearer's (by characters between);
 the near good and those in an article lean to good.  The ends of a page count as
@@ -243,6 +248,17 @@ def first_pass(block: Block) -> str:
     return SHORT_OPEN if block.article else BAD
 
 
+def other_language(found: list[Block], labels: list[str]) -> list[str]:
+    """The labels, with long link-poor blocks good where no article and no stop words tell the main text."""
+    if GOOD in labels or any(b.article for b in found):
+        return labels
+    long = [len(b.text) >= SHORT and b.linked / len(b.text) <= SOME_LINKED for b in found]
+    words = [w for b, ok in zip(found, long) if ok for w in _WORD.findall(b.text.lower())]
+    if sum(w in ALL for w in words) >= SOME * len(words):
+        return labels
+    return [GOOD if ok else label for ok, label in zip(long, labels)]
+
+
 def second_pass(found: list[Block], labels: list[str]) -> list[bool]:
     """Whether each block is main text."""
     n, out = len(found), [label == GOOD for label in labels]
@@ -274,7 +290,7 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     found = blocks(page)
-    keep = second_pass(found, [first_pass(b) for b in found])
+    keep = second_pass(found, other_language(found, [first_pass(b) for b in found]))
     return "\n".join(b.text for b, k in zip(found, keep) if k)
 
 

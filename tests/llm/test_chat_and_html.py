@@ -136,6 +136,21 @@ def test_links_in_an_article(article):
                    "Miller, J. 1999. Alpine plants along gradients, volume 3, pages 117-154, Basel"]
 
 
+@pytest.mark.parametrize("prose", [
+    "Rzeka płynęła powoli przez dolinę, a mieszkańcy miasteczka pamiętali jeszcze dawne opowieści swoich dziadków o wielkiej powodzi.",
+    "Joki virtasi hitaasti laakson halki, ja kaupungin asukkaat muistivat yhä isovanhempiensa vanhat kertomukset suuresta tulvasta.",
+    "Река медленно текла через долину, и жители города ещё помнили старые рассказы своих дедов о большом наводнении.",
+])
+def test_page_in_another_language_without_article(prose):
+    links = "<ul><li><a href=a>Home</a></li><li><a href=b>" + prose + "</a></li></ul>"
+    assert html_text.main_text(page(links, f"<div><p>{prose}</p><p>123.</p><p>{prose}</p></div>", links)) == f"{prose}\n123.\n{prose}"
+
+
+def test_long_blocks_without_stop_words_beside_prose():
+    listed = "Miller Smith Johnson Brown Davis Wilson Moore Taylor Anderson Thomas Jackson White Harris Martin"
+    assert html_text.main_text(page(f"<p>{LONG}</p><div>{listed}</div>")) == LONG.strip()
+
+
 @pytest.mark.parametrize("text,wanted", [
     (None, ""), ("", ""), ("   ", ""), ("<", ""), ("<article>open <b>bold <p>next &lt;p&gt; &#233; &amp;amp;", "open bold\nnext <p> é &amp;"),
     ("<article><p>a<p>b</article></div></p>", "a\nb"), ("<article><p>a <!-- no --> b <unfinished", "a b"),
