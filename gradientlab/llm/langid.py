@@ -6,8 +6,9 @@ end marks one).  The mean of the subwords' embeddings goes through a linear
 softmax; embeddings and softmax are trained together by stochastic gradient
 descent in numpy.  A temperature fitted on rows apart calibrates the
 probabilities.  A text is rejected if it is null or has no letter, or if its
-probability is below a threshold that, on the rows apart, all but a thousandth
-of the texts reach (0.5 at most).
+probability is below a threshold that parts right from wrong predictions on the
+rows apart.  These are a fifth of each language's rows; a language with a single
+row has none, and only if no language has any are the learnt rows taken instead.
 
 As the model is linear, embeddings and softmax are multiplied once into a table
 of one row per subword, so scoring is a sum over the whole text.
@@ -105,28 +106,42 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, classes
     return emb @ w.T, b
 
 
+def choose_threshold(best: np.ndarray, right: np.ndarray, labels: np.ndarray, slack: float = 0.005) -> float:
+    """Probability that parts right from wrong predictions, every language weighing as much.
+
+    Cost is the weight of right predictions below it and of wrong ones from it up.  Of all thresholds whose cost is within
+    ``slack`` of the least, that nearest to 0.5 is taken, from which a calibrated prediction is rather right than wrong.
+    """
+    kinds, kind, counts = np.unique(labels, return_inverse=True, return_counts=True)
+    weight = 1 / (counts[kind] * len(kinds))
+    order = np.argsort(best, kind="stable")
+    gain = np.where(right, weight, -weight)[order]
+    tries = np.append(np.unique(best), 0.5)
+    cost = np.append(0, np.cumsum(gain))[np.searchsorted(best[order], tries)]  # but for a constant
+    near = tries[cost <= cost.min() + slack]
+    return float(near[np.abs(near - 0.5).argmin()])
+
+
 def fit_rows(texts: list[str], langs: list[str]) -> Model:
-    languages = sorted(set(langs))
-    if not languages:
-        return Model([], np.zeros((1 << BITS, 0), dtype=np.float32), np.zeros(0), 1.0, 0.0)
-    labels = np.array([languages.index(x) for x in langs])
     found = [np.unique(subwords(t), return_counts=True) for t in texts]
     use = [i for i, (u, _) in enumerate(found) if len(u)]
+    languages = sorted({langs[i] for i in use})
+    if not languages:
+        return Model([], np.zeros((1 << BITS, 0), dtype=np.float32), np.zeros(0), 1.0, 0.0)
+    labels = np.array([languages.index(langs[i]) for i in use])
     rows = [(found[i][0], found[i][1] / found[i][1].sum()) for i in use]
-    labels = labels[use]
-    apart = np.arange(len(rows)) % 5 == 0
-    if not len(rows) or len(set(labels[~apart].tolist())) < len(languages):
-        apart[:] = False
+    apart = np.zeros(len(rows), dtype=bool)
+    for k in range(len(languages)):  # the first row of each is always learnt
+        apart[np.flatnonzero(labels == k)[1::5]] = True
     learn = np.flatnonzero(~apart)
-    if not len(learn):
-        return Model([], np.zeros((1 << BITS, 0), dtype=np.float32), np.zeros(0), 1.0, 0.0)
     table, bias = train([rows[i] for i in learn], labels[learn], len(languages))
     check = np.flatnonzero(apart) if apart.any() else learn
     logits = np.array([rows[i][1] @ table[rows[i][0]] + bias for i in check])
     loss = lambda t: -np.mean([np.log(softmax(x / t)[y] + 1e-12) for x, y in zip(logits, labels[check])])
     temperature = min(np.geomspace(0.1, 10, 41), key=loss)
     best = np.array([softmax(x / temperature).max() for x in logits])
-    return Model(languages, table.astype(np.float32), bias, float(temperature), float(min(0.5, np.quantile(best, 0.001))))
+    threshold = choose_threshold(best, logits.argmax(1) == labels[check], labels[check])
+    return Model(languages, table.astype(np.float32), bias, float(temperature), threshold)
 
 
 def fit(docs: DataFrame, max_rows: int = 4000, max_chars: int = 20_000) -> Model:

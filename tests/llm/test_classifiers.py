@@ -128,3 +128,37 @@ def test_table_of_subwords_equals_the_mean():
     many = texts[0] * 400  # more subwords than the table has rows
     assert model.languages[model.probabilities(many).argmax()] == "p"
     assert np.allclose(model.probabilities(texts[1]), model.probabilities(texts[1].upper()))
+
+
+def four_languages(n):
+    rng = random.Random(3)
+    alphabets = {"p": "abcde ", "q": "vwxyz ", "r": "ijklm ", "s": "nopqr "}
+    return [("".join(rng.choices(letters, k=120)), lang) for _ in range(n) for lang, letters in alphabets.items()]
+
+
+def test_few_unsure_rows_do_not_set_the_language_threshold():
+    rng = random.Random(4)
+    junk = [("".join(rng.choices("abcdevwxyzijklmnopqr ", k=120)), rng.choice("pqrs")) for _ in range(12)]
+    rows = four_languages(150) + junk
+    model = langid.fit_rows([t for t, _ in rows], [lang for _, lang in rows])
+    unsure = sorted(max(model.probabilities(t)) for t, _ in junk)
+    assert unsure[0] < 0.45 and model.threshold == 0.5
+    assert all(ok for _, _, ok in langid.identify_texts([t for t, _ in rows[:-12]], model))
+
+
+def test_threshold_parts_right_from_wrong():
+    best, labels = np.array([0.9] * 50 + [0.62] * 50), np.array([0, 1] * 50)
+    assert 0.62 < langid.choose_threshold(best, best > 0.8, labels) <= 0.9
+    assert langid.choose_threshold(best, best > 0, labels) == 0.5
+    unsure = np.append(best, [0.3, 0.3])  # all that a rare language has
+    assert langid.choose_threshold(unsure, unsure > 0, np.append(labels, [2, 2])) == 0.3
+
+
+def test_a_rare_language_leaves_the_rows_apart(monkeypatch):
+    learnt = []
+    train = langid.train
+    monkeypatch.setattr(langid, "train", lambda rows, *args: learnt.append(len(rows)) or train(rows, *args))
+    rows = [("ščřž " * 20, "t"), *four_languages(25)]
+    model = langid.fit_rows([t for t, _ in rows], [lang for _, lang in rows])
+    assert learnt == [81] and model.languages[model.probabilities(rows[0][0]).argmax()] == "t"
+    assert langid.fit_rows(["12", "ab cd"], ["x", "y"]).languages == ["y"]
