@@ -77,7 +77,9 @@ def dropped_places(docs: DataFrame, doc: str, text: str, least_chars: int, least
     """(doc, tie, size, dropped): the places of the lines to drop, for rows that have some."""
     found = stage_table(hashed_lines(docs, doc, text, least_chars), "lines/hashes")
     each = found.select("doc", "tie", "size", F.posexplode("hashes").alias("place", "hash")).filter("hash IS NOT NULL")
-    gone = each.join(frequent(found, least_docs), "hash").filter(~F.col("doc").eqNullSafe(F.col("keeper")))
+    # written, so that a hash which very many lines share is split: its join then stands between two exchanges
+    often = stage_table(frequent(found, least_docs), "lines/frequent")
+    gone = each.join(often, "hash").filter(~F.col("doc").eqNullSafe(F.col("keeper")))
     return gone.groupBy("doc", "tie", "size").agg(F.collect_set("place").alias("dropped"))
 
 

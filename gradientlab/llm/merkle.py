@@ -21,11 +21,17 @@ A level has a sixteenth of the rows of the one below, and the number of levels i
 the logarithm of the largest source.
 
 ``prove`` climbs these rows with a recursive query.  Leaves of one run share
-their way up, so one row stands for a run: with the id, the digest to be folded and
-the own siblings of each of its at most ``FANOUT`` leaves, and with the siblings met
-on the common way.  A step joins the node where the row stands, appends that
-node's siblings, and folds each leaf's digest between them; it ends at the root.
-So a row grows by one run of digests a level, and no level is gathered.
+their way up, so one row stands for a run: with the id, the digest and the digest to
+be folded of each of its at most ``FANOUT`` leaves, and with the siblings met on the
+common way.  A step joins the node where the row stands, appends that node's
+siblings, and folds each leaf's digest between them; it ends at the root.  So a row
+grows by one run of digests a level, and no level is gathered.
+
+Near the root all rows stand at few nodes.  Runs are therefore dealt into lanes of
+``LANE`` consecutive ones; a node that several lanes pass has a row for each of
+them, and rows are joined by lane: no key has more than ``LANE`` rows.  Only nodes
+with more than ``LANE`` runs below them are repeated, once a lane, which adds at
+most one row a level for each ``LANE * FANOUT`` leaves of a source, and one a source.
 
 The digest that is folded is that of the tampered row where one is given: the
 root then shows whether the row is as it was (``verified``).
@@ -46,6 +52,8 @@ from ..session import stage_table
 from .common import crc32_of_id
 
 FANOUT = 16
+#: Runs that are joined to a node under one key; a power of FANOUT.
+LANE = FANOUT**3
 NODE = ("tree", "level", "place")
 #: More steps than any tree can have levels: a depth of 64 would be 16**64 leaves.
 DEEPEST = 64
@@ -166,8 +174,22 @@ def _union(frames: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
+def _laned(nodes: DataFrame, level: int, lanes: DataFrame, upper: bool) -> DataFrame:
+    """The node rows of one level with the (source, lane) that pass them: of their own tree, or above the subroots."""
+    if not upper and FANOUT ** (level - 1) <= LANE:
+        return nodes.select(
+            F.col("tree").alias("source"), F.floor(F.col("place") / (LANE // FANOUT ** (level - 1))).alias("lane"), "*")
+    if upper:
+        return nodes.join(lanes, F.floor(F.col("source") / FANOUT**level) == F.col("place")).select("source", "lane", *nodes.columns)
+    return nodes.join(lanes, (F.col("source") == F.col("tree")) & (
+        F.floor(F.col("lane") / (FANOUT ** (level - 1) // LANE)) == F.col("place"))).select("source", "lane", *nodes.columns)
+
+
 class Manifest:
-    """``bottom``: the runs of leaves; ``nodes``: node rows above them; ``tops``: subroots with the node that each is; ``root``."""
+    """``bottom``: the runs of leaves; ``nodes``: node rows above them, by lane; ``tops``: the node that each subroot is.
+
+    ``end`` is the root's node and ``root`` its digest, both None of an empty table.
+    """
 
     def __init__(self, rows: DataFrame):
         found, sizes = numbered(rows)
@@ -177,6 +199,8 @@ class Manifest:
             leaf.groupBy("tree", _run_of().alias("run"), "nodes").agg(F.sort_array(F.collect_list(kid)).alias("kids"))
             .withColumn("digest", F.when(F.col("nodes") == 1, F.col("kids")[0]["leaf"]).otherwise(
                 _hash_of(F.transform("kids", lambda k: k["leaf"])))), "merkle/bottom")
+        lanes = stage_table(self.bottom.select(
+            F.col("tree").alias("source"), F.floor(F.col("run") / LANE).alias("lane")).distinct(), "merkle/lanes")
         most = sizes.agg(F.max("nodes")).first()[0] or 0
         # a lone leaf is its own subroot; other runs of leaves are the nodes of level 1
         first = self.bottom.select(
@@ -184,78 +208,71 @@ class Manifest:
         below, tops = _levels(first, -(-most // FANOUT), 1)
         self.tops = stage_table(_union(tops), "merkle/tops")
         trees = self.tops.count()
-        upper = self.tops.select(F.lit(-1).cast("bigint").alias("tree"), F.col("tree").alias("place"), "digest", F.lit(trees).cast("bigint").alias("left"))
+        upper = self.tops.select(
+            F.lit(-1).cast("bigint").alias("tree"), F.col("tree").alias("place"), "digest", F.lit(trees).cast("bigint").alias("left"))
         above, roots = _levels(upper, trees, 0)
-        self.root = _union(roots).select("digest")
-        # the lowest rows of the tree of subroots stand for the subroots themselves
-        linked = [
-            above[0].join(self.tops.select(F.col("tree").alias("of"), F.col("level").alias("its_level")), F.col("place") == F.col("of"))
-            .select(F.col("place").alias("tree"), F.col("its_level").alias("level"), F.lit(0).cast("bigint").alias("place"),
-                    "parent_tree", "parent_level", "parent_place", "digest", "before", "after"),
-            *above[1:],
-        ] if above else []
-        empty = self.tops.select(
-            *NODE, *[F.col(c).alias(f"parent_{c}") for c in NODE], "digest", F.col("digest").alias("before"),
-            F.col("digest").alias("after")).limit(0)
-        self.nodes = stage_table(_union([empty, *below, *linked]), "merkle/nodes")
+        top = _union(roots).first()
+        self.root = top["digest"].hex() if top else None
+        if above:
+            self.end = (-1, len(above), 0)
+        else:
+            only = self.tops.select(*NODE).first()
+            self.end = tuple(only) if only else None
+        laned = [_laned(frame, k, lanes, False) for k, frame in enumerate(below, 1)]
+        laned += [_laned(frame, k, lanes, True) for k, frame in enumerate(above)]
+        if above:  # the lowest rows of the tree of subroots stand for the subroots themselves
+            at = len(below)
+            named = self.tops.select(F.col("tree").alias("of"), F.col("level").alias("its_level"))
+            laned[at] = laned[at].join(named, F.col("source") == F.col("of")).withColumns(
+                {"tree": F.col("of"), "level": F.col("its_level"), "place": F.lit(0).cast("bigint")}).select(*laned[at].columns)
+        self.nodes = stage_table(_union(laned), "merkle/nodes") if laned else None
 
 
 CLIMB = """
 WITH RECURSIVE climb AS (
-  SELECT tree AS source, tree, level, place, kids, unhex('') AS common FROM {start}
+  SELECT source, lane, tree, level, place, kids, unhex('') AS common FROM {start}
   UNION ALL
-  SELECT c.source, n.parent_tree, n.parent_level, n.parent_place,
+  SELECT c.source, c.lane, n.parent_tree, n.parent_level, n.parent_place,
          transform(c.kids, k -> struct(
-           k.doc_id AS doc_id, k.leaf AS leaf, k.own AS own,
-           unhex(sha2(concat(n.before, k.folded, n.after), 256)) AS folded)),
+           k.doc_id AS doc_id, k.leaf AS leaf,
+           unhex(sha2(lower(concat(hex(n.before), hex(k.folded), hex(n.after))), 256)) AS folded)),
          concat(c.common, n.before, n.after)
-  FROM climb c JOIN {nodes} n ON n.tree = c.tree AND n.level = c.level AND n.place = c.place
+  FROM climb c JOIN {nodes} n
+    ON n.source = c.source AND n.lane = c.lane AND n.tree = c.tree AND n.level = c.level AND n.place = c.place
 )
-SELECT source, kids, common FROM climb WHERE tree = {tree} AND level = {level} AND place = {place}
+SELECT source, kids, common FROM climb WHERE tree = :tree AND level = :level AND place = :place
 """
 
 
-def _between(before: str, own: str, after: str) -> str:
-    """SQL for the hex digests of a run as one text."""
-    return f"lower(concat(hex({before}), hex({own}), hex({after})))"
-
-
-def climb(spark: SparkSession, start: DataFrame, nodes: DataFrame, root: tuple[int, int, int]) -> DataFrame:
-    """(source, kids, common) of every starting row when it has reached the root."""
-    spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
+def climb(spark: SparkSession, start: DataFrame, nodes: DataFrame, end: tuple[int, int, int]) -> DataFrame:
+    """(source, kids, common) of every starting row when it has reached the node ``end``."""
+    spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")  # as many rows as runs, a level
     spark.conf.set("spark.sql.cteRecursionLevelLimit", str(DEEPEST))
-    text = CLIMB.replace("concat(n.before, k.folded, n.after)", _between("n.before", "k.folded", "n.after"))
-    text = text.replace("{tree}", str(root[0])).replace("{level}", str(root[1])).replace("{place}", str(root[2]))
-    return spark.sql(text, start=start, nodes=nodes)
+    return spark.sql(CLIMB, args=dict(zip(NODE, end)), start=start, nodes=nodes)
 
 
 def prove(rows: DataFrame) -> DataFrame:
     """doc_id, leaf, subroot, root, proof_sha256, folded_root and verified of every leaf (see ``leaves``)."""
-    spark = rows.sparkSession
     made = Manifest(rows)
-    tops = made.tops
-    # where the climb ends: above the subroots, or at the only one
-    end = made.nodes.join(
-        made.nodes.select(*[F.col(c).alias(f"of_{c}") for c in NODE]),
-        (F.col("parent_tree") == F.col("of_tree")) & (F.col("parent_level") == F.col("of_level")) & (F.col("parent_place") == F.col("of_place")),
-        "left_anti").select("parent_tree", "parent_level", "parent_place").distinct()
-    found = end.limit(2).collect() or tops.select("tree", "level", "place").limit(2).collect()
-    place = tuple(found[0]) if found else (0, 0, 0)
-    if len(found) > 1:
-        raise RuntimeError("a manifest has one root")
-    others = lambda k, i: F.array_join(F.transform(F.filter(k, lambda x, j: j != i), lambda x: _hex(x["leaf"])), "")
-    run = lambda k, i: F.array_join(F.transform(k, lambda x, j: _hex(F.when(j == i, x["folded"]).otherwise(x["leaf"]))), "")
+    run = lambda i: F.array_join(
+        F.transform("kids", lambda x, j: _hex(F.when(j == i, x["folded"]).otherwise(x["leaf"]))), "")
     kids = F.transform("kids", lambda k, i: F.struct(
-        k["doc_id"].alias("doc_id"), k["leaf"].alias("leaf"), F.unhex(others(F.col("kids"), i)).alias("own"),
-        F.when(F.col("nodes") == 1, k["folded"]).otherwise(F.unhex(F.sha2(run(F.col("kids"), i), 256))).alias("folded")))
-    start = made.bottom.select("tree", F.lit(1).alias("level"), F.col("run").alias("place"), kids.alias("kids"))
-    done = climb(spark, start, made.nodes, place)
-    subroots = tops.select(F.col("tree").alias("source"), _hex(F.col("digest")).alias("subroot"))
-    top = made.root.first()  # the one digest of the whole table
-    root = F.lit(top["digest"].hex() if top else None).cast("string")
-    each = done.select("source", "common", F.explode("kids").alias("k")).join(subroots, "source")
+        k["doc_id"].alias("doc_id"), k["leaf"].alias("leaf"),
+        F.when(F.col("nodes") == 1, k["folded"]).otherwise(F.unhex(F.sha2(run(i), 256))).alias("folded")))
+    done = made.bottom.select(
+        F.col("tree").alias("source"), F.floor(F.col("run") / LANE).alias("lane"), "tree", F.lit(1).alias("level"),
+        F.col("run").alias("place"), kids.alias("kids"))
+    if made.nodes is None:  # nothing to climb: the runs are the subroots, and at most one
+        done = done.select("source", "kids", F.unhex(F.lit("")).alias("common"))
+    else:
+        done = climb(rows.sparkSession, done, made.nodes, made.end)
+    others = F.array_join(F.transform(F.filter("kids", lambda _, j: j != F.col("at")), lambda x: _hex(x["leaf"])), "")
+    subroots = made.tops.select(F.col("tree").alias("source"), _hex(F.col("digest")).alias("subroot"))
+    each = done.select("source", "common", "kids", F.posexplode("kids").alias("at", "k")).join(subroots, "source")
+    folded = _hex(F.col("k.folded"))
     return each.select(
-        F.col("k.doc_id").alias("doc_id"), _hex(F.col("k.leaf")).alias("leaf"), "subroot", root.alias("root"),
-        F.sha2(F.concat(_hex(F.col("k.own")), _hex(F.col("common"))), 256).alias("proof_sha256"),
-        _hex(F.col("k.folded")).alias("folded_root"), (_hex(F.col("k.folded")) == root).alias("verified"),
+        F.col("k.doc_id").alias("doc_id"), _hex(F.col("k.leaf")).alias("leaf"), "subroot",
+        F.lit(made.root).cast("string").alias("root"),
+        F.sha2(F.concat(others, _hex(F.col("common"))), 256).alias("proof_sha256"),
+        folded.alias("folded_root"), (folded == F.lit(made.root).cast("string")).alias("verified"),
     )

@@ -113,7 +113,25 @@ def test_a_hot_source_is_dealt_over_partitions(spark):
     placed, sizes = merkle.numbered(merkle.leaves(df))
     assert sorted(r.nodes for r in sizes.collect()) == [20, 4000]
     assert [r.place for r in placed.filter("tree = 1").orderBy("doc_id").collect()] == list(range(4000))
-    assert "recursive" in merkle.CLIMB.lower()
+
+
+def test_many_lanes(spark, monkeypatch):
+    prepare(spark)
+    docs = documents([("hot", 1500), ("b", 20), (None, 300), *[(f"s{k}", 2) for k in range(30)]])
+    wanted = brute(docs)
+    for lane in (1, 16):
+        monkeypatch.setattr(merkle, "LANE", lane)
+        assert ours(spark, docs) == wanted
+
+
+def test_no_key_of_the_climb_has_more_rows_than_a_lane(spark, monkeypatch):
+    prepare(spark)
+    monkeypatch.setattr(merkle, "LANE", 16)
+    made = merkle.Manifest(merkle.leaves(spark.createDataFrame([(*d, "x", "y") for d in documents([("hot", 6000), ("b", 40)])], SCHEMA)))
+    runs = made.bottom.count()
+    keys = ["source", "lane", "tree", "level", "place"]
+    assert made.nodes.count() == made.nodes.select(*keys).distinct().count() <= runs + runs // 4
+    assert made.bottom.groupBy("tree", F.floor(F.col("run") / 16)).count().agg(F.max("count")).first()[0] == 16
 
 
 @pytest.mark.skipif(not Path(FOLDER).exists(), reason="test tables not present")
