@@ -53,7 +53,7 @@ from .common import crc32_of_id
 
 FANOUT = 16
 #: Runs that are joined to a node under one key; a power of FANOUT.
-LANE = FANOUT**3
+LANE = FANOUT**2
 NODE = ("tree", "level", "place")
 #: More steps than any tree can have levels: a depth of 64 would be 16**64 leaves.
 DEEPEST = 64

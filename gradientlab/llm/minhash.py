@@ -16,11 +16,14 @@ probability of at most 1e-5 (9 registers at 0.85: 4e-7; 8 at 0.8: 8e-6).
 
 Candidates are compared by the share of equal registers, corrected for the
 registers that agree by chance; what may reach the threshold is verified on the
-full sets.  The first round compares each item with one item, the hub, of every
-bucket that it is in; hubs are first in one of four orders, so a group has few.  Links
-give components; a bucket whose members are in one component is done.  In the
-others, later rounds compare what isn't in the bucket's largest component with
-the members of other components (a pair in the first bucket that both share):
+full sets.  The first round compares each item with one item of every bucket that it
+is in, the hub: that which shares most buckets with others.  Copies that were edited
+independently of each other are far from each other, but near to their base, and the
+base is the one that shares a bucket with nearly all of them.  Links give components;
+a bucket whose members are in one component is done, as is one of two members.  In
+the others, further hub rounds compare what isn't in the bucket's largest component
+with that component's hub, until a round adds no link.  Then exact rounds compare
+it with all members of other components (a pair in the first bucket that both share):
 each item with the most similar ones first, more in each round, until a round has
 left no pair out that is in different components and may reach the threshold.  So no link between components is
 lost, and a group of many copies doesn't produce all its pairs.  Large buckets are
@@ -57,8 +60,8 @@ RUN = 1 << 17
 SMALL_SET = 32
 #: As many ids at most are sent to all tasks to fetch their texts; more are joined by shuffle.
 BROADCAST_ROWS = 500_000
-#: Item ids are compared under one of these to find a bucket's hub.
-ORDERS = (0x0, 0x5555555555555555, 0x3333333333333333, 0x6A09E667F3BCC908)
+#: Pairs at most that a task of the exact rounds lists.
+UNIT_PAIRS = 1 << 21
 
 SIGNATURE = "doc_id bigint, n_shingles bigint, key1 bigint, key2 bigint, sketch binary"
 
@@ -86,7 +89,7 @@ def _run_sets(texts: list[bytes]) -> Iterator[np.ndarray]:
     data = np.frombuffer(b" ".join(texts), dtype=np.uint8)
     data = np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
     starts, ends = _words(data)
-    words = slice_hashes(data.astype(np.uint64), starts, ends)
+    words = slice_hashes(data, starts, ends)
     factors = [np.uint64(pow(0xC2B2AE3D27D4EB4F, k, 1 << 64)) for k in range(SHINGLE)]
     n = len(words)
     joined = np.zeros(max(n - SHINGLE + 1, 0), dtype=np.uint64)
@@ -275,34 +278,49 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(compare, "a bigint, b bigint")
 
 
-def _across(
-    members: DataFrame, labels: DataFrame, items: DataFrame, least: float, most: int, block: int = 4096
-) -> tuple[DataFrame, DataFrame]:
-    """(a, b, more) of items that share a bucket, are in different components and may be similar enough; (band) of
-    the buckets that have members in different components.
+def _hubs(rows: DataFrame) -> DataFrame:
+    """(band, hub): of each bucket the item that shares most buckets."""
+    hubs = rows.groupBy("band").agg(F.max(F.struct("degree", "item")).alias("top")).select("band", F.col("top.item").alias("hub"))
+    return stage_table(hubs, "minhash/hubs")  # written, so that the optimizer may split a bucket that is joined with its hub
+
+
+def _with_hubs(rows: DataFrame, hubs: DataFrame) -> DataFrame:
+    """The different pairs (a, b) of an item and the hub of one of its buckets."""
+    return rows.join(hubs, "band").filter("item <> hub").select(
+        F.least("item", "hub").alias("a"), F.greatest("item", "hub").alias("b")).distinct()
+
+
+def _still_open(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows (band, item, degree) of buckets with members in different components.
+
+    With the item's component, the bucket's ``largest`` component, its members (``n``) and those outside of it (``rest``).
+    """
+    held = rows.join(labels, "item")
+    sizes = held.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
+    buckets = sizes.groupBy("band").agg(
+        F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("top"), F.count(F.lit(1)).alias("parts"))
+    buckets = stage_table(buckets.filter("parts > 1").select(
+        "band", F.col("top.component").alias("largest"), "n", (F.col("n") - F.col("top.n")).alias("rest")), "minhash/buckets")
+    return stage_table(held.join(buckets, "band"), "minhash/open")
+
+
+def _across(open_rows: DataFrame, items: DataFrame, least: float, most: int, block: int = 4096) -> DataFrame:
+    """(a, b, more) of items that share a bucket, are in different components and may be similar enough.
 
     Each item that isn't in the largest component of a bucket is given with its
     ``most`` most similar ones (of each block); ``more`` says that there are others.
     A pair is given in the first band that both share.
     """
     size = band_size(least)
-    held = members.join(labels, "item")
-    sizes = held.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
-    buckets = stage_table(
-        sizes.groupBy("band").agg(
-            F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("top"), F.count(F.lit(1)).alias("parts")
-        ).filter("parts > 1").select(
-            "band", F.col("top.component").alias("largest"),
-            F.ceil(F.col("n") / block).cast("int").alias("blocks"),
-            F.ceil((F.col("n") - F.col("top.n")) / block).cast("int").alias("rest_blocks"),
-        ), "minhash/open")
-    open_rows = held.join(buckets, "band").join(items.select("item", "n_shingles", "sketch"), "item")
+    asking = max(1, min(block, UNIT_PAIRS // min(most, block)))  # items of a unit, each with up to ``most`` pairs
+    rows = open_rows.join(items.select("item", "n_shingles", "sketch"), "item").withColumns({
+        "blocks": F.ceil(F.col("n") / block).cast("int"), "rest_blocks": F.ceil(F.col("rest") / asking).cast("int")})
     draw = lambda n: F.pmod(F.xxhash64("item", "band"), n).cast("int")
     columns = ["band", "item", "component", "n_shingles", "sketch"]
-    asks = open_rows.filter("component <> largest").select(
+    asks = rows.filter("component <> largest").select(
         *columns, draw(F.col("rest_blocks")).alias("row_block"),
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("column_block"), F.lit(True).alias("asks"))
-    told = open_rows.select(
+    told = rows.select(
         *columns, F.explode(F.sequence(F.lit(0), F.col("rest_blocks") - 1)).alias("row_block"),
         draw(F.col("blocks")).alias("column_block"), F.lit(False).alias("asks"))
 
@@ -313,25 +331,29 @@ def _across(
         band = int(np.flatnonzero(band_hashes(sketches[:1], size)[0] == unit.column("band")[0].as_py())[0])
         earlier = _layout(size)[:band]
         theirs = np.flatnonzero(~asks)
-        found: list[tuple[int, int, bool]] = []
+        ones, others, more = [], [], []
         for i in np.flatnonzero(asks).tolist():
-            others = theirs[component[theirs] != component[i]]
+            apart = theirs[component[theirs] != component[i]]
             equal = np.concatenate([
-                (sketches[others[k : k + 1024]] == sketches[i]).sum(1) for k in range(0, len(others), 1024)] or [np.zeros(0, dtype=int)])
-            may = np.flatnonzero(may_link(equal, n[others], np.full(len(others), n[i]), least))
+                (sketches[apart[k : k + 1024]] == sketches[i]).sum(1) for k in range(0, len(apart), 1024)] or [np.zeros(0, dtype=int)])
+            may = np.flatnonzero(may_link(equal, n[apart], np.full(len(apart), n[i]), least))
             best = may[np.argsort(-equal[may], kind="stable")]
             if band:
-                first = ~(sketches[others[best]] == sketches[i])[:, earlier].all(2).any(1)
+                first = ~(sketches[apart[best]] == sketches[i])[:, earlier].all(2).any(1)
                 best = best[first]
-            found += [(int(item[i]), int(item[others[j]]), len(best) > most) for j in best[:most]]
+            given = item[apart[best[:most]]]
+            ones.append(np.full(len(given), item[i]))
+            others.append(given)
+            more.append(np.full(len(given), len(best) > most))
+        one, other = (np.concatenate([np.zeros(0, dtype=np.int64), *x]) for x in (ones, others))
         return pa.table({
-            "a": pa.array([min(x, y) for x, y, _ in found], pa.int64()), "b": pa.array([max(x, y) for x, y, _ in found], pa.int64()),
-            "more": pa.array([m for _, _, m in found], pa.bool_()),
+            "a": pa.array(np.minimum(one, other)), "b": pa.array(np.maximum(one, other)),
+            "more": pa.array(np.concatenate([np.zeros(0, dtype=bool), *more])),
         })
 
     found = asks.unionByName(told).groupBy("band", "row_block", "column_block").applyInArrow(
         run, "a bigint, b bigint, more boolean")
-    return found.groupBy("a", "b").agg(F.max("more").alias("more")), buckets.select("band")
+    return found.groupBy("a", "b").agg(F.max("more").alias("more"))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, most: int = 4) -> DataFrame:
@@ -345,35 +367,47 @@ def near_duplicates(docs: DataFrame, percent: int = 80, most: int = 4) -> DataFr
         rows.filter("n_shingles > 0").groupBy(*keys).agg(F.min("doc_id").alias("first_id"), F.min("sketch").alias("sketch"))
         .select(F.monotonically_increasing_id().alias("item"), "first_id", *keys, "sketch"), "minhash/items")
     bands = _bands(items, size)
-    order = F.get(F.array(*[F.lit(x) for x in ORDERS]), F.pmod("band", F.lit(len(ORDERS))).cast("int"))
-    hubs = bands.groupBy("band").agg(
-        F.min(F.col("item").bitwiseXOR(order)).alias("low"), F.max(F.col("item").bitwiseXOR(order)).alias("high")
-    ).filter("low < high").select("band", F.col("low").bitwiseXOR(order).alias("hub"))
-    members = stage_table(bands.join(hubs, "band"), "minhash/members")
+    sizes = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    members = stage_table(bands.join(sizes, "band"), "minhash/members")
+    degrees = members.groupBy("item").agg(F.sum(F.col("n") - 1).alias("degree"))
+    members = stage_table(members.join(degrees, "item"), "minhash/ranked")
     # sketches and texts of what shares a bucket with something are fetched once
     shared = stage_table(items.join(members.select("item").distinct(), "item"), "minhash/shared")
     texts = stage_table(_texts(shared, docs), "minhash/texts")
-    pairs = stage_table(_estimated(
-        members.filter("item <> hub").select(F.least("item", "hub").alias("a"), F.greatest("item", "hub").alias("b")).distinct(),
-        shared, least), "minhash/pairs")
-    members = members.select("band", "item")
-    parts = connected_components(_verified(pairs, texts, percent))
-    compared = pairs
-    while True:
-        labels = stage_table(
+    compared = stage_table(_estimated(_with_hubs(members, _hubs(members)), shared, least), "minhash/pairs")
+    parts = connected_components(_verified(compared, texts, percent))
+
+    def labelled() -> DataFrame:
+        return stage_table(
             shared.select("item").join(parts.withColumnRenamed("node", "item"), "item", "left")
             .select("item", F.coalesce("component", "item").alias("component")), "minhash/labels")
-        near, still_open = _across(members, labels, shared, least, most)
-        near = stage_table(near, "minhash/near")
-        members = members.join(still_open, "band", "left_semi")  # components only grow: the others are done
-        new = stage_table(near.select("a", "b").join(compared, ["a", "b"], "left_anti"), "minhash/new")
-        if not new.isEmpty():
-            parts = connected_components(_verified(new, texts, percent).unionByName(
-                parts.select(F.col("node").alias("a"), F.col("component").alias("b"))))
-            compared = compared.unionByName(new)
-        if near.filter("more").isEmpty():
-            break
-        most *= 128
+
+    def linked(links: DataFrame) -> DataFrame:
+        return connected_components(links.unionByName(parts.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+
+    now = members.filter("n > 2").select("band", "item", "degree")  # a bucket of two has the pair with its hub alone
+    hubs_left = True
+    while True:
+        # components only grow: buckets that are done stay so
+        now = _still_open(now, labelled())
+        if hubs_left:
+            found = _with_hubs(now.filter("component <> largest"), _hubs(now.filter("component = largest")))
+        else:
+            found = near = stage_table(_across(now, shared, least, most), "minhash/near")
+            found = found.select("a", "b")
+        new = found.join(compared, ["a", "b"], "left_anti")
+        new = stage_table(_estimated(new, shared, least) if hubs_left else new, "minhash/new")
+        links = stage_table(_verified(new, texts, percent), "minhash/links")
+        compared = stage_table(compared.unionByName(new), "minhash/pairs")
+        some = not links.isEmpty()
+        if some:
+            parts = linked(links)
+        if not hubs_left:
+            if near.filter("more").isEmpty():
+                break
+            most *= 128
+        hubs_left = hubs_left and some
+        now = now.select("band", "item", "degree")
     named = items.select("item", "first_id", *keys).join(parts.withColumnRenamed("node", "item"), "item", "left").select(
         "first_id", *keys, F.coalesce("component", "item").alias("component"))
     named = stage_table(named, "minhash/named")

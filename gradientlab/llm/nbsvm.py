@@ -19,6 +19,7 @@ an empty result; other columns pass through (named like an added one: replaced).
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -49,7 +50,10 @@ def features(text: str, scratch: np.ndarray) -> np.ndarray:
 
 
 def hash_word(word: str) -> int:
-    return int.from_bytes(word.encode("utf-8", "surrogatepass")[:16].ljust(8, b"\0"), "little") % 0xFFFFFFFFFFFFFFC5
+    data = word.encode("utf-8", "surrogatepass")
+    if len(data) > 16:
+        data = hashlib.blake2b(data, digest_size=16).digest()
+    return int.from_bytes(data.ljust(8, b"\0"), "little") % 0xFFFFFFFFFFFFFFC5
 
 
 @dataclass

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import sys
 from functools import lru_cache
 
@@ -9,8 +10,11 @@ import numpy as np
 
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
-_BASE = 0x9E3779B97F4A7C15
-_POWERS = 1 << 19
+_BASE = np.uint64(0xC2B2AE3D27D4EB4F)
+#: For each number of bytes left, up to eight, the bits that belong to them.
+_KEEP = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
+#: Slices of more bytes are hashed one by one.
+LONG = 128
 
 
 def code_points(text: str) -> np.ndarray:
@@ -65,17 +69,6 @@ def distinct(hashes: np.ndarray, scratch: np.ndarray) -> np.ndarray:
     return hashes[scratch[hashes] == place]
 
 
-@lru_cache(maxsize=1)
-def _powers() -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse mod 2**64."""
-    out = []
-    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
-        powers = np.full(_POWERS, base, dtype=np.uint64)
-        powers[0] = 1
-        out.append(np.cumprod(powers, dtype=np.uint64))
-    return out[0], out[1]
-
-
 def scrambled(values: np.ndarray) -> np.ndarray:
     """A one-to-one mixing of 64-bit values."""
     h = values ^ (values >> np.uint64(32))
@@ -85,17 +78,24 @@ def scrambled(values: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def slice_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each slice of ``codes`` (uint64), the same wherever the slice stands."""
-    up, down = _powers()
-    if len(codes) > len(up):
-        n, whole = len(up), [[up], [down]]
-        for a in range(n, len(codes), n):
-            for powers, base in zip(whole, (up, down)):
-                step = powers[-1][-1:] * base[1:2]
-                powers.append(base[: len(codes) - a] * step)
-        up, down = np.concatenate(whole[0]), np.concatenate(whole[1])
-    sums = np.zeros(len(codes) + 1, dtype=np.uint64)
-    np.cumsum((codes + np.uint64(1)) * up[: len(codes)], out=sums[1:])
-    h = (sums[ends] - sums[starts]) * down[starts] if len(starts) else np.zeros(0, dtype=np.uint64)
-    return scrambled(h + (ends - starts).astype(np.uint64) * _MULT)
+def slice_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each slice of ``data`` (uint8), the same wherever the slice stands.
+
+    Eight bytes at a time are mixed into all slices that have so many; as mixing isn't linear, no pattern of letters
+    cancels out.  Slices above ``LONG`` bytes are hashed by BLAKE2.
+    """
+    length = (ends - starts).astype(np.int64)
+    out = scrambled((length.astype(np.uint64) + np.uint64(1)) * _MULT)
+    padded = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
+    words = np.ndarray(len(data) + 1, dtype="<u8", buffer=padded.data, strides=(1,))  # the eight bytes from each place on
+    todo = np.flatnonzero((length > 0) & (length <= LONG))
+    at, left = starts[todo], length[todo]
+    while len(todo):
+        chunk = words[at] & _KEEP[np.minimum(left, 8)]
+        out[todo] = scrambled((out[todo] ^ chunk) * _BASE + _STEP)
+        more = left > 8
+        todo, at, left = todo[more], at[more] + 8, left[more] - 8
+    for i in np.flatnonzero(length > LONG).tolist():
+        digest = hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8).digest()
+        out[i] = np.uint64(int.from_bytes(digest, "little"))
+    return out

@@ -97,9 +97,9 @@ def split(text: str) -> list[str]:
 
 
 class Memo:
-    """Ids of pieces seen before, found by a 64-bit hash of the piece; emptied when full.
+    """Ids of pieces seen before, found by a 64-bit hash and compared character by character; emptied when full.
 
-    ``encode`` is asked only for pieces that are new.
+    ``encode`` is asked only for pieces that are new, or whose hash another piece holds.
     """
 
     def __init__(self, encode: Callable[[list[str]], list[list[int]]], bits: int = 21):
@@ -112,7 +112,10 @@ class Memo:
         self.values = np.zeros(1 << 16, dtype=np.int32)
         self.starts = np.zeros(1 << 16, dtype=np.int64)
         self.lengths = np.zeros(1 << 16, dtype=np.int64)
-        self.count = self.used = 0
+        self.chars = np.zeros(1 << 18, dtype=np.uint32)
+        self.char_starts = np.zeros(1 << 16, dtype=np.int64)
+        self.char_lengths = np.zeros(1 << 16, dtype=np.int64)
+        self.count = self.used = self.spelled = 0
 
     def _find(self, hashes: np.ndarray) -> np.ndarray:
         """Number of each piece, or -1."""
@@ -131,15 +134,21 @@ class Memo:
         ids = self.encode(pieces)
         flat = np.fromiter((i for x in ids for i in x), dtype=np.int32)
         lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+        chars = np.frombuffer("".join(pieces).encode("utf-32-le"), dtype="<u4")
+        char_lengths = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
         while self.used + len(flat) > len(self.values):
             self.values = np.concatenate([self.values, np.zeros_like(self.values)])
+        while self.spelled + len(chars) > len(self.chars):
+            self.chars = np.concatenate([self.chars, np.zeros_like(self.chars)])
         while self.count + len(ids) > len(self.starts):
-            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-            self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
+            for name in ("starts", "lengths", "char_starts", "char_lengths"):
+                setattr(self, name, np.concatenate([getattr(self, name), np.zeros_like(self.starts)]))
         self.values[self.used : self.used + len(flat)] = flat
+        self.chars[self.spelled : self.spelled + len(chars)] = chars
         new = slice(self.count, self.count + len(ids))
-        self.lengths[new] = lengths
+        self.lengths[new], self.char_lengths[new] = lengths, char_lengths
         self.starts[new] = self.used + np.cumsum(lengths) - lengths
+        self.char_starts[new] = self.spelled + np.cumsum(char_lengths) - char_lengths
         keys, place, mask = self.keys, self.place, (1 << self.bits) - 1
         for number, h in enumerate(hashes.tolist(), self.count):
             at = h & mask
@@ -149,17 +158,31 @@ class Memo:
             place[at] = number
         self.count += len(ids)
         self.used += len(flat)
+        self.spelled += len(chars)
+
+    def _others(self, numbers: np.ndarray, codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The pieces that aren't the remembered ones of their number: another piece has their hash."""
+        other = self.char_lengths[numbers] != ends - starts
+        same = np.flatnonzero(~other)
+        spelled, bounds = gather(numbers[same], self.char_starts, self.char_lengths, self.chars)
+        if len(same) == len(numbers):  # the pieces make up the whole text
+            own = codes
+        else:
+            own, _ = gather(same, starts, ends - starts, codes)
+        wrong = np.flatnonzero(spelled != own)
+        other[same[np.searchsorted(bounds, wrong, side="right") - 1]] = True
+        return np.flatnonzero(other)
 
     def _run(self, text: str, lengths: list[int]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, number of ids of each part)."""
-        codes = np.frombuffer(text.encode("utf-32-le"), dtype="<u4").astype(np.uint64)
+        codes = np.frombuffer(text.encode("utf-32-le"), dtype="<u4")
         first = np.zeros(len(codes), dtype=bool)
         heads = np.cumsum([0, *lengths[:-1]])
         first[heads] = True
         begins = borders(codes, first)
         starts = np.flatnonzero(begins)
         ends = np.append(starts[1:], len(codes))
-        hashes = slice_hashes(codes, starts, ends) | np.uint64(1 << 63)  # never 0
+        hashes = slice_hashes(codes.view(np.uint8), 4 * starts, 4 * ends) | np.uint64(1 << 63)  # never 0
         numbers = self._find(hashes)
         missing = np.flatnonzero(numbers < 0)
         if len(missing):
@@ -175,6 +198,14 @@ class Memo:
             self._add(new, [text[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())])
             numbers[missing] = self._find(hashes[missing])
         ids, offsets = gather(numbers, self.starts, self.lengths, self.values)
+        others = self._others(numbers, codes, starts, ends)
+        if len(others):
+            found = self.encode([text[a:b] for a, b in zip(starts[others].tolist(), ends[others].tolist())])
+            each = np.split(ids, offsets[1:-1])
+            for i, own in zip(others.tolist(), found):
+                each[i] = np.array(own, dtype=np.int32)
+            ids = np.concatenate(each)
+            offsets = np.cumsum([0, *map(len, each)])
         pieces_before = np.searchsorted(starts, np.append(heads, len(codes)))
         return ids, np.diff(offsets[pieces_before])
 

@@ -105,6 +105,34 @@ def test_components_against_all_pairs(spark, percent):
     assert ours(spark, docs, percent, most=1) == brute(docs, percent)  # several rounds
 
 
+def test_independent_edits_of_one_base(spark, monkeypatch):
+    prepare(spark)
+    rng = random.Random(9)
+    base = [f"w{k}" for k in range(400)]
+    docs = [(k, edited(rng, base, 6)) for k in range(5000)]
+    docs.insert(2500, (9999, " ".join(base)))
+    opened, still_open = [], minhash._still_open
+    monkeypatch.setattr(minhash, "_still_open", lambda rows, labels: (opened.append(out := still_open(rows, labels)), out)[1])
+    got = ours(spark, docs, 80)
+    assert {c for _, c, _ in got} == {"0"}
+    assert opened[0].count() < 2 * len(docs) and opened[-1].count() == 0
+
+
+def thue_morse(length):
+    word = "a"
+    while len(word) < length:
+        word += word.translate({97: "b", 98: "a"})
+    return word, word.translate({97: "b", 98: "a"})
+
+
+@pytest.mark.parametrize("length", [64, 1024, 2048, 4096])
+def test_words_whose_polynomials_agree_have_other_shingles(spark, length):
+    prepare(spark)
+    one, two = thue_morse(length)
+    docs = [(1, one), (2, two), (3, f"{one} b c d e f"), (4, f"{two} b c d e f")]
+    assert ours(spark, docs, 80) == brute(docs, 80)
+
+
 def test_chain_of_edits_is_one_component(spark):
     prepare(spark)
     words = [f"w{k}" for k in range(60)]
