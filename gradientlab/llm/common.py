@@ -9,11 +9,11 @@ from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import configure
+from ..session import configure, stage_table
 
 #: Rows in one Arrow batch.  Texts may be long, so batches are kept small.
 BATCH_ROWS = 512
@@ -115,6 +115,23 @@ def bounded_sample(df: DataFrame, key: Column, rows: int) -> DataFrame:
     return df.orderBy(draw, key).limit(rows)
 
 
+def sample_by_group(df: DataFrame, group: str, key: Column, rows: int) -> DataFrame:
+    """At most ``rows`` rows, as many of each value of ``group`` where it has them, picked by a hash of ``key``.
+
+    Groups are counted first and thinned by the hash, so that what is numbered within a group is about twice what is
+    taken, at any input size.  With more groups than rows, the rows with the smallest hashes stay.
+    """
+    (size,) = fresh(df, "__size")
+    sizes = stage_table(df.groupBy(F.col(group).alias("__group")).agg(F.count(F.lit(1)).alias(size)), "sample/sizes")
+    quota = max(1, rows // max(1, sizes.count()))
+    draw = F.pmod(F.xxhash64(key, F.lit(17)), F.lit(1 << 40))
+    share = F.least(F.lit(1.0), F.lit(2.0 * quota + 20) / F.col(size))
+    thinned = df.join(sizes, F.col(group) == F.col("__group")).filter(draw < share * F.lit(float(1 << 40))).drop("__group", size)
+    (rank,) = fresh(df, "__rank")
+    first = F.row_number().over(Window.partitionBy(group).orderBy(draw, key))
+    return thinned.withColumn(rank, first).filter(F.col(rank) <= quota).drop(rank).orderBy(draw, key).limit(rows)
+
+
 def chunks(values: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
     for a, b in zip(offsets[:-1], offsets[1:]):
         yield values[a:b]

@@ -2,20 +2,26 @@
 
 Tokens are the runs of letters and numbers of the lower-cased text.  A document
 overlaps an item if, at some alignment, 12 consecutive tokens of it agree with
-the item's in at least 10 places.  An item of 6 to 11 tokens must occur whole and
-unchanged; shorter ones are too little evidence and are not searched.
+the item's in at least 10 places.  Shorter items are held to their length: one of 8
+to 11 tokens must occur whole with at most one substitution, one of 6 or 7 tokens
+whole and unchanged.  An item of up to 5 tokens says little inside a sentence; it must
+be the whole of a line.
 
-Three masks over at most 12 positions each look at 6 of them and ignore the rest:
+Masks look at some positions and ignore the rest:
 
     111111
     111000111
     111000000111
+    1111            for items of 8 to 11 tokens
 
 Cut 12 tokens into four threes: two substitutions leave at least two threes
-untouched, and whichever two those are, one of the masks fits them at some
-position.  So no overlap escapes the seeds.  Documents and items are joined on
-the hashes of their seeds, hits are reduced to (document, item, alignment), and
-each is verified on the whole item.
+untouched, and whichever two those are, one of the first masks fits them at some
+position.  One substitution in 8 to 11 tokens leaves the first four or the last four
+untouched, so the last mask is put there alone.  So no overlap escapes the seeds.
+Documents and items are joined on the hashes of their seeds, hits are reduced to
+(document, item, alignment), and each is verified on the whole item.  Lines are
+joined with the shortest items on the hash of their tokens, and compared.  What only
+short items need is left out where the benchmark has none.
 
 The benchmark's seeds are sent to all tasks only if they are at most
 ``BROADCAST_ROWS``; more are joined by shuffle.  Documents are exploded into
@@ -40,7 +46,10 @@ from ..session import stage_table
 from .common import fresh
 
 MASKS = ((0, 1, 2, 3, 4, 5), (0, 1, 2, 6, 7, 8), (0, 1, 2, 9, 10, 11))
-WINDOW, AGREE, SHORTEST = 12, 10, 6
+SHORT_MASK = (0, 1, 2, 3)
+#: Items of so many tokens at least overlap by a window, with one substitution, anywhere; shorter ones as a line.
+WINDOW, TOLERANT, SHORTEST = 12, 8, 6
+AGREE = 10
 BROADCAST_ROWS = 500_000
 
 
@@ -65,9 +74,10 @@ def _seeds(tokens: Column, mask: tuple[int, ...], number: int) -> Column:
     )).otherwise(F.array().cast("array<struct<place:int,seed:bigint>>"))
 
 
-def seeded(df: DataFrame, key: str, tokens: Column) -> DataFrame:
-    """(key, place, seed): one row per mask and place."""
-    every = once(tokens, lambda t: F.concat(*[_seeds(t, m, k) for k, m in enumerate(MASKS)]))
+def seeded(df: DataFrame, key: str, tokens: Column, short: bool) -> DataFrame:
+    """(key, place, seed): one row per mask and place; with ``short`` for the mask of shorter items, too."""
+    masks = (*MASKS, SHORT_MASK) if short else MASKS
+    every = once(tokens, lambda t: F.concat(*[_seeds(t, m, k) for k, m in enumerate(masks)]))
     return df.select(key, F.explode(every).alias("s")).select(key, "s.place", "s.seed")
 
 
@@ -80,28 +90,52 @@ def _agreeing(doc: Column, item: Column, shift: Column) -> Column:
 
 def _overlaps(same: Column, length: Column) -> Column:
     """Whether enough of the agreeing places stand close together."""
-    need = F.when(length < WINDOW, length).otherwise(F.lit(AGREE))
+    need = F.when(length < TOLERANT, length).when(length < WINDOW, length - 1).otherwise(F.lit(AGREE))
     return once(same, lambda p: F.struct(F.size(p).alias("agreeing"), F.when(F.size(p) >= need, F.exists(
         F.sequence(F.lit(0), F.size(p) - need), lambda k: F.get(p, k + need - 1) - F.get(p, k) < F.lit(WINDOW)
     )).otherwise(F.lit(False)).alias("close")))
 
 
+def _item_seeds(items: DataFrame) -> DataFrame:
+    """(item, item_place, seed) by which documents find items of at least ``SHORTEST`` tokens."""
+    size = F.size("item_tokens")
+    long = seeded(items.filter(~size.between(TOLERANT, WINDOW - 1)), "item", F.col("item_tokens"), False)
+    short = items.filter(size.between(TOLERANT, WINDOW - 1)).select("item", F.explode(F.filter(
+        _seeds(F.col("item_tokens"), SHORT_MASK, len(MASKS)),
+        lambda s: s["place"].isin(0) | (s["place"] == size - len(SHORT_MASK)))).alias("s")).select("item", "s.place", "s.seed")
+    return long.unionByName(short).withColumnRenamed("place", "item_place")
+
+
+def _as_lines(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """(doc_id, item_id, shift, agreeing) of the lines that are the whole of an item of fewer than ``SHORTEST`` tokens."""
+    lines = docs.select("doc_id", F.explode(F.transform(
+        F.split(F.coalesce("text", F.lit("")), "\n"), token_hashes)).alias("line"))
+    lines = lines.filter(F.size("line").between(1, SHORTEST - 1)).withColumn("item", F.xxhash64("line"))
+    same = lines.join(items, "item").filter(F.col("line") == F.col("item_tokens"))
+    return same.select("doc_id", "item_id", F.lit(None).cast("int").alias("shift"), F.size("line").alias("agreeing")).distinct()
+
+
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, item_id, shift (place of the item's start in the document) and agreeing (number of equal tokens)."""
+    """doc_id, item_id, shift (place of the item's start in the document) and agreeing (number of equal tokens).
+
+    Items that are a whole line have no shift.
+    """
     items = (
         benchmark.select("item_id", token_hashes(F.col("text")).alias("item_tokens"))
-        .filter(F.size("item_tokens") >= SHORTEST).groupBy("item_tokens").agg(F.min("item_id").alias("item_id"))
+        .filter(F.size("item_tokens") > 0).groupBy("item_tokens").agg(F.min("item_id").alias("item_id"))
         .withColumn("item", F.xxhash64("item_tokens"))
     )
-    items = stage_table(items, "benchmark/items")
-    seeds = stage_table(
-        seeded(items, "item", F.col("item_tokens")).withColumnRenamed("place", "item_place"), "benchmark/seeds"
-    )
+    every = stage_table(items, "benchmark/items")
+    items = every.filter(F.size("item_tokens") >= SHORTEST)
+    kinds = every.agg(
+        F.count_if(F.size("item_tokens") < SHORTEST).alias("lines"),
+        F.count_if(F.size("item_tokens").between(TOLERANT, WINDOW - 1)).alias("short")).first()
+    seeds = stage_table(_item_seeds(items), "benchmark/seeds")
     small = seeds.count() <= BROADCAST_ROWS
     send = F.broadcast if small else (lambda df: df)
 
     hits = (
-        seeded(docs.select("doc_id", "text"), "doc_id", token_hashes(F.col("text"))).join(send(seeds), "seed")
+        seeded(docs.select("doc_id", "text"), "doc_id", token_hashes(F.col("text")), kinds["short"] > 0).join(send(seeds), "seed")
         .select("doc_id", "item", (F.col("place") - F.col("item_place")).alias("shift")).distinct()
     )
     hits = stage_table(hits, "benchmark/hits").withColumnRenamed("doc_id", "hit_id")
@@ -112,7 +146,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             _agreeing(token_hashes(F.col("text")), F.col("item_tokens"), F.col("shift")), F.size("item_tokens")
         ).alias("found"))
     )
-    return found.filter("found.close").select("doc_id", "item_id", "shift", "found.agreeing")
+    found = found.filter("found.close").select("doc_id", "item_id", "shift", "found.agreeing")
+    if kinds["lines"]:
+        found = found.unionByName(_as_lines(docs, every.filter(F.size("item_tokens") < SHORTEST)))
+    return found
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -45,7 +45,9 @@ from .common import bounded_sample
 from .components import connected_components
 
 _SLACK = 1e-6
-_UNIT = "unit bigint, home boolean, item bigint, copies bigint, vector array<float>"
+_UNIT = "unit bigint, home boolean, item bigint, copies bigint, vector array<{}>"
+#: Bytes of doubles in either block of a unit.
+BLOCK_BYTES = 1 << 26
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -54,6 +56,8 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
 
 def _unit_rows(x: np.ndarray) -> np.ndarray:
     x = x.astype(np.float64)
+    # by a power of two, which changes no digit: squares of very large or small numbers would be no numbers
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(1, initial=0))[1][:, None])
     return x / np.sqrt((x * x).sum(1))[:, None]
 
 
@@ -141,7 +145,9 @@ def near_duplicates(
         & F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))))
         & F.exists("embedding", lambda v: v != 0)
     )
-    rows = vectors.select("vec_id", F.col("embedding").cast("array<float>").alias("embedding")).withColumn("sound", F.coalesce(sound, F.lit(False)))
+    # single precision is kept as it is, all else compared as doubles
+    kind = "float" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "double"
+    rows = vectors.select("vec_id", F.col("embedding").cast(f"array<{kind}>").alias("embedding")).withColumn("sound", F.coalesce(sound, F.lit(False)))
     # the ids of items are fixed by writing them
     items = stage_table(
         rows.filter("sound").groupBy(F.col("embedding").alias("vector"))
@@ -185,8 +191,9 @@ def near_duplicates(
     ).collect():
         own = cells.setdefault(r["width"], lone(r["width"]))
         own.radius[r["cell"]] = r["radius"] + _SLACK
-        own.home_blocks[r["cell"]] = max(1, -(-r["homes"] // home_rows))
-        own.guest_blocks[r["cell"]] = max(1, -(-r["guests"] // guest_rows))
+        most = max(1, BLOCK_BYTES // (8 * r["width"]))
+        own.home_blocks[r["cell"]] = max(1, -(-r["homes"] // min(home_rows, most)))
+        own.guest_blocks[r["cell"]] = max(1, -(-r["guests"] // min(guest_rows, most)))
     # units of work: the pairs of blocks of every cell, numbered through
     first, total = {}, 0
     for width, own in cells.items():
@@ -229,11 +236,11 @@ def near_duplicates(
         some = np.flatnonzero(links)
         return pa.table({
             "a": pa.array(np.concatenate([item[home][some], edges[:, 0]]), pa.int64()),
-            "b": pa.array([*([None] * len(some)), *edges[:, 1].tolist()], pa.int64()),
+            "b": pa.array(np.concatenate([some, edges[:, 1]]), pa.int64(), mask=np.arange(len(some) + len(edges)) < len(some)),
             "links": pa.array(np.concatenate([links[some], np.zeros(len(edges), dtype=np.int64)]), pa.int64()),
         })
 
-    dealt = items.select("item", "copies", "vector").mapInArrow(deal, _UNIT)
+    dealt = items.select("item", "copies", "vector").mapInArrow(deal, _UNIT.format(kind))
     found = stage_table(dealt.groupBy("unit").applyInArrow(join, "a bigint, b bigint, links bigint"), "vectors/found")
     links = found.filter("b IS NULL").groupBy(F.col("a").alias("item")).agg(F.sum("links").alias("links"))
     parts = connected_components(found.filter("b IS NOT NULL").select("a", "b"))

@@ -33,7 +33,9 @@ is dropped or shortened.
 
 Null and empty pages, and pages without good blocks, give the empty text.  Broken
 markup is read on: elements left open end with their parent or the page, an
-unfinished tag ends the page, a stray end tag is ignored.  Repeated rows give
+unfinished tag ends the page, a quote that is never closed is a character, a stray end
+tag is ignored.  Character references are decoded in each piece of text between tags.
+Reading takes linear time, whatever the markup.  Repeated rows give
 repeated results, an empty table an empty one; other columns pass through (named
 like an added one: replaced).
 """
@@ -42,6 +44,8 @@ from __future__ import annotations
 
 import html
 import re
+from collections import defaultdict
+from collections.abc import Iterable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -51,8 +55,9 @@ from .stopwords import ALL
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<data>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)", re.DOTALL,
+    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)", re.DOTALL,
 )
+_STOP = re.compile("[>\"']")
 _ATTRIBUTE = re.compile(r"""([^\s=/"'<>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -132,6 +137,24 @@ def _unwanted(tag: str, attrs: str, in_article: bool) -> int:
     return OTHERS if marks & OTHERS_MARKS else MARKED if marks else level
 
 
+def _tag_end(page: str, at: int) -> int:
+    """Place of the ``>`` that ends a tag whose attributes begin at ``at``; the page's length if there is none.
+
+    A quote behind an equals sign hides what it encloses; one that is never closed, or stands elsewhere, is a character.
+    """
+    while stop := _STOP.search(page, at):
+        if stop.group() == ">":
+            return stop.start()
+        before = stop.start() - 1
+        while before >= at and page[before].isspace():
+            before -= 1
+        at = stop.end()
+        if before >= 0 and page[before] == "=":
+            closed = page.find(stop.group(), at)  # without success at most once for either kind of quote
+            at = closed + 1 if closed >= 0 else at
+    return len(page)
+
+
 class Block:
     __slots__ = ("text", "linked", "article")
 
@@ -143,17 +166,16 @@ def blocks(page: str) -> list[Block]:
     """Blocks in page order; ``article`` is the number of the article or main element around it, 0 for none."""
     found: list[Block] = []
     stack: list[tuple[str, int, int]] = []  # open elements: name, unwanted, article
+    places: defaultdict[str, list[int]] = defaultdict(list)  # where elements of each name are in it
     parts: list[str] = []
     links: list[str] = []
     in_link, articles, at = False, 0, 0
 
     def close_block() -> None:
-        nonlocal in_link
         if parts:
-            text = " ".join(html.unescape("".join(parts)).split())
+            text = " ".join("".join(parts).split())
             if text:
-                linked = len(" ".join(html.unescape("".join(links)).split()))
-                found.append(Block(text, linked, stack[-1][2] if stack else 0))
+                found.append(Block(text, len(" ".join("".join(links).split())), stack[-1][2] if stack else 0))
             parts.clear()
             links.clear()
 
@@ -165,56 +187,56 @@ def blocks(page: str) -> list[Block]:
 
     def pop_to(index: int) -> None:
         close_block()
-        del stack[index:]
+        while len(stack) > index:
+            places[stack.pop()[0]].pop()
+
+    def nearest(names: Iterable[str]) -> int:
+        return max((places[name][-1] for name in names if places[name]), default=-1)
 
     while at < len(page):
         token = _TOKEN.search(page, at)
         if token is None:
-            hear(page[at:])
+            hear(html.unescape(page[at:]))
             break
-        hear(page[at : token.start()])
+        hear(html.unescape(page[at : token.start()]))
         at = token.end()
         if token["data"] is not None:
-            hear(token["data"].replace("&", "&amp;"))
+            hear(token["data"])
             continue
         if token["tag"] is None:
             continue
-        tag, attrs = token["tag"].lower(), token["attrs"] or ""
+        stop = _tag_end(page, at)
+        if stop == len(page):  # an unfinished tag ends the page
+            break
+        tag, attrs = token["tag"].lower(), page[at:stop]
+        at = stop + 1
         if token["end"]:
             if tag == "a":
                 in_link = False
-            elif tag == "br" or tag == "p" and not any(s[0] == "p" for s in stack):
+            elif tag == "br" or tag == "p" and not places["p"]:
                 hear(" ")
-            for index in range(len(stack) - 1, -1, -1):
-                if stack[index][0] == tag:
-                    pop_to(index)
-                    break
+            if places[tag]:
+                pop_to(places[tag][-1])
             continue
         if tag in RAW:
-            stop = re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.IGNORECASE).search(page, at)
-            at = stop.end() if stop else len(page)
+            raw_end = re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.IGNORECASE).search(page, at)
+            at = raw_end.end() if raw_end else len(page)
             continue
         if tag == "a":
             in_link = "href" in attrs.lower()
         if tag == "br":
             hear(" ")
         if tag in BLOCKS:
-            if tag != "head":
-                for index, (name, _, _) in enumerate(stack):
-                    if name == "head":  # left open
-                        pop_to(index)
-                        break
+            if tag != "head" and places["head"]:  # left open
+                pop_to(places["head"][0])
             close_block()
             in_link = False
             if stack and stack[-1][0] == "p":
-                stack.pop()
+                places[stack.pop()[0]].pop()
             kinds, walls = CLOSES.get(tag, ((), ()))
-            for index in range(len(stack) - 1, -1, -1):
-                if stack[index][0] in walls:
-                    break
-                if stack[index][0] in kinds:
-                    pop_to(index)
-                    break
+            index = nearest(kinds)
+            if index > nearest(walls):
+                pop_to(index)
         if tag in VOID or attrs.endswith("/") and tag not in BLOCKS:
             continue
         inside = stack[-1] if stack else ("", WANTED, 0)
@@ -227,6 +249,7 @@ def blocks(page: str) -> list[Block]:
         if tag in BLOCKS or bad > inside[1]:
             if tag not in BLOCKS:  # an unwanted part of a line
                 parts.append(" ")
+            places[tag].append(len(stack))
             stack.append((tag, bad, article))
     close_block()
     return found

@@ -14,7 +14,8 @@ As the model is linear, embeddings and softmax are multiplied once into a table
 of one row per subword, so scoring is a sum over the whole text.
 
 Learning uses a bounded sample: at most ``max_rows`` rows with texts of at most
-``max_chars`` characters.  Rows with a null language don't count in it.  Without
+``max_chars`` characters, drawn apart for each language, so that a rare one is learnt
+at any size of the table.  Rows with a null language don't count in it.  Without
 any labelled row every text with a letter gets language ``und`` and is rejected.
 Repeated rows get equal results, an empty table an empty result; other columns
 pass through (named like an added one: replaced).
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import add_columns, bounded_sample, held_out, keep_rows
+from .common import add_columns, held_out, keep_rows, sample_by_group
 from .ngrams import code_points, letters, mixed, windows
 
 BITS = 16
@@ -147,7 +148,7 @@ def fit_rows(texts: list[str], langs: list[str]) -> Model:
 def fit(docs: DataFrame, max_rows: int = 4000, max_chars: int = 20_000) -> Model:
     """Learn from documents outside the held-out fold that have a language."""
     known = docs.filter(F.col("lang").isNotNull() & ~held_out() & (F.length("text") > 0) & (F.length("text") <= max_chars))
-    rows = bounded_sample(known.select("doc_id", "text", "lang"), F.col("doc_id"), max_rows).toPandas()
+    rows = sample_by_group(known.select("doc_id", "text", "lang"), "lang", F.col("doc_id"), max_rows).toPandas()
     return fit_rows(rows["text"].tolist(), rows["lang"].tolist())
 
 

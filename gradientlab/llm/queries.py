@@ -79,16 +79,21 @@ WITH d AS (
   SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents
 ), b AS (
   SELECT min(item_id) AS item_id, w, len(w) AS n
-  FROM (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM benchmark) GROUP BY w HAVING len(w) >= 6
+  FROM (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM benchmark) GROUP BY w HAVING len(w) >= 1
 ), dw AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM d),
 bw AS (SELECT item_id, n, unnest(w) AS word, generate_subscripts(w, 1) AS ipos FROM b),
 same AS (
   SELECT doc_id, item_id, n, pos - ipos AS shift, ipos,
          lead(ipos, 9) OVER a - ipos AS span, count(*) OVER (PARTITION BY doc_id, item_id, pos - ipos) AS agreeing
-  FROM dw JOIN bw USING (word) WINDOW a AS (PARTITION BY doc_id, item_id, pos - ipos ORDER BY ipos)
+  FROM dw JOIN bw USING (word) WHERE n >= 6 WINDOW a AS (PARTITION BY doc_id, item_id, pos - ipos ORDER BY ipos)
 ), hit AS (
   SELECT doc_id, item_id, max(agreeing) AS agreeing FROM same
-  WHERE (n >= 12 AND span < 12) OR (n < 12 AND agreeing = n) GROUP BY ALL
+  WHERE (n >= 12 AND span < 12) OR (n BETWEEN 8 AND 11 AND agreeing >= n - 1) OR (n < 8 AND agreeing = n) GROUP BY ALL
+  UNION
+  SELECT doc_id, item_id, n FROM (
+    SELECT doc_id, regexp_extract_all(lower(line), '[\p{L}\p{N}]+') AS w
+    FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)
+  ) JOIN b USING (w) WHERE n < 6
 ), per AS (
   SELECT doc_id, count(*) AS n_items, min(item_id) AS first_item, max(agreeing) AS most_agreeing FROM hit GROUP BY 1
 )

@@ -78,6 +78,27 @@ def test_memory_of_pieces_may_fill_up(oracle):
         assert [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:])] == [oracle.encode_ordinary(t) for t in batch]
 
 
+def test_pieces_that_share_a_hash_are_told_apart(oracle, monkeypatch):
+    monkeypatch.setattr(pieces, "slice_hashes", lambda data, starts, ends: ((ends - starts) % 3).astype(np.uint64))
+    memo = pieces.Memo(lambda new: [oracle.encode_ordinary(p) for p in new])
+    for k in range(5):
+        batch = [*texts(30, k), "one two six ten", "six one", "aaaa bbbb cccc"]
+        ids, offsets = memo.lookup(batch)
+        assert [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:])] == [oracle.encode_ordinary(t) for t in batch]
+
+
+@pytest.mark.parametrize("length", [64, 1024, 4096])
+def test_words_whose_polynomials_agree(oracle, library, length):
+    word = "a"
+    while len(word) < length:
+        word += word.translate({97: "b", 98: "a"})
+    batch = [word, word.translate({97: "b", 98: "a"})]
+    ids, offsets = bpe.encode_texts(batch, RANKS)
+    assert [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:])] == [oracle.encode_ordinary(t) for t in batch]
+    ids, offsets = packing.encode_texts(batch, TOKENIZER)
+    assert [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:])] == [library.encode(t, add_special_tokens=False).ids for t in batch]
+
+
 def test_texts_longer_than_a_run(oracle):
     long = "the quick brown fox " * 60_000 + "x" * 3000
     blank_free = "ab1" * 250_000  # no place to be cut

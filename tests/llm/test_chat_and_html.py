@@ -1,3 +1,4 @@
+import time
 import hashlib
 import random
 
@@ -174,7 +175,28 @@ def test_very_long_pages_take_linear_time():
     many = "<article>" + f"<p>{LONG}</p>" * 20_000
     assert html_text.main_text(many).count("\n") == 19_999
     assert html_text.main_text("<div>" * 20_000 + "x" + "</div>" * 20_000) == ""
-    assert html_text.main_text("<article>" + "<" * 50_000 + "x").endswith("x")
+    assert html_text.main_text("<article>" + "<" * 50_000 + " x").endswith("x")
+    assert html_text.main_text("<article>kept" + "<" * 50_000 + "x").startswith("kept")  # the unfinished tag <x ends the page
+
+
+@pytest.mark.parametrize("page", [
+    "<a " * 100_000 + '"', "<a b='" * 100_000, '<a b="' * 100_001 + "'", "<div>" * 100_000, "<div>" * 50_000 + "</p>" * 50_000,
+    "<li><ul>" + "<div>" * 30_000 + "<li></li>" * 30_000, "<table><td>" * 50_000, "<p>a</b>" * 50_000, "<!--" * 50_000, "&amp" * 50_000,
+    "<head>" + "<div>" * 50_000 + "</span>" * 50_000, "<a x= " + " " * 100_000 + "'" * 1000 + ">b",
+], ids=range(12))
+def test_broken_markup_takes_linear_time(page):
+    start = time.monotonic()
+    html_text.main_text("<article><p>" + page)
+    assert time.monotonic() - start < 5
+
+
+def test_quotes_and_references_of_broken_pages():
+    text = lambda inner: html_text.main_text(f"<article>{inner}</article>")
+    assert text('<div class="a>two</div>') == "two"
+    assert text("<p don't>it's</p>") == "it's"
+    assert text('<p title = "a > b">one</p>') == "one"
+    assert text("AT&<b>amp;</b>T") == "AT&amp;T"
+    assert text("a &lt;b&gt; &amp;lt; <![CDATA[&lt;]]>") == "a <b> &lt; &lt;"
 
 
 def test_query_op6(spark):

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from gradientlab.llm import REGISTRY, langid, nbsvm
-from gradientlab.llm.common import bounded_sample, held_out, prepare, table
+from gradientlab.llm.common import bounded_sample, held_out, prepare, sample_by_group, table
 from pyspark.sql import functions as F
 
 FOLDER = "/root/testdata/sf0.01"
@@ -162,3 +162,18 @@ def test_a_rare_language_leaves_the_rows_apart(monkeypatch):
     model = langid.fit_rows([t for t, _ in rows], [lang for _, lang in rows])
     assert learnt == [81] and model.languages[model.probabilities(rows[0][0]).argmax()] == "t"
     assert langid.fit_rows(["12", "ab cd"], ["x", "y"]).languages == ["y"]
+
+
+def test_sample_by_group_keeps_rare_groups(spark):
+    prepare(spark)
+    df = spark.range(60_000).selectExpr("id AS doc_id", "CASE WHEN id % 10000 = 7 THEN 'rare' WHEN id % 3 = 0 THEN 'b' ELSE 'a' END AS lang", "1 AS __size")
+    got = sample_by_group(df, "lang", F.col("doc_id"), 300)
+    counts = {r.lang: r["count"] for r in got.groupBy("lang").count().collect()}
+    assert counts == {"a": 100, "b": 100, "rare": 6} and got.columns == df.columns
+    assert sample_by_group(df, "doc_id", F.col("doc_id"), 50).count() == 50
+    assert sample_by_group(df.limit(0), "lang", F.col("doc_id"), 50).count() == 0
+
+
+def test_words_are_hashed_whole():
+    assert len({nbsvm.hash_word(w) for w in ("Donaudampfschifffahrt", "Donaudampfschiffer", "donaudampfschifffahrt")}) == 3
+    assert nbsvm.hash_word("a" * 16) != nbsvm.hash_word("a" * 17)
