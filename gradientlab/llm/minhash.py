@@ -62,6 +62,8 @@ SMALL_SET = 32
 BROADCAST_ROWS = 500_000
 #: Pairs at most that a task of the exact rounds lists.
 UNIT_PAIRS = 1 << 21
+#: Shingles on either side of a unit in which pairs of the exact rounds are verified (or one text, if longer).
+UNIT_SHINGLES = 1 << 20
 
 SIGNATURE = "doc_id bigint, n_shingles bigint, key1 bigint, key2 bigint, sketch binary"
 
@@ -278,6 +280,34 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(compare, "a bigint, b bigint")
 
 
+def _verified_in_units(pairs: DataFrame, items: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of the pairs (x, y) that the full sets of both texts link.
+
+    Where few items x are compared with many y each, the pairs are dealt into units of about ``UNIT_SHINGLES`` shingles on
+    either side, so that a text is sent once to a unit, not once for each of its pairs.
+    """
+    weight = lambda k: items.join(pairs.select(F.col(k).alias("item")).distinct(), "item").agg(F.sum("n_shingles")).first()[0] or 0
+    units = {k: max(1, -(-weight(k) // UNIT_SHINGLES)) for k in ("x", "y")}
+    dealt = pairs.withColumns({f"{k}_unit": F.pmod(F.xxhash64(k, F.lit(3)), F.lit(n)) for k, n in units.items()})
+    unit = ["x_unit", "y_unit"]
+    side = lambda k: texts.select(F.col("item").alias(k), F.col("text").alias(f"text_{k}"))
+    known = dealt.select(F.col("x_unit").alias("u"), F.col("y_unit").alias("v"), "x").distinct().join(side("x"), "x")
+    asked = dealt.groupBy(*unit, "y").agg(F.collect_list("x").alias("xs")).join(side("y"), "y")
+
+    def compare(known: pa.Table, asked: pa.Table) -> pa.Table:
+        sets = dict(zip(known.column("x").to_pylist(), shingle_sets(known.column("text_x").to_pylist())))
+        a, b = [], []
+        for y, xs, own in zip(asked.column("y").to_pylist(), asked.column("xs").to_pylist(), shingle_sets(asked.column("text_y").to_pylist())):
+            for x in xs:
+                common = len(np.intersect1d(sets[x], own, assume_unique=True))
+                if common > 0 and 100 * common >= percent * (len(sets[x]) + len(own) - common):
+                    a.append(x)
+                    b.append(y)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return known.groupBy("u", "v").cogroup(asked.groupBy(*unit)).applyInArrow(compare, "a bigint, b bigint")
+
+
 def _hubs(rows: DataFrame) -> DataFrame:
     """(band, hub): of each bucket the item that shares most buckets."""
     hubs = rows.groupBy("band").agg(F.max(F.struct("degree", "item")).alias("top")).select("band", F.col("top.item").alias("hub"))
@@ -305,10 +335,11 @@ def _still_open(rows: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _across(open_rows: DataFrame, items: DataFrame, least: float, most: int, block: int = 4096) -> DataFrame:
-    """(a, b, more) of items that share a bucket, are in different components and may be similar enough.
+    """(a, b, x, more) of items that share a bucket, are in different components and may be similar enough.
 
     Each item that isn't in the largest component of a bucket is given with its
-    ``most`` most similar ones (of each block); ``more`` says that there are others.
+    ``most`` most similar ones (of each block); ``more`` says that there are others,
+    ``x`` is the item that was given the other.
     A pair is given in the first band that both share.
     """
     size = band_size(least)
@@ -347,13 +378,13 @@ def _across(open_rows: DataFrame, items: DataFrame, least: float, most: int, blo
             more.append(np.full(len(given), len(best) > most))
         one, other = (np.concatenate([np.zeros(0, dtype=np.int64), *x]) for x in (ones, others))
         return pa.table({
-            "a": pa.array(np.minimum(one, other)), "b": pa.array(np.maximum(one, other)),
+            "a": pa.array(np.minimum(one, other)), "b": pa.array(np.maximum(one, other)), "x": pa.array(one),
             "more": pa.array(np.concatenate([np.zeros(0, dtype=bool), *more])),
         })
 
     found = asks.unionByName(told).groupBy("band", "row_block", "column_block").applyInArrow(
-        run, "a bigint, b bigint, more boolean")
-    return found.groupBy("a", "b").agg(F.max("more").alias("more"))
+        run, "a bigint, b bigint, x bigint, more boolean")
+    return found.groupBy("a", "b").agg(F.min("x").alias("x"), F.max("more").alias("more"))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, most: int = 4) -> DataFrame:
@@ -392,13 +423,15 @@ def near_duplicates(docs: DataFrame, percent: int = 80, most: int = 4) -> DataFr
         now = _still_open(now, labelled())
         if hubs_left:
             found = _with_hubs(now.filter("component <> largest"), _hubs(now.filter("component = largest")))
+            new = stage_table(_estimated(found.join(compared, ["a", "b"], "left_anti"), shared, least), "minhash/new")
+            links = _verified(new, texts, percent)
         else:
-            found = near = stage_table(_across(now, shared, least, most), "minhash/near")
-            found = found.select("a", "b")
-        new = found.join(compared, ["a", "b"], "left_anti")
-        new = stage_table(_estimated(new, shared, least) if hubs_left else new, "minhash/new")
-        links = stage_table(_verified(new, texts, percent), "minhash/links")
-        compared = stage_table(compared.unionByName(new), "minhash/pairs")
+            near = stage_table(_across(now, shared, least, most), "minhash/near")
+            new = stage_table(near.join(compared, ["a", "b"], "left_anti"), "minhash/new")
+            pairs = new.select("x", F.when(F.col("x") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("y"))
+            links = _verified_in_units(pairs, shared, texts, percent)
+        links = stage_table(links, "minhash/links")
+        compared = stage_table(compared.unionByName(new.select("a", "b")), "minhash/pairs")
         some = not links.isEmpty()
         if some:
             parts = linked(links)
