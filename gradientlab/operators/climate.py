@@ -5,10 +5,11 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.semantics import as_col
+from ..session import stage_table
 from .reshape import gather, separate
 
 EARTH_KM = 6371.0088
@@ -94,8 +95,9 @@ def stations_within(
     Points are placed on the unit sphere and bucketed in cubes as wide as the
     chord of the search radius, which works across the date line and at the
     poles.  A site asks for its 27 neighbouring cubes, a station lies in one.
+    With ``km`` 0 stations at the very place are found, below 0 none.
     """
-    chord = 2.0 * math.sin(min(km / EARTH_KM, math.pi) / 2.0)
+    chord = max(2.0 * math.sin(min(max(km, 0.0) / EARTH_KM, math.pi) / 2.0), 1e-9)
 
     def xyz(lo: str, la: str) -> list[Column]:
         l, p = F.radians(F.col(lo)), F.radians(F.col(la))
@@ -115,6 +117,47 @@ def stations_within(
     return joined.filter(F.col("distance_km") <= km).drop("__x", "__y", "__z")
 
 
+def nearest_stations(
+    sites: DataFrame,
+    stations: DataFrame,
+    k: int,
+    site: str = "siteID",
+    station: str = "station",
+    within_km: float | None = None,
+    start_km: float | None = None,
+    **columns: str,
+) -> DataFrame:
+    """The ``k`` nearest stations of each site with their rank and distance; fewer where ``within_km`` holds fewer.
+
+    Rings: stations are looked for within a radius, and sites that have ``k`` of them are done, since whatever lies
+    outside is farther away.  The others ask again with twice the radius, so sparse regions cost no one else.  The
+    first radius is that of a circle which holds ``k`` stations on average.  Of each site's stations only
+    the best ``k`` are kept before and after the shuffle.  Equal distances (to the millimetre) rank by ``station``;
+    ``site`` is unique; sites and stations without a position take no part.  ``columns`` as in ``stations_within``.
+    """
+    lon, lat = columns.get("lon", "Longitude"), columns.get("lat", "Latitude")
+    far = min(math.pi * EARTH_KM if within_km is None else within_km, math.pi * EARTH_KM)
+    known = stations.dropna(subset=[columns.get("station_lon", "st_lon"), columns.get("station_lat", "st_lat")])
+    km = start_km or 2.0 * EARTH_KM * math.sqrt(k / max(known.count(), 1))
+    todo = stage_table(sites.dropna(subset=[lon, lat]), "stations/sites")
+    order = Window.partitionBy(site).orderBy(F.round("distance_km", 6), station)
+    found = None
+    while True:
+        km = min(km, far)
+        near = stations_within(todo, known, km if km < far or within_km is not None else 2 * far, **columns)
+        ranked = stage_table(near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k), "stations/ranked")
+        last = km >= far
+        done = ranked.filter(F.col("rank") == k).select(site)
+        part = ranked if last else ranked.join(done, site, "left_semi")
+        found = part if found is None else found.unionByName(part)
+        if last:
+            return found
+        todo = stage_table(todo.join(done, site, "left_anti"), "stations/sites")
+        if todo.isEmpty():
+            return found
+        km *= 2
+
+
 def seasonal_stats(
     grid: DataFrame,
     keys: Sequence[str],

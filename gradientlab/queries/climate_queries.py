@@ -174,6 +174,21 @@ def stations_within(spark, folder):
     return out.select("destSiteID", "c_custkey", F.round("distance_km", 3).alias("distance_km"))
 
 
+@query("nearest_stations", "WITH" + POINT_SQL + "," + SITES_SQL + """,
+d AS (SELECT s.destSiteID, p.c_custkey, 2 * 6371.0088 * asin(sqrt(least(1,
+        pow(sin(radians(p.lat - s.Latitude) / 2), 2) + cos(radians(s.Latitude)) * cos(radians(p.lat))
+        * pow(sin(radians(p.lon - s.Longitude) / 2), 2)))) AS km
+      FROM sites s, pts p),
+r AS (SELECT *, row_number() OVER (PARTITION BY destSiteID ORDER BY round(km, 6), c_custkey) AS rank FROM d)
+SELECT destSiteID, CAST(rank AS INTEGER) AS rank, c_custkey, round(km, 3) AS distance_km FROM r WHERE rank <= 5
+""")
+def nearest_stations(spark, folder):
+    """The five nearest stations of each site."""
+    stations = points(spark, folder).withColumnsRenamed({"lon": "st_lon", "lat": "st_lat"})
+    out = Cl.nearest_stations(site_table(spark, folder), stations, 5, "destSiteID", "c_custkey")
+    return out.select("destSiteID", "rank", "c_custkey", F.round("distance_km", 3).alias("distance_km"))
+
+
 @query("site_coords", """
 SELECT c_mktsegment AS gradient, c_nationkey AS site, avg(c_custkey % 90) AS lat,
        avg(c_custkey) AS long, avg(c_nationkey + 2010) AS yearn, avg(c_nationkey + 2000) AS year1,

@@ -2,9 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from ..operators.reshape import count_by
+from ..operators.reshape import count_by, first_per_key
 from ..session import scratch_path
 from ..sources import readers as Rd
+from ..sources import scans as Sc
 from .mapping import table
 from .registry import query
 
@@ -78,16 +79,15 @@ def parquet_sink(spark, folder):
     return spark.read.parquet(path)
 
 
-@query("sheet_scan", """
-SELECT 'T' || l_linenumber AS turfID, l_orderkey, l_quantity FROM lineitem WHERE l_linenumber <= 4
-""")
+@query("sheet_scan", "SELECT 'T' || l_linenumber AS turfID, l_orderkey, l_quantity FROM lineitem")
 def sheet_scan(spark, folder):
-    """One file per numbered sheet, named by its number; notes are left out."""
+    """One file per numbered sheet, named by its number; the sheet of notes is left out."""
     path = scratch_path(spark, "sheets")
     lines = table(spark, folder, "lineitem").select("l_orderkey", "l_quantity", "l_linenumber")
-    paths = []
-    for name in ("1 plot", "2.b", "3", "4 x", "notes"):
-        number = F.lit(int(name[0])) if name[0].isdigit() else F.lit(5)
+    names = {1: "1 plot", 2: "2.b", 3: "3", 4: "4 x", 5: "5", 6: "6 late", 7: "7"}  # orders have up to seven lines
+    notes = table(spark, folder, "part").select(F.col("p_partkey").alias("l_orderkey"), F.col("p_retailprice").alias("l_quantity"))
+    paths = [Rd.write_csv(notes, f"{path}/notes.csv")]
+    for number, name in names.items():
         sheet = lines.filter(F.col("l_linenumber") == number).drop("l_linenumber")
         paths.append(Rd.write_csv(sheet, f"{path}/{name}.csv"))
     return Rd.read_sheets(spark, paths, "l_orderkey bigint, l_quantity double", sheet=r"/(\d+)[^/]*\.csv/[^/]*$").select(
@@ -110,8 +110,82 @@ def named_files(spark, folder):
     return orders.join(customer, orders["o_custkey"] == customer["c_custkey"]).select("o_orderkey", "o_totalprice", "c_mktsegment")
 
 
-@query("sheet_range", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 1000 BETWEEN 100 AND 499")
+@query("sheet_range", """
+SELECT o_orderkey, o_totalprice FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_orderkey // 1000 ORDER BY o_orderkey) AS row_no FROM orders)
+WHERE row_no BETWEEN 50 AND 199
+""")
 def sheet_range(spark, folder):
-    """The same range of rows of every exported sheet of a thousand rows."""
-    sheets = table(spark, folder, "orders").select("o_orderkey", "o_totalprice", (F.col("o_orderkey") % 1000).alias("row_no"))
-    return Rd.row_window(sheets, 100, 499).drop("row_no")
+    """The same range of rows of every exported sheet, by numbers made at the scan."""
+    sheets = table(spark, folder, "orders").select(
+        "o_orderkey", "o_totalprice", F.floor(F.col("o_orderkey") / 1000).alias("sheet"))
+    path = scratch_path(spark, "sheet_range")
+    (sheets.repartition("sheet").sortWithinPartitions("sheet", "o_orderkey")
+     .write.option("header", True).partitionBy("sheet").csv(path))
+    read = Rd.read_delimited(spark, path, "o_orderkey bigint, o_totalprice double").drop("sheet")
+    return Rd.row_window(Sc.with_row_numbers(read), 50, 199).drop("row_no")
+
+
+@query("first_line_per_key", """
+SELECT sheet, l_returnflag, l_orderkey, l_linenumber, l_quantity FROM (
+  SELECT *, l_orderkey // 10000 AS sheet,
+         row_number() OVER (PARTITION BY l_orderkey // 10000, l_returnflag ORDER BY l_orderkey, l_linenumber) AS nth FROM lineitem)
+WHERE nth = 1
+""")
+def first_line_per_key(spark, folder):
+    """The first line of each key of every sheet, by the numbers made at the scan."""
+    path = scratch_path(spark, "first_line")
+    lines = table(spark, folder, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber", "l_quantity")
+    sheet = F.floor(F.col("l_orderkey") / 10000)
+    (lines.withColumn("of", sheet).repartition("of").sortWithinPartitions("of", "l_orderkey", "l_linenumber")
+     .write.option("header", True).partitionBy("of").csv(path))
+    read = Rd.read_delimited(spark, path, "l_returnflag string, l_orderkey bigint, l_linenumber int, l_quantity double").drop("of")
+    return first_per_key(
+        Sc.with_row_numbers(read).withColumn("sheet", sheet), ["sheet", "l_returnflag"], "row_no").drop("row_no")
+
+
+def _damaged(spark, folder, name):
+    """Orders as text lines: some prices have a letter, some keys are none, some lines lack their last cell."""
+    k = F.col("o_orderkey")
+    price = F.when(k % 50 == 1, F.concat(F.col("o_totalprice").cast("string"), F.lit("x"))).otherwise(F.col("o_totalprice").cast("string"))
+    key = F.when(k % 70 == 2, F.concat(F.lit("no"), k.cast("string"))).otherwise(k.cast("string"))
+    line = F.when(k % 90 == 3, F.concat_ws(";", key, price)).otherwise(F.concat_ws(";", key, price, F.col("o_orderstatus")))
+    path = scratch_path(spark, name)
+    table(spark, folder, "orders").select(line.alias("value")).write.text(path)
+    return Sc.read_checked(spark, path, "o_orderkey bigint, o_totalprice double, o_orderstatus string", sep=";", header=False)
+
+
+@query("checked_rows", """
+SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderkey % 50 <> 1 AND o_orderkey % 70 <> 2 AND o_orderkey % 90 <> 3
+""")
+def checked_rows(spark, folder):
+    """The lines of a damaged file that have the types of the schema."""
+    return _damaged(spark, folder, "checked_rows")[0]
+
+
+@query("checked_rejects", """
+SELECT 'o_orderkey' AS column, 'no' || o_orderkey AS key, count(*) AS n FROM orders WHERE o_orderkey % 70 = 2 AND o_orderkey % 90 <> 3 GROUP BY 2
+UNION ALL
+SELECT 'o_totalprice', NULL, count(*) FROM orders WHERE o_orderkey % 50 = 1 AND o_orderkey % 90 <> 3
+UNION ALL
+SELECT NULL, CASE WHEN o_orderkey % 70 = 2 THEN 'no' ELSE '' END || o_orderkey, count(*) FROM orders WHERE o_orderkey % 90 = 3 GROUP BY 2
+""")
+def checked_rejects(spark, folder):
+    """What a typed scan of a damaged file couldn't read: cells by their column, lines by their first cell."""
+    rejects = _damaged(spark, folder, "checked_rejects")[1]
+    key = F.when(F.col("column").isNull(), F.substring_index("raw", ";", 1)).when(F.col("column") == "o_orderkey", F.col("raw"))
+    return rejects.groupBy("column", key.alias("key")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("changed_regions", """
+SELECT o_orderkey, CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+       o_orderpriority AS Region FROM orders
+""")
+def changed_regions(spark, folder):
+    """A table saved twice: the second time only the region whose content differs is written."""
+    df = _orders(spark, folder).select("o_orderkey", "o_totalprice", F.col("o_orderpriority").alias("Region"))
+    path = scratch_path(spark, "changed_regions")
+    Rd.save_changed(df, path)
+    Rd.save_changed(df.withColumn(
+        "o_totalprice", F.when(F.col("Region") == "1-URGENT", F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))), path)
+    return spark.read.parquet(path)

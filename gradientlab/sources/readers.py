@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.text import extract
+from ..session import stage_table
 
 
 def read_delimited(
@@ -75,7 +76,7 @@ def read_sheets(
 
 
 def row_window(df: DataFrame, first: int, last: int, row_no: str = "row_no") -> DataFrame:
-    """Rows of a sheet range, by the row number stored at export."""
+    """Rows of a sheet range, by the row number that was stored at export or made at the scan."""
     return df.filter(F.col(row_no).between(first, last))
 
 
@@ -93,9 +94,50 @@ def write_table(df: DataFrame, path: str, partition: Sequence[str] = ("Region",)
     """Parquet partitioned by region.
 
     The rebalance hint gathers the rows of a region into few files and lets AQE
-    split regions that are too large for one task.
+    split regions that are too large for one task.  Only the regions in ``df``
+    are replaced; others that the table holds stay as they are.
     """
     cols = list(partition)
     out = df.hint("rebalance", *cols) if cols else df
-    out.write.mode("overwrite").partitionBy(*cols).parquet(path)
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*cols).parquet(path)
     return path
+
+
+def fingerprints(df: DataFrame, key: str) -> DataFrame:
+    """(key, rows, total, mixed): what the content of each value of ``key`` adds up to, in any order of its rows and columns."""
+    columns = [F.col(f"`{c}`") for c in sorted(df.columns)]
+    hashed = df.select(F.col(f"`{key}`").cast("string").alias(key), F.xxhash64(*columns).alias("__a"), F.xxhash64(F.lit(1), *columns).alias("__b"))
+    return hashed.groupBy(key).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.col("__a").cast("decimal(20,0)")).alias("total"), F.bit_xor("__b").alias("mixed"))
+
+
+def save_changed(df: DataFrame, path: str, key: str = "Region") -> DataFrame:
+    """Write the regions of ``df`` whose content differs from what was saved last; returns the fingerprints of those written.
+
+    The fingerprints of all saved regions lie beside the table, in a folder that readers of the table skip.  They are
+    written after the rows, so a run that breaks off writes its regions again.  Regions that aren't in ``df`` stay.
+    """
+    spark = df.sparkSession
+    aside = f"{path}/_fingerprints"
+    now = stage_table(fingerprints(df, key), "fingerprints/now")
+    known = _saved(spark, aside, now)
+    same = ["rows", "total", "mixed"]
+    old = known.select(F.col(key).alias("__key"), *[F.col(c).alias(f"__{c}") for c in same])
+    equal = F.col(key).eqNullSafe(F.col("__key"))
+    for c in same:
+        equal = equal & (F.col(c) == F.col(f"__{c}"))
+    changed = stage_table(now.join(old, equal, "left_anti"), "fingerprints/changed")
+    if changed.isEmpty():
+        return changed
+    wanted = changed.select(F.col(key).alias("__key"))
+    write_table(df.join(wanted, F.col(f"`{key}`").cast("string").eqNullSafe(F.col("__key")), "left_semi"), path, [key])
+    kept = known.join(wanted, F.col(key).eqNullSafe(F.col("__key")), "left_anti")
+    stage_table(kept.unionByName(changed), "fingerprints/all").write.mode("overwrite").parquet(aside)
+    return changed
+
+
+def _saved(spark: SparkSession, aside: str, like: DataFrame) -> DataFrame:
+    """The fingerprints written last; none where nothing was saved."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{aside}/_SUCCESS")
+    there = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+    return stage_table(spark.read.schema(like.schema).parquet(aside), "fingerprints/saved") if there else like.limit(0)
