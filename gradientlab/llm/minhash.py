@@ -334,20 +334,27 @@ def _still_open(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return stage_table(held.join(buckets, "band"), "minhash/open")
 
 
-def _across(open_rows: DataFrame, items: DataFrame, least: float, most: int, block: int = 4096) -> DataFrame:
+def _across(
+    open_rows: DataFrame, labels: DataFrame, items: DataFrame, least: float, given: int, most: int, block: int = 4096
+) -> DataFrame:
     """(a, b, x, more) of items that share a bucket, are in different components and may be similar enough.
 
-    Each item that isn't in the largest component of a bucket is given with its
-    ``most`` most similar ones (of each block); ``more`` says that there are others,
+    ``open_rows`` stay those of the first exact round, so that who asks whom and in which order stays the same in all of
+    them; ``labels`` are the components by now.  Each item that isn't in the largest component of a bucket is given with its
+    ``most`` most similar ones (of each block) but the first ``given``, which an earlier round has
+    given, and those that have come into its component; ``more`` says that there are others,
     ``x`` is the item that was given the other.
     A pair is given in the first band that both share.
     """
     size = band_size(least)
     asking = max(1, min(block, UNIT_PAIRS // min(most, block)))  # items of a unit, each with up to ``most`` pairs
-    rows = open_rows.join(items.select("item", "n_shingles", "sketch"), "item").withColumns({
+    named = open_rows.join(labels.withColumnRenamed("component", "current"), "item")
+    parts = named.groupBy("band").agg(F.min("current").alias("low"), F.max("current").alias("high"))
+    named = named.join(stage_table(parts.filter("low < high").select("band"), "minhash/bands"), "band")  # still open
+    rows = named.join(items.select("item", "n_shingles", "sketch"), "item").withColumns({
         "blocks": F.ceil(F.col("n") / block).cast("int"), "rest_blocks": F.ceil(F.col("rest") / asking).cast("int")})
     draw = lambda n: F.pmod(F.xxhash64("item", "band"), n).cast("int")
-    columns = ["band", "item", "component", "n_shingles", "sketch"]
+    columns = ["band", "item", "component", "current", "n_shingles", "sketch"]
     asks = rows.filter("component <> largest").select(
         *columns, draw(F.col("rest_blocks")).alias("row_block"),
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("column_block"), F.lit(True).alias("asks"))
@@ -357,7 +364,7 @@ def _across(open_rows: DataFrame, items: DataFrame, least: float, most: int, blo
 
     def run(unit: pa.Table) -> pa.Table:
         asks = unit.column("asks").to_numpy()
-        item, component = unit.column("item").to_numpy(), unit.column("component").to_numpy()
+        item, component, current = (unit.column(c).to_numpy() for c in ("item", "component", "current"))
         n, sketches = unit.column("n_shingles").to_numpy(), _sketch_rows(unit.column("sketch").combine_chunks())
         band = int(np.flatnonzero(band_hashes(sketches[:1], size)[0] == unit.column("band")[0].as_py())[0])
         earlier = _layout(size)[:band]
@@ -372,10 +379,15 @@ def _across(open_rows: DataFrame, items: DataFrame, least: float, most: int, blo
             if band:
                 first = ~(sketches[apart[best]] == sketches[i])[:, earlier].all(2).any(1)
                 best = best[first]
-            given = item[apart[best[:most]]]
-            ones.append(np.full(len(given), item[i]))
-            others.append(given)
-            more.append(np.full(len(given), len(best) > most))
+            told = apart[best[given:most]]
+            told = told[current[told] != current[i]]
+            left = apart[best[most:]]
+            left = left[current[left] != current[i]]
+            if not len(told):  # so that some row says there are more
+                told = left[:1]
+            ones.append(np.full(len(told), item[i]))
+            others.append(item[told])
+            more.append(np.full(len(told), len(left) > 0))
         one, other = (np.concatenate([np.zeros(0, dtype=np.int64), *x]) for x in (ones, others))
         return pa.table({
             "a": pa.array(np.minimum(one, other)), "b": pa.array(np.maximum(one, other)), "x": pa.array(one),
@@ -417,16 +429,17 @@ def near_duplicates(docs: DataFrame, percent: int = 80, most: int = 4) -> DataFr
         return connected_components(links.unionByName(parts.select(F.col("node").alias("a"), F.col("component").alias("b"))))
 
     now = members.filter("n > 2").select("band", "item", "degree")  # a bucket of two has the pair with its hub alone
-    hubs_left = True
+    hubs_left, given = True, 0
     while True:
-        # components only grow: buckets that are done stay so
-        now = _still_open(now, labelled())
+        labels = labelled()
+        if not given:  # components only grow: buckets that are done stay so
+            now = _still_open(now.select("band", "item", "degree"), labels)
         if hubs_left:
             found = _with_hubs(now.filter("component <> largest"), _hubs(now.filter("component = largest")))
             new = stage_table(_estimated(found.join(compared, ["a", "b"], "left_anti"), shared, least), "minhash/new")
             links = _verified(new, texts, percent)
         else:
-            near = stage_table(_across(now, shared, least, most), "minhash/near")
+            near = stage_table(_across(now, labels, shared, least, given, most), "minhash/near")
             new = stage_table(near.join(compared, ["a", "b"], "left_anti"), "minhash/new")
             pairs = new.select("x", F.when(F.col("x") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("y"))
             links = _verified_in_units(pairs, shared, texts, percent)
@@ -438,9 +451,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80, most: int = 4) -> DataFr
         if not hubs_left:
             if near.filter("more").isEmpty():
                 break
-            most *= 128
+            given, most = most, most * 128
         hubs_left = hubs_left and some
-        now = now.select("band", "item", "degree")
     named = items.select("item", "first_id", *keys).join(parts.withColumnRenamed("node", "item"), "item", "left").select(
         "first_id", *keys, F.coalesce("component", "item").alias("component"))
     named = stage_table(named, "minhash/named")
