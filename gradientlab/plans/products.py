@@ -12,6 +12,7 @@ from ..operators import climate as Cl
 from ..operators import community as C
 from ..operators import taxonomy as T
 from ..operators import traits as Tr
+from ..operators.names import resolve_with_ranks
 from ..operators.reshape import union_all
 from ..session import stage_table
 from ..sources.readers import write_table
@@ -92,18 +93,21 @@ def cleaned_species(
     backbone: DataFrame,
     edits: int = 2,
     compat: bool = False,
+    by_rank: bool = False,
 ) -> DataFrame:
     """Species of every site with their resolved names.
 
     Names without a match are labelled ``Region_NID_k``; with ``compat`` the
     labelled rows are added to the unlabelled ones instead of replacing them.
+    With ``by_rank``, names that stay unresolved as a whole are resolved by their
+    canonical form, from the lowest rank up.
     """
     census = C.site_species(all_communities(bundles))
     named = T.attach_names(census, T.merge_codebooks(codebooks)) if codebooks else census.withColumn(
         "original_name", F.col("SpeciesName")
     )
     submitted = T.apply_synonyms(named)
-    resolved = T.resolve_names(submitted, backbone, edits)
+    resolved = (resolve_with_ranks if by_rank else T.resolve_names)(submitted, backbone, edits)
     taxa = T.attach_resolution(submitted, resolved).select(
         "Region", "destSiteID", "SpeciesName", "original_name", "submitted_name", "gni_uuid", "score", "matched_name"
     )

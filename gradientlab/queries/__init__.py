@@ -5,6 +5,7 @@ from .registry import REGISTRY, SQL
 from . import climate_queries  # noqa: F401
 from . import community_queries  # noqa: F401
 from . import correction_queries  # noqa: F401
+from . import name_queries  # noqa: F401
 from . import profile_queries  # noqa: F401
 from . import quality_queries  # noqa: F401
 from . import reshape_queries  # noqa: F401
