@@ -106,6 +106,33 @@ def unnest_rows(df: DataFrame, keys: Sequence[str], col: str = "data") -> DataFr
     return df.select(*keys, F.inline(col))
 
 
+def nest_chunks(
+    df: DataFrame, keys: Sequence[str], fields: Sequence[str], size: int = 10_000, out: str = "data", bucket_rows: int = 100_000
+) -> DataFrame:
+    """Rows per key as arrays of at most ``size`` structs, in chunks numbered from 0; for keys with any number of rows.
+
+    Equal rows are one struct with their number ``n``, so no value can fill a chunk.  The distinct ones are numbered by
+    hash buckets (see ``sequence_by_hash``), whose windows stay bounded, and a chunk is a run of these numbers.  Within a
+    chunk the structs are sorted; which chunk a row is in is fixed but arbitrary.  ``unnest_chunks`` is the inverse.  An empty
+    table has no chunks; NULL is a key and a value like any other; other columns are left out.  No field is called ``n``.
+    """
+    chosen = [F.col(f"`{c}`") for c in [*keys, *fields]]
+    counted = df.groupBy(*chosen).agg(F.count(F.lit(1)).alias("n"))
+    numbered = sequence_by_hash(counted, keys, fields, "__k", bucket_rows)
+    chunk = F.floor((F.col("__k") - 1) / F.lit(size)).cast("long")
+    return numbered.groupBy(*[F.col(f"`{k}`") for k in keys], chunk.alias("chunk")).agg(
+        F.array_sort(F.collect_list(F.struct(*[F.col(f"`{c}`") for c in fields], "n"))).alias(out))
+
+
+def unnest_chunks(df: DataFrame, keys: Sequence[str], col: str = "data") -> DataFrame:
+    """The rows that ``nest_chunks`` put into arrays, repeated ones as often as they were."""
+    step = 65_536  # a row repeated very often is unrolled in two steps, without a long array
+    rows = df.select(*[F.col(f"`{k}`") for k in keys], F.inline(F.col(f"`{col}`")))
+    runs = rows.withColumn("__run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / F.lit(step)))))
+    left = F.least(F.col("n") - F.col("__run") * F.lit(step), F.lit(step)).cast("int")
+    return runs.withColumn("__i", F.explode(F.array_repeat(F.lit(True), left))).drop("__run", "__i", "n")
+
+
 # -- row positions ----------------------------------------------------------
 
 def slice_rows(df: DataFrame, ranges: Mapping[str, tuple[int, int]], row_no: str = "row_no", tag: str = "block") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from ..operators import declared as D
 from ..operators import quality as Q
 from .community_queries import merge_community
 from .mapping import OBS_SQL, SITES_SQL, VISITS_SQL, obs, site_table, table, treated_visits
@@ -80,3 +81,26 @@ SELECT destSiteID, destPlotID, Year, SpeciesName, sum(Cover) AS Cover,
 """)
 def plot_layout(spark, folder):
     return Q.plot_layout(obs(spark, folder))
+
+
+@query("declared_join", """
+SELECT o_orderpriority, l_returnflag, count(*) AS n, sum(l_quantity) AS quantity
+FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey GROUP BY 1, 2
+""")
+def declared_join(spark, folder):
+    """Line items belong to one order each."""
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_returnflag", "l_quantity")
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderpriority")
+    joined = D.declared_join(lines, orders, {"l_orderkey": "o_orderkey"}, "many-to-one")
+    return joined.groupBy("o_orderpriority", "l_returnflag").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("quantity"))
+
+
+@query("fan_out", """
+WITH a AS (SELECT l_partkey, count(*) AS n_left FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1),
+b AS (SELECT l_partkey, count(*) AS n_right FROM lineitem WHERE l_returnflag = 'A' GROUP BY 1)
+SELECT l_partkey, n_left, n_right, n_left * n_right AS n_rows FROM a JOIN b USING (l_partkey) WHERE n_left > 1 AND n_right > 1
+""")
+def fan_out(spark, folder):
+    lines = table(spark, folder, "lineitem").select("l_partkey", "l_returnflag")
+    return D.fan_out(lines.filter("l_returnflag = 'R'"), lines.filter("l_returnflag = 'A'"), ["l_partkey"])

@@ -348,3 +348,26 @@ def optional_column(spark, folder):
     return df.select(
         "o_orderkey", S.column_or_null(df, "o_orderpriority").alias("a"), S.column_or_null(df, "destBlockID").alias("b")
     )
+
+
+@query("nest_chunks", """
+WITH d AS (SELECT l_returnflag, l_linestatus, l_suppkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL),
+per AS (SELECT l_returnflag, l_linestatus, count(*) AS n_distinct, sum(n)::BIGINT AS n_rows,
+               sum(l_suppkey * n)::BIGINT AS suppkeys FROM d GROUP BY 1, 2)
+SELECT *, CAST(ceil(n_distinct / 100.0) AS BIGINT) AS n_chunks, least(n_distinct, 100)::INTEGER AS longest FROM per
+""")
+def nest_chunks(spark, folder):
+    """Few keys hold all rows; no array is longer than its bound."""
+    keys = ["l_returnflag", "l_linestatus"]
+    nested = R.nest_chunks(table(spark, folder, "lineitem"), keys, ["l_suppkey", "l_linenumber"], 100)
+    total = lambda f: F.sum(F.aggregate("data", F.lit(0).cast("long"), lambda a, s: a + f(s)))
+    return nested.groupBy(*keys).agg(
+        F.sum(F.size("data")).alias("n_distinct"), total(lambda s: s["n"]).alias("n_rows"),
+        total(lambda s: s["l_suppkey"] * s["n"]).alias("suppkeys"), F.count(F.lit(1)).alias("n_chunks"),
+        F.max(F.size("data")).alias("longest"))
+
+
+@query("unnest_chunks", "SELECT l_returnflag, l_linestatus, l_suppkey, l_linenumber FROM lineitem")
+def unnest_chunks(spark, folder):
+    keys = ["l_returnflag", "l_linestatus"]
+    return R.unnest_chunks(R.nest_chunks(table(spark, folder, "lineitem"), keys, ["l_suppkey", "l_linenumber"], 100), keys)
