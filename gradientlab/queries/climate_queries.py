@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from ..functions.semantics import natural_left_join
 from ..operators import climate as Cl
+from ..operators import tiles as Ti
+from ..session import scratch_path
 from .mapping import SITES_SQL, site_table, table
 from .registry import query
 
@@ -203,3 +205,26 @@ def site_coords(spark, folder):
         (k + 2010).alias("yearn"),
     )
     return Cl.site_coords(df)
+
+
+@query("sample_tiles", "WITH" + POINT_SQL + """,
+cells AS (SELECT floor((lon + 180) / 2) AS cx, floor((90 - lat) / 2) AS cy, count(*) AS n, max(c_custkey) AS top
+          FROM pts GROUP BY 1, 2),
+s AS (SELECT s_suppkey, (s_suppkey * 613 % 3600)::DOUBLE / 10 - 180 AS lon, (s_suppkey * 977 % 1700)::DOUBLE / 10 - 85 AS lat
+      FROM supplier)
+SELECT s.s_suppkey, c.n, c.top FROM s
+LEFT JOIN cells c ON c.cx = floor((s.lon + 180) / 2) AND c.cy = floor((90 - s.lat) / 2)
+""")
+def sample_tiles(spark, folder):
+    """Customer counts on a 2 degree grid, stored in tiles of 20 degrees and sampled at the suppliers."""
+    tiling = Ti.Tiling(res=2.0, cells=10)
+    cx, cy = Cl.cell_keys("lon", "lat", tiling.x0, tiling.y0, tiling.res)
+    grid = points(spark, folder).groupBy(cx.alias("cx"), cy.alias("cy")).agg(
+        F.count(F.lit(1)).alias("n"), F.max("c_custkey").alias("top")
+    ).select((F.col("cx") * 2.0 - 179.0).alias("lon"), (F.lit(89.0) - F.col("cy") * 2.0).alias("lat"), "n", "top")
+    path = Ti.write_tiles(grid, scratch_path(spark, "tiles/customers"), tiling)
+    k = F.col("s_suppkey")
+    sites = table(spark, folder, "supplier").select(
+        "s_suppkey", ((k * 613 % 3600).cast("double") / 10 - 180).alias("Longitude"),
+        ((k * 977 % 1700).cast("double") / 10 - 85).alias("Latitude"))
+    return Ti.sample_tiles(sites, spark.read.parquet(path), tiling, ["n", "top"]).select("s_suppkey", "n", "top")
