@@ -1,11 +1,14 @@
 """The grammar of names against names read by hand, and matching by rank against brute force."""
 
 import itertools
+from dataclasses import fields
 
 from helpers import frame, rows
 from pyspark.sql import functions as F
 
 from gradientlab.operators import names as N
+from gradientlab.plans.products import cleaned_species
+from gradientlab.plans.profile import SiteBundle
 
 READ = {
     "Poa alpina": ("Poa alpina", "genus species", None, False, None),
@@ -76,3 +79,14 @@ def test_whole_names_come_before_ranks(spark):
     got = N.resolve_with_ranks(names, backbone)
     assert rows(got.withColumn("score", F.round("score", 3)), "user_supplied_name", "gni_uuid", "score") == [
         ("Poa alpin", 1, 0.9), ("Poa alpina var. nana", 1, 0.667), ("Zea mays", None, None)]
+
+
+def test_the_product_resolves_by_rank_where_asked(spark):
+    community = frame(
+        spark, "destSiteID string, SpeciesName string, Treatment string, Cover double",
+        ("s", "Poa alpina L. var. nana", "Warm", 1.0), ("s", "Carex sp.", "Warm", 1.0), ("s", "Zea mays", "Warm", 1.0))
+    bundle = SiteBundle(**{f.name: community if f.name == "community" else None for f in fields(SiteBundle)})
+    backbone = frame(spark, "matched_name string, gni_uuid int", ("Poa alpina", 1), ("Carex", 2))
+    for by_rank, expected in ((False, [None, None, None]), (True, [2, 1, None])):
+        got = cleaned_species({"R": bundle}, [], backbone, by_rank=by_rank)
+        assert [r[1] for r in rows(got, "original_name", "gni_uuid")] == expected
