@@ -1,9 +1,12 @@
 """Queries for the community operators."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions.semantics import null_safe_join, number_text
 from ..operators import community as C
+from ..operators.samples import store_samples, stored_relative_cover
 from .mapping import (
     OBS_SQL, RULES, SITES, SITES_SQL, VISITS_SQL, obs, site_table, table, treated_visits, visits,
 )
@@ -87,6 +90,18 @@ def relative_cover_residual(spark, folder):
     return _relative_lines(spark, folder, True)
 
 
+@query("stored_cover", """
+SELECT l_orderkey, l_partkey, l_quantity AS Cover,
+       greatest(100::DOUBLE, sum(l_quantity) OVER (PARTITION BY l_orderkey)) AS Total_Cover,
+       l_quantity / greatest(100, sum(l_quantity) OVER (PARTITION BY l_orderkey)) AS Rel_Cover FROM lineitem
+""")
+def stored_cover(spark, folder):
+    """Relative cover of a survey that is stored by sample: no exchange of records after that."""
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", F.col("l_quantity").alias("Cover"))
+    store = store_samples(lines, f"survey_{uuid.uuid4().hex[:12]}", ["l_orderkey"])
+    return stored_relative_cover(store, spark)
+
+
 @query("residual_rows", "WITH" + OBS_SQL + """
 SELECT UniqueID, 'Other' AS SpeciesName, greatest(100 - sum(Cover), 0::DOUBLE) AS Cover,
        greatest(100::DOUBLE, sum(Cover)) AS Total_Cover,

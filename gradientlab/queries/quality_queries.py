@@ -4,10 +4,11 @@ from pyspark.sql import functions as F
 
 from ..operators import declared as D
 from ..operators import quality as Q
+from ..session import stage_table
 from .community_queries import merge_community
 from .mapping import OBS_SQL, SITES_SQL, VISITS_SQL, obs, site_table, table, treated_visits
 from .registry import query
-from .taxonomy_queries import CLEANED_SQL, cleaned, typed
+from .taxonomy_queries import CLEANED_SQL, backbone, resolved_names, typed
 
 
 @query("null_census", """
@@ -65,7 +66,23 @@ SELECT 0 AS step, 'names' AS name, count(*) AS n FROM typed
 UNION ALL SELECT 1, 'resolved', count(*) FROM cleaned
 """)
 def row_growth(spark, folder):
-    return Q.row_growth([("names", typed(spark, folder)), ("resolved", cleaned(spark, folder))])
+    """Counted where the rows pass: the names when they are staged, the resolved ones when they are written."""
+    steps = [("names", lambda df: df), ("resolved", lambda df: resolved_names(df, backbone(spark, folder)))]
+    return Q.growth_of(typed(spark, folder), steps, lambda df: stage_table(df, "names/cleaned"), staged=["names"])
+
+
+@query("written_audits", """
+SELECT unnest(['flag', 'l_tax', 'rows', 'returned']) AS audit,
+       unnest([count(*) FILTER (nullif(l_returnflag, 'N') IS NULL), count(*) FILTER (l_tax IS NULL), count(*),
+               count(*) FILTER (l_returnflag = 'R')]) AS n FROM lineitem
+""")
+def written_audits(spark, folder):
+    """Missing values and rows of a product, counted by the action that writes it."""
+    df = table(spark, folder, "lineitem").select(
+        "l_orderkey", F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("flag"), "l_tax"
+    )
+    audits = {**Q.null_audits(["flag", "l_tax"]), "rows": F.count(F.lit(1)), "returned": F.count_if(F.col("flag") == "R")}
+    return Q.audited_write(df, lambda rows: stage_table(rows, "audited"), audits)
 
 
 @query("duplicate_keys", """

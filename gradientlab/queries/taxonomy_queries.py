@@ -73,10 +73,13 @@ def backbone(spark, folder):
     )
 
 
+def resolved_names(names, known):
+    names = names.withColumn("original_name", F.concat("p_name", F.lit(" spec"))).drop("p_name")
+    return T.attach_resolution(names, T.resolve_names(names, known))
+
+
 def cleaned(spark, folder):
-    names = typed(spark, folder).withColumn("original_name", F.concat("p_name", F.lit(" spec"))).drop("p_name")
-    resolved = T.resolve_names(names, backbone(spark, folder))
-    return T.attach_resolution(names, resolved)
+    return resolved_names(typed(spark, folder), backbone(spark, folder))
 
 
 @query("species_code", """
