@@ -13,6 +13,7 @@ from ..plans.regions import PROFILES
 from ..sources.relational import TURF_RECORDS, recorder_totals, run_sql
 from .mapping import table
 from .registry import query
+from .taxonomy_queries import backbone, trait_list
 
 SHEET_SQL = """
 sheet AS (
@@ -217,6 +218,120 @@ def product_cleaned_species(spark, folder):
     return out.select("Region", "destSiteID", "SpeciesName", F.regexp_replace("matched_name", r"_NID_\d+$", "_NID_").alias("matched_name"), "gni_uuid")
 
 
+# -- two observers, and traits from sheet to merged table --------------------
+
+CALANDA_SQL = """
+calanda_sheet AS (
+  SELECT CAST(2012 + k % 4 AS INTEGER) AS Year, CASE k % 3 WHEN 0 THEN 'veg_away' WHEN 1 THEN 'veg_home' ELSE 'bare' END AS label,
+         'B' || k % 5 AS destBlockID, CASE k % 11 WHEN 0 THEN 'CalNA.NA' ELSE 'p' || k END AS destPlotID,
+         CASE k // 2 % 3 WHEN 0 THEN 'Pea' WHEN 1 THEN 'Cal' ELSE 'Nes' END AS destSiteID,
+         CASE k // 6 % 3 WHEN 0 THEN 'Pea' WHEN 1 THEN 'Cal' ELSE 'Nes' END AS originSiteID,
+         CASE name WHEN 'Moss' THEN 'Cetraria islandica' ELSE name END AS SpeciesName,
+         CASE WHEN q % 5 <> 0 THEN q / 4.0::DOUBLE END AS first_reading, CASE l_returnflag WHEN 'N' THEN q + 0.5::DOUBLE END AS second_reading
+  FROM sheet
+),
+pooled AS (
+  SELECT Year, label, destBlockID, destPlotID, destSiteID, originSiteID, SpeciesName,
+         (coalesce(sum(first_reading), 0) + coalesce(sum(second_reading), 0)) / (count(first_reading) + count(second_reading)) AS Cover
+  FROM calanda_sheet GROUP BY ALL HAVING count(first_reading) + count(second_reading) > 0
+),
+treated AS (
+  SELECT *, CASE WHEN label = 'veg_away' AND destSiteID IN ('Cal', 'Nes') THEN 'Warm' WHEN label = 'veg_home' THEN 'LocalControl' END AS Treatment
+  FROM pooled
+),
+calanda_community AS (
+  SELECT Year, originSiteID, destSiteID, destBlockID, destPlotID, concat_ws('_', Year, originSiteID, destSiteID, destPlotID) AS UniqueID,
+         Treatment, SpeciesName, Cover, greatest(100::DOUBLE, s) AS Total_Cover, Cover / greatest(100, s) AS Rel_Cover
+  FROM (SELECT *, sum(Cover) OVER (PARTITION BY Year, originSiteID, destSiteID, destBlockID, destPlotID, Treatment) AS s
+        FROM treated WHERE Treatment IS NOT NULL AND destPlotID <> 'CalNA.NA')
+  WHERE SpeciesName NOT IN ('Other', 'Cetraria islandica') AND Cover > 0
+)"""
+
+
+def _calanda(spark, folder):
+    """Readings of two observers as texts, with decimal commas and dashes; measures of plants as texts with units."""
+    k, q, flag = F.col("k"), F.col("q"), F.col("l_returnflag")
+    text = lambda c: c.cast("string")
+    quarters = F.concat_ws(",", text(F.floor(q / 4)), F.lpad(text(q % 4 * 25), 2, "0"))
+    community = _sheet(spark, folder).select(
+        (k % 4 + 2012).cast("int").alias("year"), _pick(k % 3, "veg_away", "veg_home", "bare").alias("Treatment"),
+        F.concat(F.lit("B"), text(k % 5)).alias("Block"),
+        F.when(k % 11 == 0, "CalNA.NA").otherwise(F.concat(F.lit("p"), text(k))).alias("plot_id"),
+        _pick(_half(2) % 3, "Pea", "Cal", "Nes").alias("Site"), _pick(_half(6) % 3, "Pea", "Cal", "Nes").alias("turf_type"),
+        F.when(F.col("name") == "Moss", "Cetraria islandica").otherwise(F.col("name")).alias("Species_Name"),
+        F.when(q % 5 == 0, "NF").otherwise(quarters).alias("Cov_Rel1"),
+        F.when(flag == "A", "§").when(flag == "N", F.concat(text(q), F.lit("-5"))).alias("Cov_Rel2"),
+    )
+    part = table(spark, folder, "part").select("p_partkey", "p_name")
+    lines = table(spark, folder, "lineitem").select(
+        F.col("l_orderkey").alias("k"), "l_linenumber", "l_partkey", F.col("l_quantity").cast("int").alias("q"))
+    trait = lines.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
+        F.col("p_name").alias("species"), text(F.col("l_linenumber")).alias("individual"), _pick(k % 3, "PEAK", "CAL", "NES").alias("site"),
+        F.when(q % 5 == 0, "0").otherwise(F.concat(text(q), F.lit(".5 cm"))).alias("leaf.area"),
+        F.concat(text(q), F.lit(" mm")).alias("height.veg.stretch"), F.lit(None).cast("string").alias("height.rep.stretch"),
+        text(q + 1).alias("leaf.fresh.weight"), text(q / 4).alias("leaf.dry.weight"),
+    )
+    return build_bundle(PROFILES["CH_Calanda"], {"community": community, "trait": trait})
+
+
+@query("profile_calanda", "WITH" + SHEET_SQL + "," + CALANDA_SQL + " SELECT * FROM calanda_community")
+def profile_calanda(spark, folder):
+    """Two observers, whose readings are pooled per group and repeated on each of its rows."""
+    return _calanda(spark, folder).community
+
+
+@query("product_all_traits", "WITH" + SHEET_SQL + "," + CALANDA_SQL + """,
+census AS (SELECT DISTINCT destSiteID, SpeciesName FROM calanda_community),
+known AS (SELECT p_name AS matched_name, min(p_partkey) AS gni_uuid FROM part GROUP BY 1),
+near AS (
+  SELECT n.SpeciesName, matched_name, gni_uuid, levenshtein(n.SpeciesName, matched_name) AS distance
+  FROM (SELECT DISTINCT SpeciesName FROM census) n, known WHERE levenshtein(n.SpeciesName, matched_name) <= 2
+),
+best AS (SELECT * FROM near QUALIFY row_number() OVER (PARTITION BY SpeciesName ORDER BY distance, matched_name) = 1),
+list AS (
+  SELECT gni_uuid AS row_no, matched_name AS accepted_name, split_part(matched_name, ' ', 1) AS genus
+  FROM known WHERE matched_name NOT LIKE '%ring'
+),
+genera AS (SELECT genus, min(row_no) AS row_no FROM list GROUP BY 1),
+plants AS (
+  SELECT CASE l_orderkey % 3 WHEN 0 THEN 'Pea' WHEN 1 THEN 'Cal' ELSE 'Nes' END AS site, p_name, l_linenumber,
+         avg(l_quantity / 10) AS height, avg(area) AS area, avg(area / (l_quantity / 4)) AS sla
+  FROM (SELECT *, CASE WHEN l_quantity % 5 <> 0 THEN l_quantity + 0.5 END AS area FROM lineitem JOIN part ON p_partkey = l_partkey)
+  GROUP BY 1, 2, 3
+),
+measured AS (SELECT site, p_name, avg(height) AS height, avg(area) AS area, avg(sla) AS sla FROM plants GROUP BY 1, 2),
+asked AS (
+  SELECT c.destSiteID, c.SpeciesName, b.matched_name, coalesce(l.row_no, g.row_no) AS row_no
+  FROM census c LEFT JOIN best b ON b.SpeciesName = c.SpeciesName LEFT JOIN list l ON l.row_no = b.gni_uuid
+  LEFT JOIN genera g ON g.genus = split_part(b.matched_name, ' ', 1)
+)
+SELECT 'CH_Calanda' AS Region, a.destSiteID, a.SpeciesName AS original_name, l.accepted_name AS try_name, l.genus,
+       CASE l.row_no % 2 WHEN 0 THEN 'sedge' WHEN 1 THEN 'forb' END AS growth,
+       round(coalesce(m.height, (l.row_no % 30)::DOUBLE), 6) AS Plant_Veg_Height_cm,
+       round(coalesce(m.area, length(l.accepted_name)::DOUBLE), 6) AS Leaf_Area_cm2,
+       round(coalesce(m.sla, 100.0::DOUBLE + l.row_no % 7), 6) AS SLA_cm2_g, 40.0::DOUBLE + l.row_no % 5 AS C_percent,
+       CASE WHEN l.row_no IS NOT NULL THEN 2.0::DOUBLE END AS N_percent, CASE WHEN l.row_no IS NOT NULL THEN 0.25::DOUBLE END AS P_percent
+FROM asked a LEFT JOIN list l ON l.row_no = a.row_no LEFT JOIN measured m ON m.site = a.destSiteID AND m.p_name = a.matched_name
+""")
+def product_all_traits(spark, folder):
+    """Traits of every site and species: field means of a sheet, filled up from the matched rows of the trait list."""
+    bundles = {"CH_Calanda": _calanda(spark, folder)}
+    known = backbone(spark, folder)
+    cleaned = P.cleaned_species(bundles, [], known)
+    species, row = trait_list(spark, folder), F.col("species_row")
+    fixed = {"leaf_N": 2.0, "leaf_P": 0.25, "seed_mass": 1.0, "stem_density": 0.5}
+    numeric = species.select(
+        "species_row", F.length("accepted_name").cast("double").alias("leaf_area"), (F.lit(40.0) + row % 5).alias("leaf_C"),
+        (row % 30).cast("double").alias("plant_height"), (F.lit(100.0) + row % 7).alias("SLA"),
+        *[F.lit(v).alias(c) for c, v in fixed.items()])
+    categorical = species.select("species_row", F.when(row % 2 == 0, "sedge").otherwise("forb").alias("growth"))
+    out = P.all_traits(bundles, cleaned, species, categorical, numeric)
+    rounded = ["Plant_Veg_Height_cm", "Leaf_Area_cm2", "SLA_cm2_g"]
+    return out.select(
+        "Region", "destSiteID", "original_name", "try_name", "genus", "growth", *[F.round(c, 6).alias(c) for c in rounded],
+        "C_percent", "N_percent", "P_percent")
+
+
 # -- the normalised survey database -----------------------------------------
 
 TURF_TABLES_SQL = """
