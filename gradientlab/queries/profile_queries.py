@@ -280,6 +280,92 @@ def profile_calanda(spark, folder):
     return _calanda(spark, folder).community
 
 
+MATSCH_SQL = """
+matsch_sheet AS (
+  SELECT k, CASE k // 4 % 2 WHEN 0 THEN 'Low' ELSE 'High' END AS destSiteID,
+         CASE WHEN k // 4 % 2 = 0 THEN CASE k % 2 WHEN 0 THEN 'destControl' ELSE 'warmed' END
+              ELSE CASE k % 3 WHEN 0 THEN 'extra' ELSE 'originControls' END END AS treat,
+         sum(q) FILTER (l_returnflag = 'A') AS a, sum(q) FILTER (l_returnflag = 'N') AS n, sum(q) FILTER (l_returnflag = 'R') AS r
+  FROM sheet GROUP BY k
+),
+matsch_tall AS (
+  SELECT k, destSiteID, treat, unnest(['Poa alpina', 'Carex nigra', 'Other']) AS SpeciesName, unnest([a, n, r])::DOUBLE AS Cover FROM matsch_sheet
+),
+matsch AS (
+  SELECT CAST(2010 + k % 8 AS INTEGER) AS Year, CASE treat WHEN 'destControl' THEN 'Low' ELSE 'High' END AS originSiteID, destSiteID,
+         'P' || k || '_' || k % 9 AS destPlotID, CASE treat WHEN 'warmed' THEN 'Warm' WHEN 'extra' THEN NULL ELSE 'LocalControl' END AS Treatment,
+         SpeciesName, Cover, sum(Cover) OVER (PARTITION BY k) AS s
+  FROM matsch_tall WHERE Cover IS NOT NULL
+)"""
+
+
+def _matsch(spark, folder):
+    """A wide sheet, a column per species; the plot name ends in the year."""
+    k = F.col("k")
+    cover = lambda flag: F.sum(F.when(F.col("l_returnflag") == flag, F.col("q"))).cast("double")
+    wide = _sheet(spark, folder).groupBy("k").agg(cover("A").alias("Poa_alpina"), cover("N").alias("Carex_nigra"), cover("R").alias("Other"))
+    low = _half(4) % 2 == 0
+    sheet = wide.select(
+        F.lit("g").alias("Gradient Name"), F.format_string("P%d_%d_%d", k, k % 9, k % 8 + 10).alias("internal ID"),
+        F.when(low, _pick(k % 2, "destControl", "warmed")).otherwise(F.when(k % 3 == 0, "extra").otherwise("originControls")).alias("rec/Donor"),
+        F.when(low, 1000).otherwise(1500).alias("elevation"), "Poa_alpina", "Carex_nigra", "Other",
+    )
+    return build_bundle(PROFILES["IT_MatschMazia1"], {"community": sheet})
+
+
+@query("profile_matsch", "WITH" + SHEET_SQL + "," + MATSCH_SQL + """
+SELECT Year, originSiteID, destSiteID, destPlotID, concat_ws('_', originSiteID, destSiteID, destPlotID) AS UniqueID, Treatment, SpeciesName,
+       Cover, greatest(100::DOUBLE, s) AS Total_Cover, Cover / greatest(100, s) AS Rel_Cover
+FROM matsch WHERE SpeciesName <> 'Other' AND Cover > 0
+""")
+def profile_matsch(spark, folder):
+    """Wide sheets, one column per species."""
+    return _matsch(spark, folder).community.drop("destBlockID")
+
+
+LAUTARET_SQL = """
+early AS (
+  SELECT DISTINCT CAST(2017 + k % 2 AS INTEGER) AS Year, CASE k % 2 WHEN 0 THEN 'L' ELSE 'G' END AS destSiteID,
+         CASE WHEN k // 2 % 2 = 0 THEN 'TP' ELSE 'CP' END AS label, lpad(CAST(k % 40 AS VARCHAR), 2, '0') AS plotID, name, q::DOUBLE AS Cover
+  FROM sheet WHERE k // 4 % 3 < 2
+),
+late AS (
+  SELECT DISTINCT 2022 AS Year, CASE k % 2 WHEN 0 THEN 'L' ELSE 'G' END AS destSiteID, CASE k // 4 % 3 WHEN 0 THEN 'B' ELSE 'CTRL' END AS label,
+         lpad(CAST(k % 40 AS VARCHAR), 2, '0') AS plotID, name, q / 2.0::DOUBLE AS Cover
+  FROM sheet WHERE k // 4 % 3 < 2
+),
+placed AS (
+  SELECT *, CASE WHEN label IN ('TP', 'B') THEN CASE destSiteID WHEN 'L' THEN 'Warm' ELSE 'Cold' END ELSE 'LocalControl' END AS Treatment,
+         CASE WHEN label NOT IN ('TP', 'B') THEN destSiteID WHEN destSiteID = 'L' THEN 'G' ELSE 'L' END AS originSiteID,
+         CASE WHEN name IN ('litter', 'Moss') THEN name || ' sp.' ELSE name END AS SpeciesName
+  FROM (SELECT * FROM early UNION ALL SELECT * FROM late)
+),
+lautaret AS (SELECT Year, originSiteID, destSiteID, plotID, Treatment, SpeciesName, sum(Cover) AS Cover FROM placed GROUP BY ALL)"""
+
+
+def _lautaret(spark, folder):
+    """Pins of two years and percent cover of a later one, in two sheets with names of their own."""
+    k, q = F.col("k"), F.col("q")
+    sheet, plot = _sheet(spark, folder), (F.col("k") % 40).cast("string")
+    pins = sheet.select(
+        (k % 2 + 2017).cast("int").alias("Year"), _pick(k % 4, "L_TP", "G_TP", "L_CP", "G_CP").alias("Site_Treatment"),
+        _pick(_half(4) % 3, "0", "B", "A").alias("Subplot"), plot.alias("Replicate"), F.col("name").alias("Species"), q.alias("number_of_obs"))
+    code = F.concat_ws("_", F.lit("TA"), _pick(k % 2, "Low", "High"), F.lpad(plot, 2, "0"), _pick(_half(4) % 3, "B", "CTRL", "C"))
+    late = sheet.select(code.alias("code_plot"), F.col("name").alias("lb_nom"), (q / 2).alias("prct_recouvrement"))
+    return build_bundle(PROFILES["FR_Lautaret"], {"community": pins, "community_2022": late})
+
+
+@query("profile_lautaret", "WITH" + SHEET_SQL + "," + LAUTARET_SQL + """
+SELECT Year, originSiteID, destSiteID, concat_ws('_', originSiteID, destSiteID, plotID) AS destPlotID,
+       concat_ws('_', Year, originSiteID, destSiteID, plotID) AS UniqueID, Treatment, SpeciesName, Cover, Total_Cover, Cover / Total_Cover AS Rel_Cover
+FROM (SELECT *, greatest(100, sum(Cover) OVER (PARTITION BY Year, originSiteID, destSiteID, plotID, Treatment)) AS Total_Cover FROM lautaret)
+WHERE Cover > 0
+""")
+def profile_lautaret(spark, folder):
+    """Two sheets of different years, each collapsed, then united."""
+    return _lautaret(spark, folder).community.drop("destBlockID")
+
+
 @query("product_all_traits", "WITH" + SHEET_SQL + "," + CALANDA_SQL + """,
 census AS (SELECT DISTINCT destSiteID, SpeciesName FROM calanda_community),
 known AS (SELECT p_name AS matched_name, min(p_partkey) AS gni_uuid FROM part GROUP BY 1),
