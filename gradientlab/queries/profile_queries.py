@@ -366,6 +366,72 @@ def profile_lautaret(spark, folder):
     return _lautaret(spark, folder).community.drop("destBlockID")
 
 
+LAVEY_SITES_SQL = "['CRE_CRE', 'CRE_RIO', 'MAR_MAR', 'MAR_RIO', 'PRA_PRA', 'PRA_RIO', 'RIO_RIO', 'XXX_RIO']"
+LAVEY_SQL = """
+lavey_first AS (
+  SELECT k, sum(CASE l_returnflag WHEN 'A' THEN q ELSE 0 END) + count(*) AS poa,
+         CASE WHEN count(*) FILTER (l_returnflag = 'A') = 0 THEN sum(CASE l_returnflag WHEN 'N' THEN q ELSE 0 END) END AS carex,
+         sum(CASE l_returnflag WHEN 'R' THEN q ELSE 0 END) AS bare, bool_or(l_linenumber = 1 AND k % 2 = 0) AS renamed
+  FROM sheet GROUP BY k
+),
+lavey_letters AS (
+  SELECT o_orderkey AS k, unnest(['Vegetation %', 'Poa alpina', 'Carex', 'Biscutella laevigata']) AS SpeciesName,
+         unnest([87.5, CASE o_orderkey % 4 WHEN 0 THEN 10 WHEN 1 THEN 0.5 WHEN 3 THEN 20 END, CASE o_orderkey % 3 WHEN 0 THEN 62.5 END,
+                 CASE o_orderkey % 5 WHEN 0 THEN 3.5 ELSE 37.5 END]) AS Cover
+  FROM orders
+),
+lavey_records AS (
+  SELECT 2017 AS Year, k, CASE WHEN renamed THEN 'Poa badensis' ELSE 'Poa alpina' END AS SpeciesName, poa::DOUBLE AS Cover FROM lavey_first
+  UNION ALL SELECT 2017, k, 'Carex nigra', carex FROM lavey_first WHERE carex IS NOT NULL
+  UNION ALL SELECT 2017, k, 'Bare ground', bare FROM lavey_first
+  UNION ALL
+  SELECT 2018, k, CASE WHEN l_linenumber = 1 AND k % 2 = 0 THEN 'Poa badensis' WHEN name = 'Moss' THEN 'Other' ELSE name END AS SpeciesName,
+         sum(q + CASE l_returnflag WHEN 'A' THEN 0 ELSE 1 END)
+  FROM sheet WHERE l_linenumber <> 2 OR l_returnflag <> 'R' GROUP BY k, 3
+  UNION ALL SELECT 2019, k, SpeciesName, Cover FROM lavey_letters WHERE Cover IS NOT NULL
+),
+lavey AS (
+  SELECT Year, split_part(site, '_', 2) AS originSiteID, split_part(site, '_', 1) AS destSiteID, 'T' || k AS plotID,
+         CASE WHEN split_part(site, '_', 1) = split_part(site, '_', 2) THEN 'LocalControl' ELSE 'Warm' END AS Treatment, SpeciesName, Cover,
+         sum(Cover) OVER (PARTITION BY Year, k) AS Total_Cover
+  FROM (SELECT *, SITES[k % 8 + 1] AS site FROM lavey_records) WHERE site <> 'XXX_RIO'
+)""".replace("SITES", LAVEY_SITES_SQL)
+
+
+def _lavey(spark, folder):
+    """Pins by species column, pins by row with names learned later, and letter classes of whole plots."""
+    k, q, flag, line = F.col("k"), F.col("q").cast("double"), F.col("l_returnflag"), F.col("l_linenumber")
+    site = _pick(k % 8, "CRE_CRE", "CRE_RIO", "MAR_MAR", "MAR_RIO", "PRA_PRA", "PRA_RIO", "RIO_RIO", "XXX_RIO")
+    turf = F.concat(F.lit("T"), k.cast("string"))
+    sheet = _sheet(spark, folder).withColumns({"siteID": site, "turfID": turf})
+    hits = lambda f: F.when(flag == f, q).otherwise(0.0)
+    first = sheet.select(
+        "siteID", "turfID", hits("A").alias("Poa alpina"), F.lit(1.0).alias("Poa alpina...7"),
+        F.when(flag != "A", hits("N")).alias("Carex nigra"), F.lit(9.0).alias("Carex FOCAL"), hits("R").alias("Bare ground"))
+    renamed = (line == 1) & (k % 2 == 0)
+    name = F.when(renamed, "Poa badensis").when((line == 2) & (flag == "R"), "FOCAL x").when(F.col("name") == "Moss", "NA").otherwise(F.col("name"))
+    second = sheet.select(
+        "siteID", "turfID", F.when(renamed, "Poa alpina").alias("sp_2017"), name.alias("sp_2018"), q.alias("CRE1"),
+        F.when(flag != "A", 1.0).alias("CRE2"))
+    plots = table(spark, folder, "orders").select(F.col("o_orderkey").alias("k"))
+    plot = F.when(site == "RIO_RIO", F.concat(F.lit("RIO_"), turf)).otherwise(F.concat(site, F.lit("turf_"), turf))
+    third = plots.select(
+        plot.alias("...1"), F.lit("5").alias("Vegetation %"), _pick(k % 4, "2a", "+", "bad", "2b").alias("Poa alpina"),
+        F.when(k % 3 == 0, "4").alias("Carex...12"), F.lit("5").alias("Carex FOCAL"),
+        F.when(k % 5 == 0, "1").otherwise("3").alias("Biscutella laevigata"))
+    return build_bundle(PROFILES["CH_Lavey"], {"pins_2017": first, "pins_2018": second, "letters_2019": third})
+
+
+@query("profile_lavey", "WITH" + SHEET_SQL + "," + LAVEY_SQL + """
+SELECT Year, originSiteID, destSiteID, concat_ws('_', originSiteID, destSiteID, plotID) AS destPlotID,
+       concat_ws('_', Year, originSiteID, destSiteID, plotID) AS UniqueID, Treatment, SpeciesName, Cover, Total_Cover, Cover / Total_Cover AS Rel_Cover
+FROM lavey WHERE SpeciesName NOT IN ('Other', 'Bare ground', 'Vegetation %') AND Cover > 0
+""")
+def profile_lavey(spark, folder):
+    """Pins and letter classes of three survey years."""
+    return _lavey(spark, folder).community.drop("destBlockID")
+
+
 @query("product_all_traits", "WITH" + SHEET_SQL + "," + CALANDA_SQL + """,
 census AS (SELECT DISTINCT destSiteID, SpeciesName FROM calanda_community),
 known AS (SELECT p_name AS matched_name, min(p_partkey) AS gni_uuid FROM part GROUP BY 1),
