@@ -91,13 +91,16 @@ def resolve_ranked(names: DataFrame, backbone: DataFrame, col: str = "submitted_
     don't matter.  Of listed names with one canonical form the alphabetically first counts.  ``matched_rank`` tells the rank;
     the score is the share of the name's ranks, genus included, that the match covers.  Names without a match keep NULL.
 
-    Both sides are distinct names, and every form of a name meets at most one listed form: an equi-join whose output is
-    bounded by the ranks of the names.
+    Both sides are distinct names before they are parsed, which costs far more than the rest, and every form of a name meets
+    at most one listed form: an equi-join whose output is bounded by the ranks of the names.
     """
     asked = stage_table(
         parse_names(names.select(F.col(f"`{col}`").alias("name")).filter(F.col("name").isNotNull()).distinct(), "name"),
         "names/parsed")
-    listed = parse_names(backbone.filter(F.col("matched_name").isNotNull()).select("matched_name", "gni_uuid"), "matched_name")
+    once = backbone.filter(F.col("matched_name").isNotNull()).groupBy("matched_name").agg(
+        F.when(F.count_if(F.col("gni_uuid").isNull()) == 0, F.min("gni_uuid")).alias("gni_uuid"))
+    # staged, as filters on parsed parts would parse again
+    listed = stage_table(parse_names(once, "matched_name"), "names/listed")
     # a doubtful or unnamed listed plant must not stand for its whole genus
     sure = listed.filter(F.col("parsed.qualifier").isNull() & ~F.col("matched_name").rlike(r"\S\s*×\s*\p{Lu}"))
     offered = sure.filter(F.col("parsed.canonical").isNotNull()).groupBy(F.col("parsed.forms")[0].alias("form")).agg(

@@ -90,3 +90,14 @@ def test_the_product_resolves_by_rank_where_asked(spark):
     for by_rank, expected in ((False, [None, None, None]), (True, [2, 1, None])):
         got = cleaned_species({"R": bundle}, [], backbone, by_rank=by_rank)
         assert [r[1] for r in rows(got, "original_name", "gni_uuid")] == expected
+
+
+def test_a_listed_name_is_parsed_once(spark, monkeypatch):
+    parsed, parse = [], N.parse_names
+    monkeypatch.setattr(N, "parse_names", lambda df, col, out="parsed": (parsed.append(df.count()), parse(df, col, out))[1])
+    listed = [(n, i) for i, n in enumerate(["Poa alpina L.", "Poa alpina Mill.", "Carex"] * 50)] + [("Carex", None), (None, 1)]
+    backbone = frame(spark, "matched_name string, gni_uuid int", *listed)
+    got = N.resolve_ranked(frame(spark, "submitted_name string", *[("Poa alpina",), ("Carex nigra",)] * 9), backbone)
+    assert sorted(parsed) == [2, 3]
+    assert rows(got, "user_supplied_name", "matched_name", "gni_uuid") == [
+        ("Carex nigra", "Carex", None), ("Poa alpina", "Poa alpina L.", 0)]
