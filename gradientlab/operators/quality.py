@@ -160,11 +160,15 @@ def growth_of(
     return source.sparkSession.createDataFrame(counts, "step int, name string, n bigint")
 
 
-def plot_layout(df: DataFrame) -> DataFrame:
-    """Species by year table of every plot, with the plot title: the data behind turf maps."""
+def plot_layout(df: DataFrame, rows: int | None = None, task_rows: int = 500_000) -> DataFrame:
+    """Species by year table of every plot, with the plot title: the data behind turf maps.
+
+    Hardly two records share plot, year and species, so adding them up where they lie would keep them all in memory beside
+    what made them.  They are dealt out first, about ``task_rows`` to a task; ``rows`` is their number, if it is known, else
+    they are counted.
+    """
+    keys = ["destSiteID", "destPlotID", "Year", "SpeciesName"]
+    records = df.select(*keys, "Cover")
+    tasks = max(1, -(-(records.count() if rows is None else rows) // task_rows))
     title = F.format_string("Site %s: plot %s", "destSiteID", "destPlotID")
-    return (
-        df.groupBy("destSiteID", "destPlotID", "Year", "SpeciesName")
-        .agg(F.sum("Cover").alias("Cover"))
-        .withColumn("title", title)
-    )
+    return records.repartition(tasks, *keys).groupBy(*keys).agg(F.sum("Cover").alias("Cover")).withColumn("title", title)

@@ -97,7 +97,7 @@ SELECT destSiteID, destPlotID, Year, SpeciesName, sum(Cover) AS Cover,
        'Site ' || destSiteID || ': plot ' || destPlotID AS title FROM obs GROUP BY ALL
 """)
 def plot_layout(spark, folder):
-    return Q.plot_layout(obs(spark, folder))
+    return Q.plot_layout(obs(spark, folder), rows=table(spark, folder, "lineitem").count())
 
 
 @query("declared_join", """
