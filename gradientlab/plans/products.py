@@ -102,7 +102,9 @@ def cleaned_species(
     With ``by_rank``, names that stay unresolved as a whole are resolved by their
     canonical form, from the lowest rank up.
     """
-    census = C.site_species(all_communities(bundles))
+    # distinct per region, so that no relative cover is joined for it, and staged, as what follows reads it several times
+    census = stage_table(
+        union_all([C.site_species(all_communities({r: b})) for r, b in bundles.items()]), "names/census")
     named = T.attach_names(census, T.merge_codebooks(codebooks)) if codebooks else census.withColumn(
         "original_name", F.col("SpeciesName")
     )
