@@ -10,6 +10,7 @@ from ..operators.climate import LAPSE_RATE
 from ..plans import products as P
 from ..plans.profile import build_bundle
 from ..plans.regions import PROFILES
+from ..session import stage_table
 from ..sources.relational import TURF_RECORDS, recorder_totals, run_sql
 from .mapping import table
 from .registry import query
@@ -97,6 +98,11 @@ def _sheet(spark, folder):
     return lines.join(part.select("p_partkey", name.alias("name")), F.col("l_partkey") == F.col("p_partkey"))
 
 
+def _stored_sheet(spark, folder):
+    """The sheet written once, for what reads it many times."""
+    return stage_table(_sheet(spark, folder).select("k", "l_linenumber", "l_returnflag", "q", "name"), "surveys/sheet")
+
+
 def _pick(column, *values):
     return F.get(F.array(*[F.lit(v) for v in values]), column.cast("int"))
 
@@ -105,9 +111,9 @@ def _half(n):
     return F.floor(F.col("k") / F.lit(n))
 
 
-def _damxung(spark, folder):
+def _damxung(spark, folder, sheet=None):
     k = F.col("k")
-    sheet = _sheet(spark, folder).select(
+    sheet = (sheet or _sheet(spark, folder)).select(
         _pick(k % 2, "LOW", "HIGH").alias("SITE"), (k % 3).cast("int").alias("BLOCK"), F.lit(1).alias("PLOT"),
         k.cast("string").alias("PLOT.ID"), _pick(_half(2) % 2, "low_turf", "high_turf").alias("TREATMENT"),
         (k % 4 + 2013).cast("int").alias("YEAR"), F.col("name").alias("Species name"), (F.col("q") % 13).alias("cover class"),
@@ -115,9 +121,9 @@ def _damxung(spark, folder):
     return build_bundle(PROFILES["CN_Damxung"], {"community": sheet})
 
 
-def _susalps(spark, folder):
+def _susalps(spark, folder, sheet=None):
     k, q, sites = F.col("k"), F.col("q"), ("BT", "EB", "FE", "GW")
-    sheet = _sheet(spark, folder).select(
+    sheet = (sheet or _sheet(spark, folder)).select(
         k.alias("Plot_label"), _pick(k % 4, *sites).alias("Origin_site"), _pick(_half(4) % 4, *sites).alias("Transplant_site"),
         F.when(F.col("name") == "litter", "Dead biomass").otherwise(F.col("name")).alias("Species_name"), F.lit("2017 June").alias("Harvest_title"),
         F.when(F.col("l_returnflag") != "A", "ctrl").otherwise("wet").alias("treatment"),
@@ -126,10 +132,10 @@ def _susalps(spark, folder):
     return build_bundle(PROFILES["DE_Susalps"], {"community": sheet})
 
 
-def _arizona(spark, folder):
+def _arizona(spark, folder, sheet=None):
     k = F.col("k")
     stems = lambda flag: F.sum(F.when(F.col("l_returnflag") == flag, F.col("q"))).cast("double")
-    wide = _sheet(spark, folder).groupBy("k").agg(stems("A").alias("ACMI"), stems("N").alias("CARX"), stems("R").alias("POPR"))
+    wide = (sheet or _sheet(spark, folder)).groupBy("k").agg(stems("A").alias("ACMI"), stems("N").alias("CARX"), stems("R").alias("POPR"))
     site = _pick(_half(2) % 2, "MC", "PP")
     sheet = wide.select(
         (k % 3 + 2014).cast("int").alias("Year"), F.concat(F.lit("d"), (k % 9).cast("string")).alias("Date Collected"),
@@ -145,7 +151,10 @@ def _arizona(spark, folder):
 
 
 def _bundles(spark, folder):
-    return {"CN_Damxung": _damxung(spark, folder), "DE_Susalps": _susalps(spark, folder), "US_Arizona": _arizona(spark, folder)}
+    sheet = _stored_sheet(spark, folder)
+    return {
+        "CN_Damxung": _damxung(spark, folder, sheet), "DE_Susalps": _susalps(spark, folder, sheet),
+        "US_Arizona": _arizona(spark, folder, sheet)}
 
 
 @query("profile_damxung", "WITH" + DAMXUNG_SQL + " SELECT * FROM damxung_community")
@@ -403,7 +412,7 @@ def _lavey(spark, folder):
     k, q, flag, line = F.col("k"), F.col("q").cast("double"), F.col("l_returnflag"), F.col("l_linenumber")
     site = _pick(k % 8, "CRE_CRE", "CRE_RIO", "MAR_MAR", "MAR_RIO", "PRA_PRA", "PRA_RIO", "RIO_RIO", "XXX_RIO")
     turf = F.concat(F.lit("T"), k.cast("string"))
-    sheet = _sheet(spark, folder).withColumns({"siteID": site, "turfID": turf})
+    sheet = _stored_sheet(spark, folder).withColumns({"siteID": site, "turfID": turf})
     hits = lambda f: F.when(flag == f, q).otherwise(0.0)
     first = sheet.select(
         "siteID", "turfID", hits("A").alias("Poa alpina"), F.lit(1.0).alias("Poa alpina...7"),
@@ -419,7 +428,7 @@ def _lavey(spark, folder):
         plot.alias("...1"), F.lit("5").alias("Vegetation %"), _pick(k % 4, "2a", "+", "bad", "2b").alias("Poa alpina"),
         F.when(k % 3 == 0, "4").alias("Carex...12"), F.lit("5").alias("Carex FOCAL"),
         F.when(k % 5 == 0, "1").otherwise("3").alias("Biscutella laevigata"))
-    return build_bundle(PROFILES["CH_Lavey"], {"pins_2017": first, "pins_2018": second, "letters_2019": third})
+    return build_bundle(PROFILES["CH_Lavey"], {"pins_2017": first, "pins_2018": second, "letters_2019": third}, stage=True)
 
 
 @query("profile_lavey", "WITH" + SHEET_SQL + "," + LAVEY_SQL + """
