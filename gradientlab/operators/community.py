@@ -162,6 +162,13 @@ def sample_totals(
     return out.select(*keys, "sum_cover", "n_cover", divisor.alias("Total_Cover"))
 
 
+def hashed_keys(df: DataFrame, keys: Sequence[str], name: str = "__sample") -> tuple[DataFrame, list[str]]:
+    """The table with a hash of its keys, and the keys with that hash in front; a single key stays as it is."""
+    if len(keys) < 2:
+        return df, list(keys)
+    return df.withColumn(name, F.xxhash64(*[F.col(f"`{k}`") for k in keys])), [name, *keys]
+
+
 def relative_cover(
     df: DataFrame,
     keys: Sequence[str] | None = None,
@@ -175,11 +182,13 @@ def relative_cover(
     on the sample key, not a window: a window would pull every row of one
     sample into one task, whatever the size of that sample.  The join matches
     missing keys and so gets the totals through an exchange of their own, which
-    lets a hot sample be split.
+    lets a hot sample be split.  A hash of several keys comes first among them, so
+    that sorting compares numbers and hardly ever the texts of the keys.
     """
     keys = list(keys) if keys is not None else all_but(df, "SpeciesName", value)
-    totals = sample_totals(df, keys, value, residual, strict).select(*keys, "Total_Cover")
-    joined = null_safe_join(df, totals, keys)
+    rows, by = hashed_keys(df, keys)
+    totals = sample_totals(rows, by, value, residual, strict).select(*by, "Total_Cover")
+    joined = null_safe_join(rows, totals, by)
     return joined.select(*df.columns, "Total_Cover", ratio(value, "Total_Cover").alias("Rel_Cover"))
 
 
