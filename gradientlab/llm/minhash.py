@@ -25,7 +25,10 @@ the others, further hub rounds compare what isn't in the bucket's largest compon
 with that component's hub, until a round adds no link.  Then exact rounds compare
 it with all members of other components (a pair in the first bucket that both share):
 each item with the most similar ones first, more in each round, until a round has
-left no pair out that is in different components and may reach the threshold.  So no link between components is
+left no pair out that is in different components and may reach the threshold.  A shingle that
+no other item of the open buckets has cannot be common to a pair: items with too many of
+these for any link are left out before, and an item whose similar ones have all been given
+asks no more.  So no link between components is
 lost, and a group of many copies doesn't produce all its pairs.  Large buckets are
 dealt into blocks, one task for each pair of blocks.
 
@@ -41,7 +44,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage_table
@@ -62,6 +65,8 @@ SMALL_SET = 32
 BROADCAST_ROWS = 500_000
 #: Pairs at most that a task of the exact rounds lists.
 UNIT_PAIRS = 1 << 21
+#: Shingles in a batch of those that are counted (or one text, if longer).
+BATCH_SHINGLES = 1 << 16
 #: Shingles on either side of a unit in which pairs of the exact rounds are verified (or one text, if longer).
 UNIT_SHINGLES = 1 << 20
 
@@ -334,28 +339,100 @@ def _still_open(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return stage_table(held.join(buckets, "band"), "minhash/open")
 
 
+def _shingles(texts: DataFrame) -> DataFrame:
+    """(item, shingle) of each shingle hash in an item's set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> pa.RecordBatch:
+            ids = np.repeat(np.array(items, dtype=np.int64), [len(x) for x in sets])
+            return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.concatenate(sets).view(np.int64))], names=["item", "shingle"])
+
+        for batch in batches:
+            items, sets, size = [], [], 0
+            for item, found in zip(batch.column("item").to_pylist(), shingle_sets(batch.column("text").to_pylist())):
+                items.append(item)
+                sets.append(found)
+                size += len(found)
+                if size >= BATCH_SHINGLES:
+                    yield rows()
+                    items, sets, size = [], [], 0
+            if items:
+                yield rows()
+
+    return texts.select("item", "text").mapInArrow(run, "item bigint, shingle bigint")
+
+
+def _enough(least: float, fewest: Column) -> Column:
+    """Whether an item may reach the similarity with one that has at least ``fewest`` shingles of its own."""
+    return F.col("n_shingles") - F.col("own") >= least * (F.col("n_shingles") + fewest) - 1e-9
+
+
+def _beside(rows: DataFrame, least: float) -> DataFrame:
+    """The rows of buckets in which some ask: those that ask, and those that may link with one by its size and own shingles."""
+    asking = rows.filter("asks").groupBy("band").agg(
+        F.min("own").alias("fewest"), F.min("n_shingles").alias("smallest"), F.max("n_shingles").alias("greatest"))
+    fits = _enough(least, F.col("fewest")) & (F.col("n_shingles") >= least * F.col("smallest") - 1e-9) & (
+        least * F.col("n_shingles") <= F.col("greatest") + 1e-9)
+    return rows.join(asking, "band").filter(F.col("asks") | fits).drop("fewest", "smallest", "greatest")
+
+
+def _linkable(open_rows: DataFrame, items: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """The open rows (band, item, component, n_shingles, own, asks, n) that a link between components may need.
+
+    ``own`` counts the item's shingles that no other item of the open rows has.  A pair has at most the other
+    shingles of either in common, and at least these and the own ones of both in its union.  In each bucket,
+    what fails this with the fewest own shingles of any member has no link there; ``asks`` are those outside of the
+    largest component that pass, and what fails with the fewest of those that ask needs no place beside them.
+    A pair that passes does so in every bucket that both share.  ``n`` are the rows that stay in the bucket.
+    """
+    asked = open_rows.select("item").distinct()
+    single = _shingles(texts.join(asked, "item")).groupBy("shingle").agg(
+        F.count(F.lit(1)).alias("n"), F.min("item").alias("item")).filter("n = 1")
+    own = stage_table(single.groupBy("item").agg(F.count(F.lit(1)).alias("own")), "minhash/own")
+    sized = asked.join(items.select("item", "n_shingles"), "item").join(own, "item", "left").select(
+        "item", "n_shingles", F.coalesce("own", F.lit(0)).alias("own"))
+    sized = stage_table(sized.filter(_enough(least, F.lit(0))), "minhash/sized")
+    rows = open_rows.select("band", "item", "component", "largest").join(sized, "item")
+    fewest = rows.groupBy("band").agg(F.min("own").alias("fewest"))
+    rows = rows.join(fewest, "band").select(
+        "band", "item", "component", "n_shingles", "own",
+        ((F.col("component") != F.col("largest")) & _enough(least, F.col("fewest"))).alias("asks"))
+    rows = stage_table(_beside(stage_table(rows, "minhash/bounded"), least), "minhash/beside")
+    return stage_table(rows.join(rows.groupBy("band").agg(F.count(F.lit(1)).alias("n")), "band"), "minhash/linkable")
+
+
+def _asking(rows: DataFrame, near: DataFrame, least: float) -> DataFrame:
+    """The rows of ``_linkable`` that are still needed where those alone ask that ``near`` says there is more for."""
+    more = near.filter("more_a").select(F.col("a").alias("item")).unionByName(
+        near.filter("more_b").select(F.col("b").alias("item"))).distinct().withColumn("again", F.lit(True))
+    again = rows.join(more, "item", "left").withColumn("asks", F.col("asks") & F.coalesce("again", F.lit(False))).drop("again")
+    return stage_table(_beside(stage_table(again, "minhash/again"), least), "minhash/asking")
+
+
 def _across(
     open_rows: DataFrame, labels: DataFrame, items: DataFrame, least: float, given: int, most: int, block: int = 4096
 ) -> DataFrame:
-    """(a, b, x, more) of items that share a bucket, are in different components and may be similar enough.
+    """(a, b, x, more_a, more_b) of items that share a bucket, are in different components and may be similar enough.
 
-    ``open_rows`` stay those of the first exact round, so that who asks whom and in which order stays the same in all of
-    them; ``labels`` are the components by now.  Each item that isn't in the largest component of a bucket is given with its
+    ``open_rows`` are those of ``_linkable``, later without what no asking item may link with, so that the order in which
+    one is given the others stays the same in all rounds; ``labels`` are the components by now.  Each item that asks is given with its
     ``most`` most similar ones (of each block) but the first ``given``, which an earlier round has
-    given, and those that have come into its component; ``more`` says that there are others,
+    given, and those that have come into its component; ``more_a`` and ``more_b`` say that there are others for a or b,
     ``x`` is the item that was given the other.
     A pair is given in the first band that both share.
     """
     size = band_size(least)
     asking = max(1, min(block, UNIT_PAIRS // min(most, block)))  # items of a unit, each with up to ``most`` pairs
     named = open_rows.join(labels.withColumnRenamed("component", "current"), "item")
-    parts = named.groupBy("band").agg(F.min("current").alias("low"), F.max("current").alias("high"))
-    named = named.join(stage_table(parts.filter("low < high").select("band"), "minhash/bands"), "band")  # still open
-    rows = named.join(items.select("item", "n_shingles", "sketch"), "item").withColumns({
+    parts = named.groupBy("band").agg(
+        F.min("current").alias("low"), F.max("current").alias("high"), F.count_if("asks").alias("rest"))
+    still = parts.filter("low < high and rest > 0").select("band", "rest")
+    named = named.join(stage_table(still, "minhash/bands"), "band")  # still open
+    rows = named.join(items.select("item", "sketch"), "item").withColumns({
         "blocks": F.ceil(F.col("n") / block).cast("int"), "rest_blocks": F.ceil(F.col("rest") / asking).cast("int")})
     draw = lambda n: F.pmod(F.xxhash64("item", "band"), n).cast("int")
-    columns = ["band", "item", "component", "current", "n_shingles", "sketch"]
-    asks = rows.filter("component <> largest").select(
+    columns = ["band", "item", "component", "current", "n_shingles", "own", "sketch"]
+    asks = rows.filter("asks").select(
         *columns, draw(F.col("rest_blocks")).alias("row_block"),
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("column_block"), F.lit(True).alias("asks"))
     told = rows.select(
@@ -366,12 +443,15 @@ def _across(
         asks = unit.column("asks").to_numpy()
         item, component, current = (unit.column(c).to_numpy() for c in ("item", "component", "current"))
         n, sketches = unit.column("n_shingles").to_numpy(), _sketch_rows(unit.column("sketch").combine_chunks())
+        open_ones = n - unit.column("own").to_numpy()  # what they may have in common with others
         band = int(np.flatnonzero(band_hashes(sketches[:1], size)[0] == unit.column("band")[0].as_py())[0])
         earlier = _layout(size)[:band]
         theirs = np.flatnonzero(~asks)
         ones, others, more = [], [], []
         for i in np.flatnonzero(asks).tolist():
             apart = theirs[component[theirs] != component[i]]
+            common = np.minimum(open_ones[apart], open_ones[i])
+            apart = apart[common >= least * (n[apart] + n[i] - common) - 1e-9]
             equal = np.concatenate([
                 (sketches[apart[k : k + 1024]] == sketches[i]).sum(1) for k in range(0, len(apart), 1024)] or [np.zeros(0, dtype=int)])
             may = np.flatnonzero(may_link(equal, n[apart], np.full(len(apart), n[i]), least))
@@ -396,7 +476,8 @@ def _across(
 
     found = asks.unionByName(told).groupBy("band", "row_block", "column_block").applyInArrow(
         run, "a bigint, b bigint, x bigint, more boolean")
-    return found.groupBy("a", "b").agg(F.min("x").alias("x"), F.max("more").alias("more"))
+    return found.groupBy("a", "b").agg(F.min("x").alias("x"), *[
+        F.max(F.col("more") & (F.col("x") == F.col(k))).alias(f"more_{k}") for k in ("a", "b")])
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, most: int = 4) -> DataFrame:
@@ -439,6 +520,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80, most: int = 4) -> DataFr
             new = stage_table(_estimated(found.join(compared, ["a", "b"], "left_anti"), shared, least), "minhash/new")
             links = _verified(new, texts, percent)
         else:
+            if not given:
+                now = _linkable(now, shared, texts, least)
             near = stage_table(_across(now, labels, shared, least, given, most), "minhash/near")
             new = stage_table(near.join(compared, ["a", "b"], "left_anti"), "minhash/new")
             pairs = new.select("x", F.when(F.col("x") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("y"))
@@ -449,8 +532,9 @@ def near_duplicates(docs: DataFrame, percent: int = 80, most: int = 4) -> DataFr
         if some:
             parts = linked(links)
         if not hubs_left:
-            if near.filter("more").isEmpty():
+            if near.filter("more_a or more_b").isEmpty():
                 break
+            now = _asking(now, near, least)
             given, most = most, most * 128
         hubs_left = hubs_left and some
     named = items.select("item", "first_id", *keys).join(parts.withColumnRenamed("node", "item"), "item", "left").select(

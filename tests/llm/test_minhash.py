@@ -191,3 +191,36 @@ def test_large_buckets_are_dealt_into_blocks(spark, monkeypatch):
     whole = minhash._across
     monkeypatch.setattr(minhash, "_across", lambda *a: whole(*a, block=3))
     assert ours(spark, docs, 85) == brute(docs, 85)
+
+
+def test_only_items_that_may_link_are_compared_again(spark, monkeypatch):
+    """A group whose outer copies have too much of their own to link: rows of the exact rounds, and the links."""
+    prepare(spark)
+    rng = random.Random(3)
+    base, far = [f"w{k}" for k in range(120)], []
+    for k in range(60):  # 8 edits far apart: 40 shingles of their own
+        words = list(base)
+        for place in rng.sample(range(6, 114, 6), 8):
+            words[place] = f"own{k}_{place}"
+        far.append(" ".join(words))
+    docs = [(k, t) for k, t in enumerate([*(edited(rng, base, rng.randint(0, 2)) for _ in range(40)), *far])]
+    asked, across = [], minhash._across
+    monkeypatch.setattr(minhash, "_across", lambda rows, *a: (asked.append(rows.count()), across(rows, *a))[1])
+    assert ours(spark, docs, 80, most=1) == brute(docs, 80)
+    assert sum(asked) < len(far)  # each stands in many buckets
+
+
+def test_later_rounds_hold_what_has_more_to_ask(spark, monkeypatch):
+    prepare(spark)
+    rng = random.Random(12)
+    base = [f"w{k}" for k in range(100)]
+    docs = []
+    for k in range(150):  # edits that others share, so that no shingle is an item's own; some copies near, some not
+        words = list(base)
+        for place in rng.sample(range(3, 97, 6), rng.randint(0, 5)):
+            words[place] = f"z{rng.randrange(2)}"
+        docs.append((k, " ".join(words)))
+    asked, across = [], minhash._across
+    monkeypatch.setattr(minhash, "_across", lambda rows, *a: (asked.append(rows.count()), across(rows, *a))[1])
+    assert ours(spark, docs, 85, most=1) == brute(docs, 85)
+    assert len(asked) > 1 and asked[-1] < asked[0]
