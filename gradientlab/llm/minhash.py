@@ -367,13 +367,18 @@ def _enough(least: float, fewest: Column) -> Column:
     return F.col("n_shingles") - F.col("own") >= least * (F.col("n_shingles") + fewest) - 1e-9
 
 
+def _with_bucket(rows: DataFrame, buckets: DataFrame) -> DataFrame:
+    """The rows with what is known of their band; written first, so that the optimizer may split a bucket's rows."""
+    return rows.join(stage_table(buckets, "minhash/bounds"), "band")
+
+
 def _beside(rows: DataFrame, least: float) -> DataFrame:
     """The rows of buckets in which some ask: those that ask, and those that may link with one by its size and own shingles."""
     asking = rows.filter("asks").groupBy("band").agg(
         F.min("own").alias("fewest"), F.min("n_shingles").alias("smallest"), F.max("n_shingles").alias("greatest"))
     fits = _enough(least, F.col("fewest")) & (F.col("n_shingles") >= least * F.col("smallest") - 1e-9) & (
         least * F.col("n_shingles") <= F.col("greatest") + 1e-9)
-    return rows.join(asking, "band").filter(F.col("asks") | fits).drop("fewest", "smallest", "greatest")
+    return _with_bucket(rows, asking).filter(F.col("asks") | fits).drop("fewest", "smallest", "greatest")
 
 
 def _linkable(open_rows: DataFrame, items: DataFrame, texts: DataFrame, least: float) -> DataFrame:
@@ -392,13 +397,12 @@ def _linkable(open_rows: DataFrame, items: DataFrame, texts: DataFrame, least: f
     sized = asked.join(items.select("item", "n_shingles"), "item").join(own, "item", "left").select(
         "item", "n_shingles", F.coalesce("own", F.lit(0)).alias("own"))
     sized = stage_table(sized.filter(_enough(least, F.lit(0))), "minhash/sized")
-    rows = open_rows.select("band", "item", "component", "largest").join(sized, "item")
-    fewest = rows.groupBy("band").agg(F.min("own").alias("fewest"))
-    rows = rows.join(fewest, "band").select(
+    rows = stage_table(open_rows.select("band", "item", "component", "largest").join(sized, "item"), "minhash/sized")
+    rows = _with_bucket(rows, rows.groupBy("band").agg(F.min("own").alias("fewest"))).select(
         "band", "item", "component", "n_shingles", "own",
         ((F.col("component") != F.col("largest")) & _enough(least, F.col("fewest"))).alias("asks"))
     rows = stage_table(_beside(stage_table(rows, "minhash/bounded"), least), "minhash/beside")
-    return stage_table(rows.join(rows.groupBy("band").agg(F.count(F.lit(1)).alias("n")), "band"), "minhash/linkable")
+    return stage_table(_with_bucket(rows, rows.groupBy("band").agg(F.count(F.lit(1)).alias("n"))), "minhash/linkable")
 
 
 def _asking(rows: DataFrame, near: DataFrame, least: float) -> DataFrame:
