@@ -96,25 +96,34 @@ def split(text: str) -> list[str]:
     return [text[a:b] for a, b in zip(starts, [*starts[1:], len(text)])]
 
 
+def _with_room(array: np.ndarray, used: int, more: int) -> np.ndarray:
+    """The array, or a copy of its first ``used`` values, with places for ``more`` behind them."""
+    if used + more <= len(array):
+        return array
+    out = np.empty((used + more) * 5 // 4, dtype=array.dtype)
+    out[:used] = array[:used]
+    return out
+
+
 class Memo:
-    """Ids of pieces seen before, found by a 64-bit hash and compared character by character; emptied when full.
+    """Ids of pieces seen before, found by a 64-bit hash and compared byte by byte; emptied when full.
 
-    ``encode`` is asked only for pieces that are new, or whose hash another piece holds.
+    ``encode`` is asked only for pieces that are new, or whose hash another piece holds.  A worker keeps its memo, so that is
+    bounded in pieces (half of 2 to the ``bits``) and in the bytes that spell them (``most``, or one run, if longer), and packed:
+    pieces follow each other, so that one offset each gives start and length, and the table of hashes has numbers alone.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], bits: int = 21):
-        self.encode, self.bits = encode, bits
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], bits: int = 21, most: int = 1 << 24):
+        self.encode, self.bits, self.most = encode, bits, most
         self._clear()
 
     def _clear(self) -> None:
-        self.keys = np.zeros(1 << self.bits, dtype=np.uint64)
-        self.place = np.zeros(1 << self.bits, dtype=np.int32)
-        self.values = np.zeros(1 << 16, dtype=np.int32)
-        self.starts = np.zeros(1 << 16, dtype=np.int64)
-        self.lengths = np.zeros(1 << 16, dtype=np.int64)
-        self.chars = np.zeros(1 << 18, dtype=np.uint32)
-        self.char_starts = np.zeros(1 << 16, dtype=np.int64)
-        self.char_lengths = np.zeros(1 << 16, dtype=np.int64)
+        self.place = np.full(1 << self.bits, -1, dtype=np.int32)
+        self.hashes = np.zeros(1, dtype=np.uint64)
+        self.values = np.zeros(0, dtype=np.int32)
+        self.starts = np.zeros(1, dtype=np.uint32)  # of each piece's ids, and the end of the last
+        self.spelling = np.zeros(0, dtype=np.uint8)
+        self.spelling_starts = np.zeros(1, dtype=np.uint32)
         self.count = self.used = self.spelled = 0
 
     def _find(self, hashes: np.ndarray) -> np.ndarray:
@@ -123,52 +132,54 @@ class Memo:
         mask = (1 << self.bits) - 1
         todo, at = np.arange(len(hashes)), (hashes & np.uint64(mask)).astype(np.int64)
         while len(todo):
-            key = self.keys[at]
-            hit = key == hashes[todo]
-            out[todo[hit]] = self.place[at[hit]]
-            on = ~hit & (key != 0)
+            number = self.place[at]
+            taken = number >= 0
+            hit = taken & (self.hashes[number] == hashes[todo])
+            out[todo[hit]] = number[hit]
+            on = taken & ~hit
             todo, at = todo[on], (at[on] + 1) & mask
         return out
 
     def _add(self, hashes: np.ndarray, pieces: list[str]) -> None:
-        ids = self.encode(pieces)
+        ids, spelled = self.encode(pieces), [p.encode() for p in pieces]
         flat = np.fromiter((i for x in ids for i in x), dtype=np.int32)
-        lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-        chars = np.frombuffer("".join(pieces).encode("utf-32-le"), dtype="<u4")
-        char_lengths = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
-        while self.used + len(flat) > len(self.values):
-            self.values = np.concatenate([self.values, np.zeros_like(self.values)])
-        while self.spelled + len(chars) > len(self.chars):
-            self.chars = np.concatenate([self.chars, np.zeros_like(self.chars)])
-        while self.count + len(ids) > len(self.starts):
-            for name in ("starts", "lengths", "char_starts", "char_lengths"):
-                setattr(self, name, np.concatenate([getattr(self, name), np.zeros_like(self.starts)]))
+        data = np.frombuffer(b"".join(spelled), dtype=np.uint8)
+        old, n = self.count, len(ids)
+        self.values = _with_room(self.values, self.used, len(flat))
         self.values[self.used : self.used + len(flat)] = flat
-        self.chars[self.spelled : self.spelled + len(chars)] = chars
-        new = slice(self.count, self.count + len(ids))
-        self.lengths[new], self.char_lengths[new] = lengths, char_lengths
-        self.starts[new] = self.used + np.cumsum(lengths) - lengths
-        self.char_starts[new] = self.spelled + np.cumsum(char_lengths) - char_lengths
-        keys, place, mask = self.keys, self.place, (1 << self.bits) - 1
-        for number, h in enumerate(hashes.tolist(), self.count):
+        self.spelling = _with_room(self.spelling, self.spelled, len(data))
+        self.spelling[self.spelled : self.spelled + len(data)] = data
+        self.hashes = _with_room(self.hashes, old, n)
+        self.hashes[old : old + n] = hashes
+        self.starts, self.spelling_starts = (_with_room(x, old + 1, n) for x in (self.starts, self.spelling_starts))
+        self.starts[old + 1 : old + n + 1] = self.used + np.cumsum(np.fromiter(map(len, ids), dtype=np.int64, count=n))
+        self.spelling_starts[old + 1 : old + n + 1] = self.spelled + np.cumsum(np.fromiter(map(len, spelled), dtype=np.int64, count=n))
+        place, mask = self.place, (1 << self.bits) - 1
+        for number, h in enumerate(hashes.tolist(), old):
             at = h & mask
-            while keys[at]:
+            while place[at] >= 0:
                 at = at + 1 & mask
-            keys[at] = h
             place[at] = number
-        self.count += len(ids)
+        self.count += n
         self.used += len(flat)
-        self.spelled += len(chars)
+        self.spelled += len(data)
+
+    @staticmethod
+    def _slices(numbers: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(start, length) for each number."""
+        first = starts[numbers].astype(np.int64)
+        return first, starts[numbers + 1] - first
 
-    def _others(self, numbers: np.ndarray, codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    def _others(self, numbers: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """The pieces that aren't the remembered ones of their number: another piece has their hash."""
-        other = self.char_lengths[numbers] != ends - starts
+        first, length = self._slices(numbers, self.spelling_starts)
+        other = length != ends - starts
         same = np.flatnonzero(~other)
-        spelled, bounds = gather(numbers[same], self.char_starts, self.char_lengths, self.chars)
+        spelled, bounds = gather(same, first, length, self.spelling)
         if len(same) == len(numbers):  # the pieces make up the whole text
-            own = codes
+            own = data
         else:
-            own, _ = gather(same, starts, ends - starts, codes)
+            own, _ = gather(same, starts, ends - starts, data)
         wrong = np.flatnonzero(spelled != own)
         other[same[np.searchsorted(bounds, wrong, side="right") - 1]] = True
         return np.flatnonzero(other)
@@ -182,12 +193,18 @@ class Memo:
         begins = borders(codes, first)
         starts = np.flatnonzero(begins)
         ends = np.append(starts[1:], len(codes))
-        hashes = slice_hashes(codes.view(np.uint8), 4 * starts, 4 * ends) | np.uint64(1 << 63)  # never 0
+        data = np.frombuffer(text.encode(), dtype=np.uint8)
+        bounds = np.append(starts, len(codes))  # in bytes
+        if len(data) > len(codes):
+            width = (1 + (codes > 0x7F) + (codes > 0x7FF) + (codes > 0xFFFF)).astype(np.int64)
+            bounds = np.append(0, np.cumsum(width))[bounds]
+        hashes = slice_hashes(codes.view(np.uint8), 4 * starts, 4 * ends)
         numbers = self._find(hashes)
         missing = np.flatnonzero(numbers < 0)
         if len(missing):
             new, index = np.unique(hashes[missing], return_index=True)
-            if self.count + len(new) > 1 << self.bits - 1:
+            spelled = int(np.diff(bounds)[missing[index]].sum())
+            if self.count + len(new) > 1 << self.bits - 1 or self.spelled + spelled > self.most:
                 self._clear()
                 new, index = np.unique(hashes, return_index=True)
                 missing = np.arange(len(hashes))
@@ -197,8 +214,9 @@ class Memo:
             at = missing[index]
             self._add(new, [text[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())])
             numbers[missing] = self._find(hashes[missing])
-        ids, offsets = gather(numbers, self.starts, self.lengths, self.values)
-        others = self._others(numbers, codes, starts, ends)
+        each, sizes = self._slices(numbers, self.starts)
+        ids, offsets = gather(np.arange(len(numbers)), each, sizes, self.values)
+        others = self._others(numbers, data, bounds[:-1], bounds[1:])
         if len(others):
             found = self.encode([text[a:b] for a, b in zip(starts[others].tolist(), ends[others].tolist())])
             each = np.split(ids, offsets[1:-1])

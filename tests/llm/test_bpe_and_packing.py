@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -87,6 +88,39 @@ def test_pieces_that_share_a_hash_are_told_apart(oracle, monkeypatch):
         assert [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:])] == [oracle.encode_ordinary(t) for t in batch]
 
 
+def test_memory_of_pieces_is_packed():
+    memo = pieces.Memo(lambda new: [[len(p)] * 3 for p in new])
+    for k in range(40):
+        memo.lookup([" ".join(f"wörd{chr(97 + i % 26)}{letters(i)}" for i in range(5000 * k, 5000 * k + 5000))])
+    assert memo.count > 150_000
+    assert sum(x.nbytes for x in vars(memo).values() if isinstance(x, np.ndarray)) < 25_000_000
+
+
+def letters(i):
+    return "".join(chr(97 + int(d)) for d in str(i))
+
+
+def test_memory_of_pieces_is_bounded_in_bytes(oracle):
+    memo = pieces.Memo(lambda new: [oracle.encode_ordinary(p) for p in new], most=4000)
+    for k in range(20):
+        batch = [f"{chr(97 + k) * 1500} {chr(98 + k) * 900} end", *texts(5, k)]
+        ids, offsets = memo.lookup(batch)
+        assert [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:])] == [oracle.encode_ordinary(t) for t in batch]
+    assert memo.spelled <= max(4000, sum(len(t.encode()) for t in batch))
+
+
+def test_decoding_many_ids_takes_little_more_than_their_bytes():
+    book = bpe.vocabulary(RANKS)
+    ids = np.random.default_rng(3).integers(256, 50_000, 1_000_000)
+    tracemalloc.start()
+    out, ends = book.decode(ids)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 3 * (out.nbytes + ends.nbytes)
+    assert out[ends[70_000] : ends[70_005]].tobytes() == b"".join(
+        book.data[book.starts[i] : book.starts[i] + book.lengths[i]].tobytes() for i in ids[70_000:70_005])
+
+
 @pytest.mark.parametrize("length", [64, 1024, 4096])
 def test_words_whose_polynomials_agree(oracle, library, length):
     word = "a"
